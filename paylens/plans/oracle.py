@@ -188,4 +188,14 @@ SELECT "timestamp", sender_bic, receiver_bic, amount, currency, z_score, is_high
 FROM scored_amounts
 WHERE COALESCE(is_high_value_anomaly, false) OR COALESCE(abs(z_score) > 3, false) OR COALESCE(is_high_value, false)
 ORDER BY z_score DESC NULLS LAST, "timestamp", sender_bic, receiver_bic, amount, currency"""),
+    "sender_sequence": _with(VALIDATED_CTES, """
+SELECT sender_bic, "timestamp", receiver_bic, amount, currency, msg_type,
+       row_number() OVER (PARTITION BY sender_bic ORDER BY "timestamp" ASC NULLS FIRST,
+         receiver_bic ASC NULLS FIRST, amount ASC NULLS FIRST, currency ASC NULLS FIRST,
+         msg_type ASC NULLS FIRST) AS row_num
+FROM valid"""),
+    "csv_roundtrip": _with(RAW_CTES, """
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type FROM raw"""),
+    "parquet_partitioned_roundtrip": _with(VALIDATED_CTES, f"SELECT {VALIDATED_SELECT} FROM validated"),
+    "analysis_results_roundtrip": _with(VALIDATED_CTES, COUNTRY_STATISTICS_BODY),
 }

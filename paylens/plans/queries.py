@@ -19,6 +19,7 @@ from paylens.config import VALIDATED_COLUMNS
 from paylens.operators.anomaly import detect_anomalies
 from paylens.operators.clean import clean
 from paylens.operators.quality import quality_report
+from paylens.operators.validate import validate
 from paylens.operators.rollups import (
     by_currency,
     by_msg_type,
@@ -28,7 +29,13 @@ from paylens.operators.rollups import (
     top_receivers,
     top_senders,
 )
+from paylens.operators.sequence import sender_sequence
+from paylens.plans.analysis import run_analysis
+from paylens.plans.ingest import write_validated
+from paylens.sinks.writers import scratch_path, write_csv, write_parquet
 from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, validated_payments
+from paylens.sources.generator import generate_payments
+from paylens.sources.payments import read_payments_csv, read_processed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +95,46 @@ def q_amount_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(detect_anomalies(validated_payments(spark, sf_dir), exact=True))
 
 
+SEQUENCE_COLUMNS = ("sender_bic", "timestamp", "receiver_bic", "amount", "currency", "msg_type")
+
+
+def q_sender_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid = validated_payments(spark, sf_dir).where(F.col("is_valid")).select(*SEQUENCE_COLUMNS)
+    return wall_clock(sender_sequence(valid))
+
+
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw payments written as CSV (shared scratch folder) and read back lazily."""
+    path = scratch_path(spark, "csv-roundtrip")
+    write_csv(raw_payments(spark, sf_dir), path)
+    return read_payments_csv(spark, path)
+
+
+def q_parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validated payments written year/month/day-partitioned, read back with the fixed schema."""
+    path = scratch_path(spark, "parquet-roundtrip")
+    write_parquet(validated_payments(spark, sf_dir), path, ["year", "month", "day"])
+    return wall_clock(without_processing_time(read_processed(spark, path)))
+
+
+def q_analysis_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest write + the five-table analysis job; returns country statistics read back."""
+    processed = scratch_path(spark, "processed")
+    write_validated(validated_payments(spark, sf_dir), processed, ["year", "month", "day"], exact=True)
+    paths = run_analysis(spark, processed, scratch_path(spark, "analysis"), exact=True)
+    return spark.read.parquet(paths["country_statistics"])
+
+
+def q_generated_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One synthetic payment per line item (ids from the table), cleaned and validated."""
+    ids = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")
+    )
+    raw = generate_payments(spark, ids=ids, as_of=FIXTURE_AS_OF)
+    cleaned = raw.transform(clean, as_of=FIXTURE_AS_OF)
+    return wall_clock(without_processing_time(cleaned.transform(validate, as_of=FIXTURE_AS_OF)))
+
+
 QUERIES: dict[str, Query] = {
     "parse_clean": q_parse_clean,
     "validate_flags": q_validate_flags,
@@ -100,6 +147,11 @@ QUERIES: dict[str, Query] = {
     "top_receivers": q_top_receivers,
     "country_statistics": q_country_statistics,
     "amount_anomalies": q_amount_anomalies,
+    "sender_sequence": q_sender_sequence,
+    "csv_roundtrip": q_csv_roundtrip,
+    "parquet_partitioned_roundtrip": q_parquet_partitioned_roundtrip,
+    "analysis_results_roundtrip": q_analysis_results_roundtrip,
+    "generated_payments": q_generated_payments,
 }
 
 #: Column order of :func:`q_validate_flags` (the processed table minus processing time).

@@ -1,0 +1,5 @@
+"""Structured Streaming form of the ingest job."""
+
+from paylens.streaming.ingest import start_stream_ingest
+
+__all__ = ["start_stream_ingest"]

@@ -22,6 +22,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Only bites on tiny inputs: keeps partitioned writes of small data parallel.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",

@@ -54,47 +54,62 @@ def payment_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw payments (the CSV schema: all text except the amount), one per line item.
 
+    Each side of the final join derives its own fields first: the order side
+    (``o_orderkey`` is the same key ``k``) builds the sender text from the
+    customer, the line-item side builds everything else with the supplier.
+    The final equi-join on the order key then only pairs finished columns.
+
     Join order is chosen by hand: ``orders`` meets ``customer`` first (the
-    narrow side, a quarter of the line items), then line items meet suppliers
+    narrow side, a quarter of the line items), line items meet suppliers
     (AQE broadcasts ``supplier`` while its measured size is under the
-    broadcast threshold, otherwise both sides shuffle on the supplier key)
-    and finally the order/customer pairs, so ``lineitem`` is shuffled at most
-    twice. AQE's skew-join split covers a hot order or supplier key.
+    broadcast threshold, otherwise both sides shuffle on the supplier key),
+    so ``lineitem`` is shuffled at most twice. AQE's skew-join split covers a
+    hot order or supplier key.
     """
     t = payment_tables(spark, sf_dir)
-    senders = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
-    rows = (
-        t["lineitem"]
-        .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(senders, F.col("l_orderkey") == F.col("o_orderkey"))
+    ko = F.col("o_orderkey")
+    sender = _bic_base(F.col("c_custkey"), F.col("c_nationkey"))
+    senders = (
+        t["orders"]
+        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            ko.alias("_sender_key"),
+            F.when(ko % 37 == 0, F.lit(None).cast("string"))
+            .when(ko % 13 == 0, F.concat(F.lit("INVALID"), F.lpad((ko % 1000).cast("string"), 8, "A")))
+            .when(ko % 7 == 0, F.concat(F.lit("  "), sender, F.lit(" ")))
+            .otherwise(sender)
+            .alias("sender_bic"),
+        )
     )
     k, p = F.col("l_orderkey"), F.col("l_extendedprice")
-    sender = _bic_base(F.col("c_custkey"), F.col("c_nationkey"))
     receiver = _bic_base(F.col("s_suppkey"), F.col("s_nationkey"))
     midday = F.timestamp_add("SECOND", F.lit(43200) + k % 36000, F.col("l_shipdate"))
-    return rows.select(
-        F.when(k % 43 == 0, F.lit(None).cast("string"))
-        .when(k % 47 == 0, F.lit("not-a-date"))
-        .otherwise(F.date_format(midday, TIMESTAMP_FORMAT))
-        .alias("timestamp"),
-        F.when(k % 37 == 0, F.lit(None).cast("string"))
-        .when(k % 13 == 0, F.concat(F.lit("INVALID"), F.lpad((k % 1000).cast("string"), 8, "A")))
-        .when(k % 7 == 0, F.concat(F.lit("  "), sender, F.lit(" ")))
-        .otherwise(sender)
-        .alias("sender_bic"),
-        F.when(k % 19 == 0, F.lower(receiver)).otherwise(receiver).alias("receiver_bic"),
-        F.when(k % 31 == 0, F.lit(None).cast("double"))
-        .when(k % 17 == 0, -p)
-        .when(k % 211 == 0, p * 1000)
-        .otherwise(p)
-        .alias("amount"),
-        F.when(k % 23 == 0, F.lit("XYZ"))
-        .otherwise(_pick(CURRENCY_CODES, F.col("l_suppkey") % 12, 3))
-        .alias("currency"),
-        F.when(k % 41 == 0, F.lit(None).cast("string"))
-        .when(k % 29 == 0, F.lit("MT999"))
-        .otherwise(_pick(MSG_TYPE_CODES, F.col("l_linenumber") % 4, 5))
-        .alias("msg_type"),
+    items = (
+        t["lineitem"]
+        .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            k.alias("_item_key"),
+            F.when(k % 43 == 0, F.lit(None).cast("string"))
+            .when(k % 47 == 0, F.lit("not-a-date"))
+            .otherwise(F.date_format(midday, TIMESTAMP_FORMAT))
+            .alias("timestamp"),
+            F.when(k % 19 == 0, F.lower(receiver)).otherwise(receiver).alias("receiver_bic"),
+            F.when(k % 31 == 0, F.lit(None).cast("double"))
+            .when(k % 17 == 0, -p)
+            .when(k % 211 == 0, p * 1000)
+            .otherwise(p)
+            .alias("amount"),
+            F.when(k % 23 == 0, F.lit("XYZ"))
+            .otherwise(_pick(CURRENCY_CODES, F.col("l_suppkey") % 12, 3))
+            .alias("currency"),
+            F.when(k % 41 == 0, F.lit(None).cast("string"))
+            .when(k % 29 == 0, F.lit("MT999"))
+            .otherwise(_pick(MSG_TYPE_CODES, F.col("l_linenumber") % 4, 5))
+            .alias("msg_type"),
+        )
+    )
+    return items.join(senders, F.col("_item_key") == F.col("_sender_key")).select(
+        "timestamp", "sender_bic", "receiver_bic", "amount", "currency", "msg_type"
     )
 
 

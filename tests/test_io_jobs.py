@@ -100,3 +100,25 @@ def test_run_analysis_writes_five_tables(spark, raw):
                                   ["bogus"]])
 def test_cli_misuse_exits_1(argv):
     assert cli_main(argv) == 1
+
+
+def test_class_facade_end_to_end(spark, raw):
+    from paylens.plans.facade import PaymentAnalyzer, PaymentIngestor
+
+    ing = PaymentIngestor(spark, as_of=AS_OF)
+    assert ing.define_schema().fieldNames() == list(RAW_COLUMNS)
+    df = ing.validate_data(ing.transform_data(raw(INVALID8)))
+    assert ing.generate_quality_report(df)["valid_records"] == 7
+    assert ing.perform_aggregations(df)["overall"]["total_transactions"] == 7
+    src = scratch_path(spark, "t-facade-src")
+    write_csv(raw(VALID5), src)
+    out = scratch_path(spark, "t-facade-out")
+    _, report, _ = ing.process(src, out, ["year"])
+    assert report["total_records"] == 5
+    an = PaymentAnalyzer(spark)
+    processed = an.read_processed_data(out)
+    senders, receivers = an.analyze_top_senders_receivers(processed)
+    assert senders.count() == 5 and receivers.count() == 5
+    res = scratch_path(spark, "t-facade-res")
+    an.run_full_analysis(out, res)
+    assert sorted(os.listdir(res.removeprefix("file:"))) == sorted(ANALYSIS_TABLES)

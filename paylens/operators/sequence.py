@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paylens.sinks.writers import checkpoint_root
+
 DEFAULT_CHUNK_ROWS = 1 << 20
 
 
@@ -91,6 +93,12 @@ def sender_sequence(
         .sortWithinPartitions(*sort_key)
         .withColumn("_pid", F.spark_partition_id())
     )
+    # Offsets and local positions must see the same range bounds. Within one
+    # query Spark reuses the identical exchange (sampled once); a session that
+    # turns exchange reuse off gets the partitioning materialized instead.
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        checkpoint_root(df.sparkSession)
+        ordered = ordered.checkpoint(eager=True)
     located = ordered.mapInPandas(
         _local_offsets(partition_col),
         T.StructType(ordered.schema.fields + [T.StructField("_local", T.LongType(), False)]),

@@ -53,3 +53,19 @@ def test_numbers_are_dense_per_sender(skewed):
                                         F.max("row_num").alias("hi"),
                                         F.countDistinct("row_num").alias("d")).collect()
     assert all(r.lo == 1 and r.hi == r.n == r.d for r in per)
+
+
+def test_without_exchange_reuse(spark, skewed):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = sender_sequence(skewed, num_partitions=6)
+        assert rows_of(got) == rows_of(window_reference(skewed))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_exchange_is_reused(spark, skewed):
+    got = sender_sequence(skewed, num_partitions=6)
+    got.collect()  # runs this DataFrame's own query execution, whose plan is now final
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan

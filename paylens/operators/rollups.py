@@ -69,27 +69,11 @@ def aggregations(df: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
 
 
 def aggregations_dict(df: DataFrame, exact: bool = False) -> dict[str, Any]:
-    """Driver-side summary; results are tiny (one row, one row per group).
+    """Driver-side summary from ONE grouping-sets scan (tiny result: one row per group).
 
     NULL or zero overall metrics are reported as 0.0.
     """
-    aggs = aggregations(df, exact)
-    o = aggs["overall"].first().asDict()
-    overall = {"total_transactions": o["total_transactions"]}
-    for k in ("total_volume", "avg_amount", "stddev_amount", "min_amount", "max_amount"):
-        overall[k] = float(o[k]) if o[k] else 0.0
-    return {
-        "overall": overall,
-        "by_currency": [
-            {"currency": r["currency"], "transaction_count": r["transaction_count"],
-             "total_volume": float(r["total_volume"]) if r["total_volume"] is not None else None}
-            for r in aggs["by_currency"].collect()
-        ],
-        "by_message_type": [
-            {"msg_type": r["msg_type"], "transaction_count": r["transaction_count"]}
-            for r in aggs["by_message_type"].collect()
-        ],
-    }
+    return aggregations_from_sets(aggregation_sets(df, exact).collect())
 
 
 def daily_volumes(df: DataFrame, exact: bool = False) -> DataFrame:

@@ -122,3 +122,54 @@ def test_class_facade_end_to_end(spark, raw):
     res = scratch_path(spark, "t-facade-res")
     an.run_full_analysis(out, res)
     assert sorted(os.listdir(res.removeprefix("file:"))) == sorted(ANALYSIS_TABLES)
+
+
+def test_read_pandas_written_csv(spark, raw):
+    d = tempfile.mkdtemp(dir=os.environ.get("TMPDIR", "/tmp"))
+    path = os.path.join(d, "payments.csv")
+    raw(VALID5).toPandas().to_csv(path, index=False)
+    df = read_payments_csv(spark, path)
+    assert df.count() == 5 and len(df.columns) == 6
+    assert sorted(r.amount for r in df.collect()) == sorted(r[3] for r in VALID5)
+
+
+class _SessionProxy:
+    """Delegates to the shared test session but records stop() instead of stopping it."""
+
+    def __init__(self, spark):
+        self._spark, self.stopped = spark, False
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_cli_ingest_and_analyze_success(spark, raw, monkeypatch, capsys):
+    import json
+
+    import paylens.plans.cli as cli
+
+    proxy = _SessionProxy(spark)
+    monkeypatch.setattr(cli, "build_session", lambda *a, **k: proxy)
+    src = scratch_path(spark, "t-cli-src")
+    write_csv(raw(VALID5), src)
+    out = scratch_path(spark, "t-cli-out")
+    assert cli.main(["ingest", src, out]) == 0 and proxy.stopped
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["quality_report"]["total_records"] == 5
+    assert os.path.isdir(os.path.join(out.removeprefix("file:"), "year=2024"))
+    res = scratch_path(spark, "t-cli-res")
+    proxy.stopped = False
+    assert cli.main(["analyze", out, res]) == 0 and proxy.stopped
+    assert sorted(os.listdir(res.removeprefix("file:"))) == sorted(ANALYSIS_TABLES)
+
+
+def test_cli_failure_exits_1_and_stops(spark, monkeypatch):
+    import paylens.plans.cli as cli
+
+    proxy = _SessionProxy(spark)
+    monkeypatch.setattr(cli, "build_session", lambda *a, **k: proxy)
+    assert cli.main(["analyze", "/nonexistent/path/for/test", scratch_path(spark, "t-cli-bad")]) == 1
+    assert proxy.stopped

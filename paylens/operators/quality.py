@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from paylens.config import QUALITY_REPORT_KEYS
 
 N_CHECKS = 7
+DERIVED_KEYS = ("invalid_records", "validity_rate", "avg_quality_score")
+COUNT_KEYS = tuple(k for k in QUALITY_REPORT_KEYS if k not in DERIVED_KEYS)
 
 
 def quality_metric_columns() -> list[Column]:
@@ -65,7 +67,7 @@ def report_from_metrics(metrics: dict[str, Any], exact: bool = False) -> dict[st
         avg = (metrics.get("_score_points") or 0) / (scored * N_CHECKS) if scored else None
     else:
         avg = metrics.get("_avg_score")
-    out = {k: int(metrics.get(k) or 0) for k in QUALITY_REPORT_KEYS if k.endswith("_count") or k in ("total_records", "valid_records")}
+    out = {k: int(metrics.get(k) or 0) for k in COUNT_KEYS}
     out.update(
         invalid_records=total - valid,
         validity_rate=valid / total if total > 0 else 0,
@@ -78,5 +80,6 @@ def quality_report_dict(df: DataFrame, exact: bool = False) -> dict[str, Any]:
     """The report as a Python dict (one action, one row to the driver)."""
     row = quality_report(df, exact).first()
     report = row.asDict()
-    report["validity_rate"] = report["validity_rate"] if report["total_records"] else 0
+    if not report["total_records"]:
+        report["validity_rate"] = 0  # the original reports an int 0 for empty input
     return report

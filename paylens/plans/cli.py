@@ -14,7 +14,7 @@ import logging
 import sys
 
 from paylens.config import DEFAULT_PARTITION_COLUMNS
-from paylens.session import build_session
+from paylens.session import build_session, size_shuffle_partitions
 
 log = logging.getLogger("paylens")
 
@@ -32,6 +32,7 @@ def ingest_main(argv: list[str]) -> int:
     try:
         from paylens.plans.ingest import run_ingest
 
+        size_shuffle_partitions(spark, input_path)
         _, report, aggs = run_ingest(spark, input_path, output_path, partition_by)
         print(json.dumps({"quality_report": report, "aggregations": aggs}, default=str))
         return 0
@@ -50,6 +51,7 @@ def analysis_main(argv: list[str]) -> int:
     try:
         from paylens.plans.analysis import run_analysis
 
+        size_shuffle_partitions(spark, argv[0])
         print(json.dumps(run_analysis(spark, argv[0], argv[1])))
         return 0
     except Exception:  # noqa: BLE001

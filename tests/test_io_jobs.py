@@ -153,6 +153,9 @@ def test_cli_ingest_and_analyze_success(spark, raw, monkeypatch, capsys):
 
     proxy = _SessionProxy(spark)
     monkeypatch.setattr(cli, "build_session", lambda *a, **k: proxy)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(proxy, "stop", lambda: (spark.conf.set("spark.sql.shuffle.partitions", old),
+                                                setattr(proxy, "stopped", True)))
     src = scratch_path(spark, "t-cli-src")
     write_csv(raw(VALID5), src)
     out = scratch_path(spark, "t-cli-out")
@@ -173,3 +176,18 @@ def test_cli_failure_exits_1_and_stops(spark, monkeypatch):
     monkeypatch.setattr(cli, "build_session", lambda *a, **k: proxy)
     assert cli.main(["analyze", "/nonexistent/path/for/test", scratch_path(spark, "t-cli-bad")]) == 1
     assert proxy.stopped
+
+
+def test_size_shuffle_partitions(spark, raw):
+    from paylens.session import input_bytes, size_shuffle_partitions
+
+    src = scratch_path(spark, "t-size")
+    write_csv(raw(VALID5), src)
+    size = input_bytes(spark, src)
+    assert 0 < size < 10_000
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, src, bytes_per_partition=100, minimum=1) == -(-size // 100)
+        assert size_shuffle_partitions(spark, src) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -18,7 +18,7 @@ from paylens.operators.clean import clean
 from paylens.operators.quality import quality_metric_columns, report_from_metrics
 from paylens.operators.rollups import aggregation_sets, aggregations_from_sets
 from paylens.operators.validate import validate
-from paylens.sinks.writers import write_parquet
+from paylens.sinks.writers import rebalance_for_write, write_parquet
 from paylens.sources.payments import read_payments_csv, read_processed
 
 
@@ -35,12 +35,12 @@ def write_validated(
 ) -> dict[str, Any]:
     """Write all rows (valid or not) and return the quality report of exactly those rows.
 
-    The metrics are observed after the rebalance exchange, i.e. in the write
+    The metrics are observed after the clustering exchange, i.e. in the write
     stage itself: Spark counts result-task metrics once per partition even
     when tasks are retried, so a lost executor cannot double count.
     """
     cols = list(partition_by or [])
-    df = validated.hint("rebalance", *cols) if cols else validated
+    df = rebalance_for_write(validated, cols) if cols else validated
     obs = Observation("quality")
     write_parquet(df.observe(obs, *quality_metric_columns()), output_path, cols, rebalance=False)
     return report_from_metrics(obs.get, exact)

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylens.config import ANALYSIS_TABLES
 
@@ -34,6 +35,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Without AQE, each partition-directory value is spread over this many tasks.
+STATIC_SPREAD = 16
+
+
+def rebalance_for_write(df: DataFrame, cols: Iterable[str], spread: int = STATIC_SPREAD) -> DataFrame:
+    """Cluster rows by the directory-partition columns before a partitioned write.
+
+    With AQE (the normal case) this is the ``REBALANCE`` hint: AQE merges small
+    directory values into one task and splits a hot one into right-sized
+    tasks. Without AQE the rows are hash-partitioned on the columns plus a
+    row hash modulo ``spread``, so a hot value still spans ``spread`` tasks.
+    """
+    cols = list(cols)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        return df.hint("rebalance", *cols)
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    return df.repartition(*[F.col(c) for c in cols], bucket)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -43,15 +63,14 @@ def write_parquet(
 ) -> None:
     """Overwrite ``path`` with ``df`` as Parquet, optionally directory-partitioned.
 
-    With partition columns the rows are first rebalanced on them (the
-    ``REBALANCE`` hint): AQE then splits a hot day into several right-sized
-    tasks and merges small days, so each task writes few, large files rather
+    With partition columns the rows are first clustered on them
+    (:func:`rebalance_for_write`), so each task writes few, large files rather
     than one file per (task, day) pair. NULL keys land in Hive's default
     partition directory.
     """
     cols = list(partition_by or [])
     if cols and rebalance:
-        df = df.hint("rebalance", *cols)
+        df = rebalance_for_write(df, cols)
     writer = df.write.mode("overwrite")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -191,3 +191,21 @@ def test_size_shuffle_partitions(spark, raw):
         assert size_shuffle_partitions(spark, src) == 200
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_partitioned_write_without_aqe_spreads_hot_day(spark, raw):
+    from paylens.sinks.writers import STATIC_SPREAD, rebalance_for_write
+
+    rows = [("2024-12-01 10:30:%02d.000000" % (i % 60), "BOFAUS3NXXX", "CHASUS33XXX", float(i), "USD", "MT103")
+            for i in range(400)]
+    df = validated_from_raw(raw(rows), AS_OF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = rebalance_for_write(df, ["year", "month", "day"]).select(F.spark_partition_id().alias("p")) \
+            .distinct().count()
+        assert 1 < spread <= STATIC_SPREAD
+        path = scratch_path(spark, "t-noaqe")
+        write_parquet(df, path, ["year", "month", "day"])
+        assert read_processed(spark, path).count() == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

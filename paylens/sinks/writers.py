@@ -39,16 +39,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 STATIC_SPREAD = 16
 
 
-def rebalance_for_write(df: DataFrame, cols: Iterable[str], spread: int = STATIC_SPREAD) -> DataFrame:
+def rebalance_for_write(
+    df: DataFrame, cols: Iterable[str], spread: int = STATIC_SPREAD, adaptive: bool | None = None
+) -> DataFrame:
     """Cluster rows by the directory-partition columns before a partitioned write.
 
     With AQE (the normal case) this is the ``REBALANCE`` hint: AQE merges small
     directory values into one task and splits a hot one into right-sized
     tasks. Without AQE the rows are hash-partitioned on the columns plus a
     row hash modulo ``spread``, so a hot value still spans ``spread`` tasks.
+    ``adaptive`` overrides the session setting (streaming micro-batches are
+    planned without AQE).
     """
     cols = list(cols)
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+    if adaptive is None:
+        adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+    if adaptive:
         return df.hint("rebalance", *cols)
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
     return df.repartition(*[F.col(c) for c in cols], bucket)

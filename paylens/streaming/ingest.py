@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paylens.config import DEFAULT_PARTITION_COLUMNS, RAW_SCHEMA
 from paylens.operators.quality import quality_metric_columns
 from paylens.plans.ingest import validated_from_raw
-from paylens.sinks.writers import scratch_path
+from paylens.sinks.writers import rebalance_for_write, scratch_path
 
 
 def start_stream_ingest(
@@ -38,12 +38,17 @@ def start_stream_ingest(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    validated = validated_from_raw(reader.csv(input_dir), as_of).observe("quality", *quality_metric_columns())
+    cols = list(partition_by)
+    validated = validated_from_raw(reader.csv(input_dir), as_of)
+    if cols:
+        # micro-batches run without AQE: cluster by day with a fixed hash spread
+        validated = rebalance_for_write(validated, cols, adaptive=False)
+    observed = validated.observe("quality", *quality_metric_columns())
     writer = (
-        validated.writeStream.format("parquet")
+        observed.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint_location or scratch_path(spark, "stream-ingest-checkpoint"))
-        .partitionBy(*partition_by)
+        .partitionBy(*cols)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(output_path)

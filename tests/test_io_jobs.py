@@ -209,3 +209,21 @@ def test_partitioned_write_without_aqe_spreads_hot_day(spark, raw):
         assert read_processed(spark, path).count() == 400
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_csv_permissive_more_cases(spark):
+    d = tempfile.mkdtemp(dir=os.environ.get("TMPDIR", "/tmp"))
+    path = os.path.join(d, "in.csv")
+    with open(path, "w") as f:
+        # reordered header: columns still bind by position to the fixed schema
+        f.write("sender_bic,timestamp,receiver_bic,amount,currency,msg_type\n")
+        f.write("2024-12-01 10:30:00.000000,BOFAUS3NXXX,CHASUS33XXX, 5.5 ,USD,MT103\n")  # padded number
+        f.write("2024-12-01 10:30:00.000000,BOFAUS3NXXX,CHASUS33XXX,NaN,USD,MT103\n")
+        f.write("2024-12-01 10:30:00.000000,BOFAUS3NXXX,CHASUS33XXX,Infinity,USD,MT103\n")
+        f.write('2024-12-01 10:30:00.000000,,"",1,USD,MT103\n')  # empty and quoted-empty fields
+    rows = read_payments_csv(spark, path).collect()
+    assert rows[0].timestamp == "2024-12-01 10:30:00.000000"  # positional, not by header name
+    assert rows[0].amount == 5.5
+    assert rows[1].amount != rows[1].amount  # NaN
+    assert rows[2].amount == float("inf")
+    assert rows[3].sender_bic is None and rows[3].receiver_bic is None

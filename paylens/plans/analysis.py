@@ -23,12 +23,15 @@ def analysis_results(df: DataFrame, exact: bool = False, top_k: int = TOP_PARTIE
     return {name: results[name] for name in ANALYSIS_TABLES}
 
 
-def run_analysis(spark: SparkSession, input_path: str, output_path: str, exact: bool = False) -> dict[str, str]:
+def run_analysis(
+    spark: SparkSession, input_path: str, output_path: str, exact: bool = False, parallel: int = len(ANALYSIS_TABLES)
+) -> dict[str, str]:
     """Read processed payments, write the five tables under ``output_path``.
 
     One write per table, nothing else: each write scans only the columns it
-    needs with ``is_valid`` pushed into the Parquet reader.
+    needs with ``is_valid`` pushed into the Parquet reader. The five writes
+    are independent jobs and are submitted together (``parallel``).
     """
     df = read_processed(spark, input_path)
-    paths = write_results(analysis_results(df, exact), output_path)
+    paths = write_results(analysis_results(df, exact), output_path, parallel=parallel)
     return dict(zip(ANALYSIS_TABLES, paths))

@@ -89,7 +89,8 @@ class PaymentAnalyzer:
         write_results({analysis_name: df}, output_path, [analysis_name])
 
     def run_full_analysis(self, input_path: str, output_path: str) -> None:
-        write_results(analysis_results(self.read_processed_data(input_path), self.exact), output_path)
+        results = analysis_results(self.read_processed_data(input_path), self.exact)
+        write_results(results, output_path, parallel=len(results))
 
     def stop(self) -> None:
         self.spark.stop()

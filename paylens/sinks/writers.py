@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,11 +98,31 @@ def write_csv(df: DataFrame, path: str, **options: str) -> None:
     )
 
 
-def write_results(results: Mapping[str, DataFrame], base: str, names: Iterable[str] = ANALYSIS_TABLES) -> list[str]:
-    """Write each named result to ``base/name`` (overwrite); returns the paths in order."""
-    paths = []
-    for name in names:
-        path = f"{base.rstrip('/')}/{name}"
-        results[name].write.mode("overwrite").parquet(path)
-        paths.append(path)
+def write_results(
+    results: Mapping[str, DataFrame],
+    base: str,
+    names: Iterable[str] = ANALYSIS_TABLES,
+    parallel: int = 1,
+) -> list[str]:
+    """Write each named result to ``base/name`` (overwrite); returns the paths in order.
+
+    ``parallel > 1`` submits that many writes at once from driver threads;
+    the jobs are independent, so their stages interleave on the executors and
+    one job's tail does not leave the cluster idle. Any failure is re-raised
+    after all writes finished.
+    """
+    paths = [f"{base.rstrip('/')}/{name}" for name in names]
+    jobs = [(results[name], path) for name, path in zip(names, paths)]
+
+    def write(job):
+        df, path = job
+        df.write.mode("overwrite").parquet(path)
+
+    if parallel <= 1:
+        for job in jobs:
+            write(job)
+        return paths
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        for future in [pool.submit(write, job) for job in jobs]:
+            future.result()
     return paths

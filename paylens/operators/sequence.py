@@ -13,6 +13,11 @@ operator computes the same numbers with every task bounded:
    over as many partitions as its size needs.
 3. Inside each partition one sequential Arrow pass (``mapInPandas``) counts,
    per row, the copies of the same sender that precede it in that partition.
+   The result is written once with ``checkpoint()`` to the shared
+   ``spark.checkpoint.dir``: every later step must see the very same
+   partitions (partition index is part of the key), whatever columns a
+   consumer prunes, and the lineage up to here is cut, so a lost executor
+   never triggers a re-sort. This is the one eager step of the operator.
 4. A small aggregate gives the copies per (partition, sender); a window over
    that table (at most one row per partition for any sender) turns it into
    the number of earlier rows of the sender in earlier partitions.
@@ -77,6 +82,9 @@ def sender_sequence(
 ) -> DataFrame:
     """``df`` plus ``out_col`` = 1-based position of the row within its ``partition_col``.
 
+    Runs the sort and the per-partition pass when called (checkpoint); the
+    offsets and the expansion stay lazy.
+
     ``num_partitions`` is the range-partition count (default: the session's
     ``spark.sql.shuffle.partitions``); set it so a partition of distinct rows
     fits a task comfortably. Copy groups larger than ``chunk_rows`` are
@@ -93,19 +101,17 @@ def sender_sequence(
         .sortWithinPartitions(*sort_key)
         .withColumn("_pid", F.spark_partition_id())
     )
-    # Offsets and local positions must see the same range bounds. Within one
-    # query Spark reuses the identical exchange (sampled once); a session that
-    # turns exchange reuse off gets the partitioning materialized instead.
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        checkpoint_root(df.sparkSession)
-        ordered = ordered.checkpoint(eager=True)
+    # Materialize once: partition ids must mean the same rows in every
+    # consumer. Two separately planned range exchanges (e.g. after different
+    # column pruning) may sample different bounds.
+    checkpoint_root(df.sparkSession)
     located = ordered.mapInPandas(
         _local_offsets(partition_col),
         T.StructType(ordered.schema.fields + [T.StructField("_local", T.LongType(), False)]),
-    )
+    ).checkpoint(eager=True)
     earlier = Window.partitionBy(partition_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ordered.groupBy("_pid", partition_col)
+        located.groupBy("_pid", partition_col)
         .agg(F.sum("_copies").alias("_in_part"))
         .select(
             F.col("_pid").alias("_opid"),

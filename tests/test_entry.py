@@ -42,5 +42,9 @@ def test_operators_are_lazy(spark):
     before = set(tracker.getJobIdsForGroup(None))
     for op in (daily_volumes, country_statistics, detect_anomalies, quality_report):
         op(v)
-    sender_sequence(v.where("is_valid").select("sender_bic", "timestamp", "amount"))
     assert set(tracker.getJobIdsForGroup(None)) == before
+    # sender_sequence materializes its sorted form (checkpoint) on purpose
+    seq = sender_sequence(v.where("is_valid").select("sender_bic", "timestamp", "amount"))
+    after = set(tracker.getJobIdsForGroup(None))
+    seq.select("row_num")  # building on it stays lazy
+    assert set(tracker.getJobIdsForGroup(None)) == after

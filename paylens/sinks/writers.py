@@ -17,13 +17,15 @@ from paylens.config import ANALYSIS_TABLES
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private temp folder is
-    created and registered, so ``DataFrame.checkpoint()`` works as well.
+    Makes sure the SparkContext checkpoints there too. Only when the session
+    names no folder at all (local tests) a private temp folder is created.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="paylens-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

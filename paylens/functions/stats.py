@@ -31,7 +31,8 @@ def money_sum(c: str = "amount", exact: bool = False) -> Column:
 
 def money_avg(c: str = "amount", exact: bool = False) -> Column:
     if exact:
-        return F.sum(_cents(c)).cast("double") / F.count(_cents(c))
+        # try_divide: a group whose amounts are all NaN has a count of 0
+        return F.try_divide(F.sum(_cents(c)).cast("double"), F.count(_cents(c)))
     return F.avg(c)
 
 

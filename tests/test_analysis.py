@@ -108,3 +108,9 @@ def test_zero_std_gives_null_z(spark):
 def test_anomaly_stats_do_not_run_on_driver(analysis6):
     plan = detect_anomalies(analysis6)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan.lower() or "ScalarSubquery" in plan
+
+
+def test_exact_average_of_only_nan_amounts_is_null(spark):
+    rows = [(datetime(2024, 1, 1, i), "AAAAUSBBXXX", "BBBBGBCCXXX", float("nan"), "USD", True, False) for i in range(2)]
+    r = overall_stats(spark.createDataFrame(rows, ANALYSIS_SCHEMA), exact=True).first()
+    assert r.total_transactions == 2 and r.total_volume is None and r.avg_amount is None

@@ -73,3 +73,13 @@ def test_without_exchange_reuse(spark, skewed):
         assert got.count() == skewed.count()
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_carry_across_arrow_batches(spark, skewed):
+    # Runs of one sender span many Arrow batches inside a partition.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sender_sequence(skewed, num_partitions=3, chunk_rows=50)
+        assert rows_of(got) == rows_of(window_reference(skewed))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -83,3 +83,37 @@ def test_carry_across_arrow_batches(spark, skewed):
         assert rows_of(got) == rows_of(window_reference(skewed))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_local_offsets_property():
+    """The per-partition pass equals a grouped exclusive cumulative sum, however rows are batched."""
+    import numpy as np
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from paylens.operators.sequence import _local_offsets
+
+    @settings(max_examples=200, deadline=None)
+    @given(
+        st.lists(st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(1, 5)), min_size=1, max_size=60),
+        st.lists(st.integers(1, 10), min_size=1, max_size=20),
+    )
+    def check(rows, cuts):
+        # rows arrive sorted by key within a partition (NULLs first, as in the range sort)
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))
+        pdf = pd.DataFrame(rows, columns=["k", "_copies"])
+        batches, i = [], 0
+        for c in cuts * 10:
+            if i >= len(pdf):
+                break
+            batches.append(pdf.iloc[i:i + c].reset_index(drop=True))
+            i += c
+        if i < len(pdf):
+            batches.append(pdf.iloc[i:].reset_index(drop=True))
+        got = pd.concat(list(_local_offsets("k")(iter(batches))), ignore_index=True)["_local"].to_numpy()
+        key = pdf["k"].fillna("\0")
+        want = (pdf.groupby(key, sort=False)["_copies"].cumsum() - pdf["_copies"]).to_numpy()
+        assert np.array_equal(got, want)
+
+    check()

@@ -126,7 +126,7 @@ def q_analysis_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_generated_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic payment per line item (ids from the table), cleaned and validated."""
-    ids = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    ids = spark.read.schema("l_orderkey BIGINT, l_linenumber INT").parquet(f"{sf_dir}/lineitem.parquet").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id")
     )
     raw = generate_payments(spark, ids=ids, as_of=FIXTURE_AS_OF)

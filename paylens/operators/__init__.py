@@ -4,6 +4,7 @@ from paylens.operators.anomaly import amount_stats, detect_anomalies, score_amou
 from paylens.operators.clean import clean
 from paylens.operators.quality import quality_report, quality_report_dict
 from paylens.operators.rollups import (
+    aggregation_sets,
     aggregations,
     aggregations_dict,
     by_currency,
@@ -17,11 +18,12 @@ from paylens.operators.rollups import (
     valid_only,
     with_countries,
 )
+from paylens.operators.sequence import sender_sequence
 from paylens.operators.validate import validate
 
 __all__ = [
     "amount_stats", "detect_anomalies", "score_amounts", "clean", "quality_report",
-    "quality_report_dict", "aggregations", "aggregations_dict", "by_currency", "by_msg_type",
+    "quality_report_dict", "aggregation_sets", "aggregations", "aggregations_dict", "by_currency", "by_msg_type",
     "country_statistics", "daily_volumes", "overall_stats", "top_parties", "top_receivers",
-    "top_senders", "valid_only", "with_countries", "validate",
+    "top_senders", "valid_only", "with_countries", "validate", "sender_sequence",
 ]

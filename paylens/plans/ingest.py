@@ -27,6 +27,14 @@ def validated_from_raw(raw: DataFrame, as_of: Column | str | None = None, strict
     return raw.transform(clean, as_of=as_of, strict=strict).transform(validate, as_of=as_of)
 
 
+def observed_for_write(validated: DataFrame, partition_by: Iterable[str] | None = None) -> tuple[DataFrame, Observation]:
+    """Cluster for the partitioned write, then attach the quality metrics above that exchange."""
+    cols = list(partition_by or [])
+    df = rebalance_for_write(validated, cols) if cols else validated
+    obs = Observation("quality")
+    return df.observe(obs, *quality_metric_columns()), obs
+
+
 def write_validated(
     validated: DataFrame,
     output_path: str,
@@ -40,9 +48,8 @@ def write_validated(
     when tasks are retried, so a lost executor cannot double count.
     """
     cols = list(partition_by or [])
-    df = rebalance_for_write(validated, cols) if cols else validated
-    obs = Observation("quality")
-    write_parquet(df.observe(obs, *quality_metric_columns()), output_path, cols, rebalance=False)
+    df, obs = observed_for_write(validated, cols)
+    write_parquet(df, output_path, cols, rebalance=False)
     return report_from_metrics(obs.get, exact)
 
 

@@ -58,3 +58,16 @@ def test_anomaly_stats_are_a_subquery_not_a_join(processed):
     plan = physical(detect_anomalies(processed))
     assert "Subquery" in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_quality_metrics_are_observed_in_the_write_stage(spark):
+    from paylens.config import RAW_SCHEMA
+    from paylens.plans.ingest import observed_for_write
+
+    v = validated_from_raw(spark.createDataFrame(VALID5, RAW_SCHEMA), AS_OF)
+    df, _ = observed_for_write(v, ["year", "month", "day"])
+    plan = physical(df)
+    # top-down: CollectMetrics is the parent of the rebalance exchange, i.e. it runs in the
+    # result stage, whose task metrics Spark applies once per partition even on retries
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

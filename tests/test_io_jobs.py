@@ -227,3 +227,19 @@ def test_csv_permissive_more_cases(spark):
     assert rows[1].amount != rows[1].amount  # NaN
     assert rows[2].amount == float("inf")
     assert rows[3].sender_bic is None and rows[3].receiver_bic is None
+
+
+def test_observed_report_is_exact_when_write_tasks_are_retried():
+    """Half the write tasks fail on their first attempt and are retried (local[4,4]);
+    the report observed by the write must still count every row exactly once."""
+    import json
+    import subprocess
+    import sys
+
+    helper = os.path.join(os.path.dirname(__file__), "helpers", "retry_write.py")
+    out = subprocess.run([sys.executable, helper, "/root/testdata/sf0.001"], capture_output=True, text=True,
+                         timeout=600, cwd=tempfile.gettempdir())
+    assert out.returncode == 0, out.stderr[-2000:]
+    got = json.loads(out.stdout.strip().splitlines()[-1])
+    assert got["report_total"] == got["written"] == got["expected"] == 6000
+    assert got["report_valid"] == 5082

@@ -52,3 +52,25 @@ def test_stream_ingest_matches_batch(spark, raw):
     assert got.select(sorted(got.columns)).exceptAll(want.select(sorted(want.columns))).count() == 0
     assert sum(int(m["total_records"]) for m in observed) == 13
     assert sum(int(m["valid_records"]) for m in observed) == 12
+
+
+def test_stream_ingest_restart_processes_only_new_files(spark, raw):
+    src = scratch_path(spark, "t-restart-src")
+    write_csv(raw(VALID5).coalesce(1), src + "/a")
+    write_csv(raw(INVALID8).coalesce(1), src + "/b")
+    landing = scratch_path(spark, "t-restart-landing").removeprefix("file:")
+    os.makedirs(landing, exist_ok=True)
+
+    def land(sub):
+        d = (src + "/" + sub).removeprefix("file:")
+        for f in os.listdir(d):
+            if f.endswith(".csv"):
+                os.link(os.path.join(d, f), os.path.join(landing, f"{sub}-{f}"))
+
+    out, ckpt = scratch_path(spark, "t-restart-out"), scratch_path(spark, "t-restart-ckpt")
+    land("a")
+    start_stream_ingest(spark, landing, out, checkpoint_location=ckpt, as_of=AS_OF).awaitTermination(120)
+    assert read_processed(spark, out).count() == 5
+    land("b")  # a new file arrives; the restarted stream must take only that one
+    start_stream_ingest(spark, landing, out, checkpoint_location=ckpt, as_of=AS_OF).awaitTermination(120)
+    assert read_processed(spark, out).count() == 13

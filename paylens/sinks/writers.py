@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -17,12 +17,15 @@ from paylens.config import ANALYSIS_TABLES
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Makes sure the SparkContext checkpoints there too. Only when the session
-    names no folder at all (local tests) a private temp folder is created.
+    Makes sure the SparkContext checkpoints there too. A private temp folder is
+    created only for a ``local`` master that names none (tests); any other
+    master without the setting raises, since executors could not see it.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set for master {sc.master}; name a folder all executors share")
         root = tempfile.mkdtemp(prefix="paylens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -32,10 +35,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    path = f"{root}/paylens/{name}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:").rsplit("/", 1)[0], exist_ok=True)
-    return path
+    return f"{root}/paylens/{name}-{uuid.uuid4().hex}"
 
 
 #: Without AQE, each partition-directory value is spread over this many tasks.

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import lang_id, line_dedup, mixing
+from paylens.llm import lang_id, line_dedup, mixing, packing, token_output
 from paylens.llm.common import read_table, ship_package
+from paylens.sinks.writers import scratch_path
 
 #: Target shares of op1: the hot source may take 8 of 27 blocks, each other source one.
 MIX_WEIGHTS = {"src0": 8} | {f"src{i}": 1 for i in range(1, 20)}
@@ -36,10 +38,27 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "llm-shards")
+    token_output.write_shards(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_output.read_documents(spark, path, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
+    "op6_packing": op6_packing,
     "op9_language_id": op9_language_id,
+    "op10_token_output": op10_token_output,
 }
 
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w})" for s, w in [*MIX_WEIGHTS.items(), ("", 1)])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import lang_id, line_dedup, mixing, packing, token_output
+from paylens.llm import lang_id, line_dedup, mixing, near_dup, packing, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -29,6 +29,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "kept_whole", F.md5("text").alias("text_md5"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
     "op6_packing": op6_packing,
+    "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_output": op10_token_output,
 }

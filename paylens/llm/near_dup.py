@@ -210,10 +210,12 @@ def _overlaps(hashes: list[np.ndarray]) -> np.ndarray:
 
 def local_roots(linked: np.ndarray) -> np.ndarray:
     """For each row of a symmetric boolean matrix, the first row it is connected to."""
-    root = np.arange(len(linked))
+    root = np.arange(len(linked), dtype=np.int32)
     while True:
-        low = np.where(linked, root[None, :], len(root)).min(axis=1)
-        low = np.minimum(low, root)
+        low = root.copy()
+        for at in range(0, len(root), 256):
+            rows = slice(at, at + 256)
+            low[rows] = np.minimum(low[rows], np.where(linked[rows], root, np.int32(len(root))).min(axis=1))
         low = low[low]
         if (low == root).all():
             return root

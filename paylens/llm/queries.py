@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import lang_id, line_dedup, mixing, near_dup, packing, token_output
+from paylens.llm import ann, embedding_dedup, lang_id, line_dedup, mixing, near_dup, packing, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -43,6 +43,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return embedding_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +72,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
+    "op3_nearest": op3_nearest,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_packing": op6_packing,
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import ann, embedding_dedup, lang_id, line_dedup, mixing, near_dup, packing, token_output
+from paylens.llm import ann, embedding_dedup, lang_id, line_dedup, mixing, near_dup, packing, quality, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -17,6 +17,11 @@ MIX_WEIGHTS = {"src0": 8} | {f"src{i}": 1 for i in range(1, 20)}
 MIX_BLOCK = 16
 
 
+def held_out(folds: int, rest: int) -> Column:
+    """Whether the CRC-32 of the id as text leaves ``rest``; not so for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == rest, F.lit(False))
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     mixed = mixing.mix_sources(docs, MIX_WEIGHTS, other_weight=1, block_rows=MIX_BLOCK)
@@ -38,9 +43,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     profiles = lang_id.learn_profiles(docs.filter(lang_id.learning_fold()))
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     found = lang_id.identify(docs.select("doc_id", "text"), profiles)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +58,16 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(lang_id.learning_fold(folds=5, held_out=0))
+    scored = quality.score_documents(docs, quality.learn(docs, labels))
+    return scored.select(
+        "doc_id", held_out(5, 0).alias("held_out"), F.col("quality_score").alias("score"), F.col("quality_predicted").alias("predicted")
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -74,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_nearest": op3_nearest,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_quality": op5_quality,
     "op6_packing": op6_packing,
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,

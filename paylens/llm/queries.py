@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import ann, embedding_dedup, lang_id, line_dedup, mixing, near_dup, packing, quality, token_output
+from paylens.llm import ann, embedding_dedup, lang_id, licenses, line_dedup, mixing, near_dup, packing, quality, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -34,6 +34,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "kept_whole", F.md5("text").alias("text_md5"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select("doc_id", "text_digest", "license_id", "notice_ids", "n_notices")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -90,11 +95,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality": op5_quality,
     "op6_packing": op6_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_output": op10_token_output,
 }
 
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    """The canonical form of a licence text, in DuckDB."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    s = f"translate({text}, '{upper}', '{upper.lower()}')"
+    s = f"regexp_replace({s}, {_quoted(licenses.COPYRIGHT_LINE)}, chr(10), 'g')"
+    s = f"' ' || trim(regexp_replace({s}, {_quoted(licenses.MARKS)}, ' ', 'g')) || ' '"
+    for phrase, same in licenses.EQUIVALENT_PHRASES:
+        s = f"replace({s}, '{phrase}', '{same}')"
+    for pattern, middle in licenses.EQUIVALENT_ENDINGS:
+        s = f"regexp_replace({s}, {_quoted(pattern)}, '\\1{middle}\\2 ', 'g')"
+    return f"ltrim({s})"
+
+
+def _digest_sql(text: str) -> str:
+    form = _canonical_sql(text)
+    return f"CASE WHEN {form} <> '' THEN sha256({form}) END"
+
+
+_KNOWN_SQL = ", ".join(
+    f"({whole}, {_quoted(k)}, {_quoted(v)})"
+    for whole, known in (("true", licenses.LICENSE_TEXTS), ("false", licenses.LICENSE_NOTICES))
+    for k, v in known.items()
+)
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w})" for s, w in [*MIX_WEIGHTS.items(), ("", 1)])
 
 ORACLE_SQL: dict[str, str] = {
@@ -152,5 +186,18 @@ SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_lines,
        coalesce(kept_whole, false) AS kept_whole,
        md5(CASE WHEN hits > 0 AND NOT kept_whole THEN coalesce(rest, '') ELSE text END) AS text_md5
 FROM rows LEFT JOIN per_row USING (rid)
+""",
+    "op7_license_scan": f"""
+WITH raw(whole, license, known) AS (VALUES {_KNOWN_SQL}),
+known AS (SELECT whole, d, min(license) AS license FROM (SELECT whole, license, {_digest_sql("known")} AS d FROM raw) GROUP BY whole, d),
+rows AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM rows),
+notices AS (
+  SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notice_ids, count(*) AS n_notices
+  FROM (SELECT rid, {_digest_sql("line")} AS d FROM lines) l JOIN known k ON l.d = k.d AND NOT k.whole GROUP BY rid),
+digests AS (SELECT rid, doc_id, {_digest_sql("text")} AS text_digest FROM rows)
+SELECT doc_id, text_digest, k.license AS license_id, coalesce(notice_ids, '') AS notice_ids,
+       CAST(coalesce(n_notices, 0) AS BIGINT) AS n_notices
+FROM digests LEFT JOIN known k ON text_digest = k.d AND k.whole LEFT JOIN notices USING (rid)
 """,
 }

@@ -53,6 +53,24 @@ def all_of(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return cond
 
 
+#: Buckets of the prefilter of :func:`only`, and so the bound of what it broadcasts (8 bytes each).
+ONLY_BUCKETS = 1 << 20
+
+
+def only(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is among ``ids`` (one column of distinct longs, of any number).
+
+    Where few rows are wanted, a bounded broadcast of their ids' hash buckets
+    drops most others before the join, so that it doesn't shuffle whole texts
+    only to drop them.
+    """
+    (name,) = ids.columns
+    bucket = F.pmod(F.xxhash64(F.col(name)), F.lit(ONLY_BUCKETS)).cast("int")
+    buckets = F.broadcast(ids.select(bucket.alias("only_bucket")).distinct())
+    mine = F.pmod(F.xxhash64(F.col(key)), F.lit(ONLY_BUCKETS)).cast("int")
+    return rows.join(buckets, mine == F.col("only_bucket"), "left_semi").join(ids, F.col(key) == F.col(name), "left_semi")
+
+
 def ranked(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[str], name: str) -> DataFrame:
     """Add ``name``: the 0-based rank of a row in its ``group``, ordered by (``bucket``, *``order``).
 

@@ -26,19 +26,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import connected_components, staged
+from paylens.llm.common import connected_components, only, staged
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Retained hashes per document.
 K = 96
-#: Retained values that linked documents share at least: 5.7 standard deviations below the mean of 72.
-MIN_SHARED = 48
+#: Of the retained hashes, those that the inverted lists are made of.
+LISTED_OF = 64
+#: Of these, linked documents share at least so many: 5.7 standard deviations below the mean of 48.
+MIN_SHARED = 28
 #: Matches among the K smallest of the union that a candidate needs: 5 deviations below.
 MIN_MATCHES = 51
 #: Longest inverted list of which all pairs are estimated one by one.
 SHORT_LIST = 64
+#: Retained hashes by which a document enters longer lists; linked ones share none of them with probability 2e-10.
+LONG_OF = 16
 #: Documents of a longer list that are compared in one block.
 BLOCK = 2048
 #: Retained hashes in longer lists; sets up to this size are compared in full there.
@@ -117,7 +121,9 @@ def _matrix(rows: list[np.ndarray], width: int, fill: int) -> np.ndarray:
     """Rows of uint64 values padded to ``width`` with values found nowhere else (from ``fill`` down)."""
     lens = np.array([min(len(r), width) for r in rows])
     out = np.broadcast_to(np.uint64(fill) - np.arange(width, dtype=np.uint64), (len(rows), width)).copy()
-    out[np.arange(width) < lens[:, None]] = np.concatenate([r[:width] for r in rows]).view(np.uint64) if len(rows) else 0
+    if len(rows):
+        values = np.concatenate([r[:width] for r in rows])
+        out[np.arange(width) < lens[:, None]] = values.view(np.uint64 if values.dtype.itemsize == 8 else np.uint32)
     return out
 
 
@@ -160,7 +166,7 @@ def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
 def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidate pairs of short lists; rows come sorted by value."""
     for rows in _runs(batches, ["v"]):
-        value, rep, n, pos = (rows[c].to_numpy() for c in ("v", "rep", "n", "pos"))
+        value, rep, n = (rows[c].to_numpy() for c in ("v", "rep", "n"))
         i = np.arange(len(rows))
         pairs = []
         for step in range(1, len(rows)):
@@ -173,13 +179,14 @@ def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = np.concatenate(pairs, axis=1)
         fits = (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])) & (rep[a] != rep[b])
         a, b = a[fits], b[fits]
-        hashes, listed = rows["hashes"].to_list(), rows["listed"].to_list()
+        hashes, before = rows["hashes"].to_list(), rows["before"].to_list()
+        pos = np.array([len(x) for x in before])
         for at in range(0, len(a), 8192):
             x, y = a[at : at + 8192], b[at : at + 8192]
             # only in the list of the first value that both are listed under
             width = int(max(pos[x].max(), pos[y].max(), 1))
-            left = _matrix([listed[k][: pos[k]] for k in x], width, (1 << 64) - 1)
-            right = _matrix([listed[k][: pos[k]] for k in y], width, (1 << 64) - 1 - (1 << 20))
+            left = _matrix([before[k] for k in x], width, (1 << 64) - 1)
+            right = _matrix([before[k] for k in y], width, (1 << 64) - 1 - (1 << 20))
             first = _matches(left, right, 0)[0] == 0
             x, y = x[first], y[first]
             if not len(x):
@@ -237,7 +244,7 @@ def _links_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             whole = (n_a <= WIDE) & (n_b <= WIDE)
             linked = sized & whole & (100 * shared >= PERCENT * (n_a + n_b - shared))
             np.fill_diagonal(linked, False)
-            unsure = sized & ~whole & (shared >= MIN_SHARED * (WIDE // K))
+            unsure = sized & ~whole & (shared >= WIDE // 2)
             likely = np.zeros_like(linked)
             if unsure.any():
                 x, y = np.nonzero(np.triu(unsure, 1))
@@ -302,45 +309,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored. Empty input gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    # Arrow batches of whole texts: the hashing holds 512 documents at a time
-    sketched = staged(rows.mapInPandas(_sets(K, WORDS), SETS), "sketches")
+    sized = staged(rows.mapInPandas(_sets(0, WORDS), SETS).select("doc_id", "n", "digest"), "digests")
     classes = (
-        sketched.filter("digest is not null and doc_id is not null")
+        sized.filter("digest is not null and doc_id is not null")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("rep"))
         .withColumnRenamed("digest", "c_digest")
     )
     classes = staged(classes, "classes")
-    reps = sketched.join(classes, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
-    reps = staged(reps.select("rep", "digest", "n", "hashes").dropDuplicates(["rep", "digest"]), "representatives")
+    # hashing the texts again costs less than keeping the sketches of all copies
+    reps = rows.mapInPandas(_sets(K, WORDS), SETS).join(classes, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
+    reps = reps.select(F.xxhash64("rep", "digest").alias("node"), "rep", "n", "hashes").dropDuplicates(["node"])
+    reps = staged(reps, "representatives")
 
     # values that two documents retain, rarest first, as many of each document as it must be listed under
-    values = reps.select("rep", "digest", F.explode("hashes").alias("v"))
+    values = reps.select("node", F.explode(F.slice("hashes", 1, LISTED_OF)).alias("v"))
     common = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").withColumnRenamed("v", "c_v")
-    shared = values.join(common, F.col("v") == F.col("c_v")).groupBy("rep", "digest")
-    shared = shared.agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared")).withColumnsRenamed({"rep": "s_rep", "digest": "s_digest"})
+    shared = values.join(common, F.col("v") == F.col("c_v")).groupBy("node")
+    shared = shared.agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared")).withColumnRenamed("node", "s_node")
     need = F.least(F.lit(MIN_SHARED), F.ceil(F.col("n") * PERCENT / 100)).cast("int")
-    retained = F.least(F.col("n"), F.lit(K)).cast("int")
+    retained = F.least(F.col("n"), F.lit(LISTED_OF)).cast("int")
     # those that no one else retains stand before all others
     listed = retained - need + 1 - (retained - F.size("shared"))
-    lists = reps.join(shared, (F.col("rep") == F.col("s_rep")) & (F.col("digest") == F.col("s_digest")))
-    lists = lists.withColumn("listed", listed).filter("listed > 0").select("rep", "digest", "n", "hashes", F.slice("shared", 1, F.col("listed")).alias("listed"))
-    lists = staged(lists, "lists")
-
-    entries = lists.select("rep", "n", "hashes", F.col("listed.v").alias("listed"), F.posexplode("listed").alias("pos", "entry"))
-    entries = entries.select("rep", "n", "hashes", "listed", "pos", F.col("entry.v").alias("v"), F.col("entry.df").alias("df"))
-    short = entries.filter(F.col("df") <= SHORT_LIST).drop("df").repartition("v").sortWithinPartitions("v")
-    pairs = short.mapInPandas(_pairs_of_lists, "a long, b long")
-
-    # of documents in long lists, wide sketches
-    in_long = lists.filter(F.exists("listed", lambda e: e["df"] > SHORT_LIST)).select("rep", "digest", "listed")
-    texts = rows.join(in_long.select("rep").distinct(), F.col("doc_id") == F.col("rep"), "left_semi")
-    wide = texts.mapInPandas(_sets(WIDE, WORDS), SETS).withColumnRenamed("digest", "w_digest").dropDuplicates(["doc_id", "w_digest"])
-    long_entries = in_long.join(wide, (F.col("rep") == F.col("doc_id")) & (F.col("digest") == F.col("w_digest")))
-    long_entries = long_entries.select("rep", "n", "hashes", F.explode(F.filter("listed", lambda e: e["df"] > SHORT_LIST)).alias("entry"))
+    lists = reps.join(shared, F.col("node") == F.col("s_node")).withColumn("listed", listed).filter("listed > 0")
+    lists = staged(lists.select("node", "rep", "n", "hashes", "shared", F.slice("shared", 1, F.col("listed")).alias("listed")), "lists")
+
+    # halves of hashes do for estimates
+    halves = F.transform("hashes", lambda x: F.shiftright(x, 32).cast("int"))
+    short = lists.select("rep", "n", halves.alias("hashes"), F.col("listed.v").alias("before"), F.posexplode("listed").alias("pos", "entry"))
+    short = short.filter(F.col("entry.df") <= SHORT_LIST)
+    short = short.select("rep", "n", "hashes", F.slice("before", 1, F.col("pos")).alias("before"), F.col("entry.v").alias("v"))
+    pairs = short.repartition("v").sortWithinPartitions("v").mapInPandas(_pairs_of_lists, "a long, b long")
+
+    # a document under a long list enters those of its smallest hashes, with a wide sketch
+    in_long = lists.filter(F.exists("listed", lambda e: e["df"] > SHORT_LIST))
+    low = F.slice("hashes", 1, LONG_OF)
+    in_long = in_long.select("node", "rep", F.filter("shared", lambda e: (e["df"] > SHORT_LIST) & F.array_contains(low, e["v"])).alias("entries"))
+    texts = only(rows, "doc_id", in_long.select("rep").distinct())
+    wide = texts.mapInPandas(_sets(WIDE, WORDS), SETS).withColumn("w_node", F.xxhash64("doc_id", "digest")).dropDuplicates(["w_node"])
+    long_entries = in_long.join(wide, F.col("node") == F.col("w_node")).select("rep", "n", "hashes", F.explode("entries").alias("entry"))
     blocks = F.ceil(F.col("entry.df") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    # a block meets every other block of its list; itself too if it is the only one
+    # a block meets every other block of its list; itself if it is the only one
     others = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), blocks - 1), lambda b: b != mine))
     long_entries = long_entries.select("rep", "n", "hashes", F.col("entry.v").alias("v"), mine.alias("mine"), F.explode(others).alias("other"))
     long_entries = long_entries.select(
@@ -354,10 +364,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = candidates.filter("verified").select("a", "b").union(verified_pairs(rows, candidates.filter("not verified"), classes))
 
     components = connected_components(links).select(F.col("node").alias("m_node"), "component")
-    members = sketched.select("doc_id", "n", "digest").join(classes, F.col("digest") == F.col("c_digest"), "left")
+    members = sized.join(classes, F.col("digest") == F.col("c_digest"), "left")
     members = members.join(components, F.col("rep") == F.col("m_node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    # texts of a repeated id can stand in several classes
     return members.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -369,7 +378,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def verified_pairs(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) of representatives whose full shingle sets, made anew from their texts, are linked."""
     ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = rows.join(ids, F.col("doc_id") == F.col("rep"), "left_semi")
+    texts = only(rows, "doc_id", ids)
     sets = texts.mapInPandas(_sets(None, WORDS), SETS).join(classes, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
     sets = staged(sets.select("rep", "hashes").dropDuplicates(["rep"]), "full-sets")
     a = sets.select(F.col("rep").alias("a_rep"), F.col("hashes").alias("set_a"))

@@ -64,9 +64,9 @@ def amount_is_valid(c: ColumnOrName = "amount") -> Column:
     return F.when(_col(c) > 0, F.lit(True)).otherwise(F.lit(False))
 
 
-def bic_is_valid(c: ColumnOrName) -> Column:
+def bic_is_valid(c: ColumnOrName, pattern: str = BIC_PATTERN) -> Column:
     """Regex check of a BIC. NULL stays NULL (three-valued logic)."""
-    return _col(c).rlike(BIC_PATTERN)
+    return _col(c).rlike(pattern)
 
 
 def currency_is_valid(c: ColumnOrName = "currency", allowed: Iterable[str] = VALID_CURRENCIES) -> Column:

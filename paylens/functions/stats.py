@@ -1,14 +1,7 @@
-"""Aggregate expressions for money columns.
+"""Aggregate expressions for money columns: plain double sums, means and deviations.
 
-``exact=False`` gives Spark's double ``sum``/``avg``, as a plain reimplementation
-would. ``exact=True`` sums the amount as ``decimal(30,2)`` (cents, no rounding
-drift, independent of the order partial sums are merged in) and turns the
-total back into a double once; the average is that total over the count of
-summed values. Both forms run as ordinary partial + final hash aggregates.
-
-With ``exact=True`` a NaN or out-of-range amount cannot be represented in
-cents and is left out of sum, count and average (``try_cast``) instead of
-failing the query; min and max still see it.
+No amount is dropped or rounded on the way: what is counted is also summed.
+NaN and infinite amounts make sum and average NaN or infinite, as doubles do.
 """
 
 from __future__ import annotations
@@ -16,32 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_TYPE = "decimal(30,2)"
-
-
-def _cents(c: str) -> Column:
-    return F.col(c).try_cast(MONEY_TYPE)
 
-
-def money_sum(c: str = "amount", exact: bool = False) -> Column:
-    if exact:
-        return F.sum(_cents(c)).cast("double")
+def money_sum(c: str = "amount") -> Column:
     return F.sum(c)
 
 
-def money_avg(c: str = "amount", exact: bool = False) -> Column:
-    if exact:
-        # try_divide: a group whose amounts are all NaN has a count of 0
-        return F.try_divide(F.sum(_cents(c)).cast("double"), F.count(_cents(c)))
+def money_avg(c: str = "amount") -> Column:
     return F.avg(c)
 
 
-def money_stddev(c: str = "amount", exact: bool = False) -> Column:
-    """Sample standard deviation; NULL for fewer than two values.
-
-    The exact form rounds to 4 decimals (1/100 of a cent) so the last bits of
-    the floating-point merge order cannot leak into results.
-    """
-    if exact:
-        return F.round(F.stddev_samp(c), 4)
+def money_stddev(c: str = "amount") -> Column:
+    """Sample standard deviation; NULL for fewer than two values."""
     return F.stddev_samp(c)

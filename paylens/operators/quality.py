@@ -29,16 +29,12 @@ def quality_metric_columns() -> list[Column]:
         F.count_if(F.col("is_high_value")).alias("high_value_count"),
         F.sum(F.round(F.col("quality_score") * N_CHECKS).cast("bigint")).alias("_score_points"),
         F.count("quality_score").alias("_scored_rows"),
-        F.avg("quality_score").alias("_avg_score"),
     ]
 
 
-def _finish(m: DataFrame, exact: bool) -> DataFrame:
+def _finish(m: DataFrame) -> DataFrame:
     total, valid = F.col("total_records"), F.col("valid_records")
-    if exact:
-        avg_score = F.col("_score_points").cast("double") / (F.col("_scored_rows").cast("double") * float(N_CHECKS))
-    else:
-        avg_score = F.col("_avg_score")
+    avg_score = F.try_divide(F.col("_score_points").cast("double"), F.col("_scored_rows").cast("double") * float(N_CHECKS))
     derived = {
         "invalid_records": total - valid,
         "validity_rate": F.when(total > 0, valid.cast("double") / total.cast("double")).otherwise(F.lit(0.0)),
@@ -48,25 +44,22 @@ def _finish(m: DataFrame, exact: bool) -> DataFrame:
     return m.withColumns(derived).select(*QUALITY_REPORT_KEYS)
 
 
-def quality_report(df: DataFrame, exact: bool = False) -> DataFrame:
+def quality_report(df: DataFrame) -> DataFrame:
     """One-row DataFrame with the 13 report metrics, in report order.
 
     Counters use the negated flag, so a NULL flag is not counted by its own
-    counter (a NULL message type is counted nowhere). ``exact`` computes the
-    average score from the integer number of passed checks.
+    counter (a NULL message type is counted nowhere). The average score comes
+    from the integer number of passed checks, so it has no rounding drift.
     """
-    return _finish(df.agg(*quality_metric_columns()), exact)
+    return _finish(df.agg(*quality_metric_columns()))
 
 
-def report_from_metrics(metrics: dict[str, Any], exact: bool = False) -> dict[str, Any]:
+def report_from_metrics(metrics: dict[str, Any]) -> dict[str, Any]:
     """Turn observed raw metrics (``quality_metric_columns``) into the report dict."""
     total = int(metrics.get("total_records") or 0)
     valid = int(metrics.get("valid_records") or 0)
-    if exact:
-        scored = metrics.get("_scored_rows") or 0
-        avg = (metrics.get("_score_points") or 0) / (scored * N_CHECKS) if scored else None
-    else:
-        avg = metrics.get("_avg_score")
+    scored = metrics.get("_scored_rows") or 0
+    avg = (metrics.get("_score_points") or 0) / (scored * N_CHECKS) if scored else None
     out = {k: int(metrics.get(k) or 0) for k in COUNT_KEYS}
     out.update(
         invalid_records=total - valid,
@@ -76,9 +69,9 @@ def report_from_metrics(metrics: dict[str, Any], exact: bool = False) -> dict[st
     return {k: out[k] for k in QUALITY_REPORT_KEYS}
 
 
-def quality_report_dict(df: DataFrame, exact: bool = False) -> dict[str, Any]:
+def quality_report_dict(df: DataFrame) -> dict[str, Any]:
     """The report as a Python dict (one action, one row to the driver)."""
-    row = quality_report(df, exact).first()
+    row = quality_report(df).first()
     report = row.asDict()
     if not report["total_records"]:
         report["validity_rate"] = 0  # the original reports an int 0 for empty input

@@ -19,31 +19,35 @@ from paylens.functions.rules import country_of
 from paylens.functions.stats import money_avg, money_stddev, money_sum
 
 
+#: Groups of a breakdown that reach the driver in the summary dicts.
+MAX_GROUPS = 1000
+
+
 def valid_only(df: DataFrame) -> DataFrame:
     """Rows whose ``is_valid`` is true (NULL and false dropped)."""
     return df.where(F.col("is_valid"))
 
 
-def overall_stats(df: DataFrame, exact: bool = False) -> DataFrame:
+def overall_stats(df: DataFrame) -> DataFrame:
     """One row: count, sum, avg, sample stddev, min and max of valid amounts."""
     return valid_only(df).agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        money_sum("amount", exact).alias("total_volume"),
-        money_avg("amount", exact).alias("avg_amount"),
-        money_stddev("amount", exact).alias("stddev_amount"),
+        money_sum("amount").alias("total_volume"),
+        money_avg("amount").alias("avg_amount"),
+        money_stddev("amount").alias("stddev_amount"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )
 
 
-def by_currency(df: DataFrame, exact: bool = False) -> DataFrame:
+def by_currency(df: DataFrame) -> DataFrame:
     """Valid payments per currency, most frequent first (ties by code)."""
     return (
         valid_only(df)
         .groupBy("currency")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            money_sum("amount", exact).alias("total_volume"),
+            money_sum("amount").alias("total_volume"),
         )
         .orderBy(F.desc("transaction_count"), F.asc("currency"))
     )
@@ -59,24 +63,37 @@ def by_msg_type(df: DataFrame) -> DataFrame:
     )
 
 
-def aggregations(df: DataFrame, exact: bool = False) -> dict[str, DataFrame]:
+def aggregations(df: DataFrame) -> dict[str, DataFrame]:
     """The three aggregate views of the ingest step, still lazy."""
     return {
-        "overall": overall_stats(df, exact),
-        "by_currency": by_currency(df, exact),
+        "overall": overall_stats(df),
+        "by_currency": by_currency(df),
         "by_message_type": by_msg_type(df),
     }
 
 
-def aggregations_dict(df: DataFrame, exact: bool = False) -> dict[str, Any]:
-    """Driver-side summary from ONE grouping-sets scan (tiny result: one row per group).
+def aggregations_dict(df: DataFrame, max_groups: int = MAX_GROUPS) -> dict[str, Any]:
+    """Driver-side summary: the overall row and the ``max_groups`` most frequent currencies and message types.
 
-    NULL or zero overall metrics are reported as 0.0.
+    NULL or zero overall metrics are reported as 0.0. Currencies of valid rows
+    may be arbitrary text (a row that fails one check is still valid), so the
+    lists are top-k reports; the full breakdowns are :func:`by_currency` and
+    :func:`by_msg_type`.
     """
-    return aggregations_from_sets(aggregation_sets(df, exact).collect())
+    return aggregations_from_sets(bounded_sets(aggregation_sets(df), max_groups).collect())
+
+
+def bounded_sets(sets: DataFrame, max_groups: int = MAX_GROUPS) -> DataFrame:
+    """Of :func:`aggregation_sets`, the overall row and the most frequent ``max_groups`` of each breakdown."""
+    kinds = {"currency": "currency", "msg_type": "msg_type"}
+    out = sets.filter(F.col("grouping_set") == "overall")
+    for kind, key in kinds.items():
+        top = sets.filter(F.col("grouping_set") == kind).orderBy(F.desc("transaction_count"), F.asc_nulls_first(key))
+        out = out.union(top.limit(max_groups))
+    return out
 
 
-def daily_volumes(df: DataFrame, exact: bool = False) -> DataFrame:
+def daily_volumes(df: DataFrame) -> DataFrame:
     """Per calendar day (session time zone) and currency: count, sum, avg, min, max.
 
     ``date`` is the payment time truncated to midnight (a timestamp).
@@ -86,8 +103,8 @@ def daily_volumes(df: DataFrame, exact: bool = False) -> DataFrame:
         .groupBy(F.date_trunc("day", F.col("timestamp")).alias("date"), F.col("currency"))
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            money_sum("amount", exact).alias("total_volume"),
-            money_avg("amount", exact).alias("avg_amount"),
+            money_sum("amount").alias("total_volume"),
+            money_avg("amount").alias("avg_amount"),
             F.min("amount").alias("min_amount"),
             F.max("amount").alias("max_amount"),
         )
@@ -95,7 +112,7 @@ def daily_volumes(df: DataFrame, exact: bool = False) -> DataFrame:
     )
 
 
-def top_parties(df: DataFrame, party: str = "sender", k: int = TOP_PARTIES, exact: bool = False) -> DataFrame:
+def top_parties(df: DataFrame, party: str = "sender", k: int = TOP_PARTIES) -> DataFrame:
     """The ``k`` BICs with most valid payments as ``party`` ("sender"/"receiver").
 
     Ties on the count are broken by BIC so the cut is deterministic. Planned
@@ -111,20 +128,20 @@ def top_parties(df: DataFrame, party: str = "sender", k: int = TOP_PARTIES, exac
         .groupBy(bic)
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            money_sum("amount", exact).alias(f"total_{suffix}"),
-            money_avg("amount", exact).alias(f"avg_{suffix}"),
+            money_sum("amount").alias(f"total_{suffix}"),
+            money_avg("amount").alias(f"avg_{suffix}"),
         )
         .orderBy(F.desc("transaction_count"), F.asc(bic))
         .limit(k)
     )
 
 
-def top_senders(df: DataFrame, k: int = TOP_PARTIES, exact: bool = False) -> DataFrame:
-    return top_parties(df, "sender", k, exact)
+def top_senders(df: DataFrame, k: int = TOP_PARTIES) -> DataFrame:
+    return top_parties(df, "sender", k)
 
 
-def top_receivers(df: DataFrame, k: int = TOP_PARTIES, exact: bool = False) -> DataFrame:
-    return top_parties(df, "receiver", k, exact)
+def top_receivers(df: DataFrame, k: int = TOP_PARTIES) -> DataFrame:
+    return top_parties(df, "receiver", k)
 
 
 def with_countries(df: DataFrame) -> DataFrame:
@@ -135,7 +152,7 @@ def with_countries(df: DataFrame) -> DataFrame:
     })
 
 
-def country_statistics(df: DataFrame, exact: bool = False) -> DataFrame:
+def country_statistics(df: DataFrame) -> DataFrame:
     """Per sender country, receiver country and currency: count, avg, stddev, min, max, sum.
 
     Most frequent first; ties ordered by the three keys.
@@ -146,17 +163,17 @@ def country_statistics(df: DataFrame, exact: bool = False) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            money_avg("amount", exact).alias("avg_amount"),
-            money_stddev("amount", exact).alias("stddev_amount"),
+            money_avg("amount").alias("avg_amount"),
+            money_stddev("amount").alias("stddev_amount"),
             F.min("amount").alias("min_amount"),
             F.max("amount").alias("max_amount"),
-            money_sum("amount", exact).alias("total_volume"),
+            money_sum("amount").alias("total_volume"),
         )
         .orderBy(F.desc("transaction_count"), *[F.asc(k) for k in keys])
     )
 
 
-def aggregation_sets(df: DataFrame, exact: bool = False) -> DataFrame:
+def aggregation_sets(df: DataFrame) -> DataFrame:
     """Overall, per-currency and per-message-type figures in ONE scan.
 
     A grouping-sets aggregate over ``()``, ``(currency)`` and ``(msg_type)``;
@@ -170,9 +187,9 @@ def aggregation_sets(df: DataFrame, exact: bool = False) -> DataFrame:
         .agg(
             gid.alias("_gid"),
             F.count(F.lit(1)).alias("transaction_count"),
-            money_sum("amount", exact).alias("total_volume"),
-            money_avg("amount", exact).alias("avg_amount"),
-            money_stddev("amount", exact).alias("stddev_amount"),
+            money_sum("amount").alias("total_volume"),
+            money_avg("amount").alias("avg_amount"),
+            money_stddev("amount").alias("stddev_amount"),
             F.min("amount").alias("min_amount"),
             F.max("amount").alias("max_amount"),
         )

@@ -1,151 +1,53 @@
 """Per-sender sequence numbers (``row_number`` by time) that survive skew.
 
 ``row_number() OVER (PARTITION BY sender ORDER BY timestamp)`` as a plain
-window puts every row of a sender into one task; a sender with a third of
-all payments would then sort a third of the data on one executor. This
-operator computes the same numbers with every task bounded:
-
-1. Exact copies are collapsed to one row with a ``_copies`` count (partial
-   aggregation folds them inside each map task before the shuffle).
-2. The distinct rows are range-partitioned on the complete sort key
-   (sender, order columns, all other columns) and sorted within partitions.
-   The key is unique per row, so the sampled range bounds split a hot sender
-   over as many partitions as its size needs.
-3. Inside each partition one sequential Arrow pass (``mapInPandas``) counts,
-   per row, the copies of the same sender that precede it in that partition.
-   The result is written once with ``checkpoint()`` to the shared
-   ``spark.checkpoint.dir``: every later step must see the very same
-   partitions (partition index is part of the key), whatever columns a
-   consumer prunes, and the lineage up to here is cut, so a lost executor
-   never triggers a re-sort. This is the one eager step of the operator.
-4. A small aggregate gives the copies per (partition, sender); a window over
-   that table (at most one row per partition for any sender) turns it into
-   the number of earlier rows of the sender in earlier partitions.
-5. Offsets are joined back on (partition, sender); copy groups are expanded,
-   big ones in chunks spread over tasks.
-
-Ties beyond ``order_by`` are broken by the remaining columns in DataFrame
-order (ascending, NULLs first), which makes the numbering deterministic.
-Identical rows are interchangeable, so their order does not matter.
+window puts every row of a sender into one task. Here rows are numbered inside
+(sender, time bucket), and the buckets' row counts, summed in time order, give
+each bucket's offset within its sender: one row per sender and bucket, so the
+window over them is small. Everything is lazy and stays in the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paylens.sinks.writers import checkpoint_root
-
-DEFAULT_CHUNK_ROWS = 1 << 20
-
-
-def _local_offsets(partition_col: str):
-    """Per partition: copies of the same key before each row (rows arrive sorted)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry, last_key, have_last = 0, None, False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[partition_col]
-            copies = pdf["_copies"].to_numpy(dtype=np.int64)
-            prev = keys.shift(1)
-            same = ((keys == prev) | (keys.isna() & prev.isna())).to_numpy()
-            first = keys.iloc[0]
-            same[0] = have_last and ((first == last_key) if not pd.isna(first) else pd.isna(last_key))
-            starts = ~same
-            before = np.cumsum(copies) - copies
-            idx = np.arange(len(copies))
-            run_start = np.maximum.accumulate(np.where(starts, idx, 0))
-            started = np.logical_or.accumulate(starts)
-            local = np.where(started, before - before[run_start], carry + before)
-            end = before[-1] + copies[-1]
-            carry = end - before[run_start[-1]] if started[-1] else carry + end
-            last_key, have_last = keys.iloc[-1], True
-            yield pdf.assign(_local=local)
-
-    return run
-
 
 def sender_sequence(
     df: DataFrame,
     partition_col: str = "sender_bic",
     order_by: Sequence[str] = ("timestamp",),
     out_col: str = "row_num",
-    num_partitions: int | None = None,
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    bucket: str | Column = "month",
 ) -> DataFrame:
     """``df`` plus ``out_col`` = 1-based position of the row within its ``partition_col``.
 
-    Runs the sort and the per-partition pass when called (checkpoint); the
-    offsets and the expansion stay lazy.
+    ``bucket`` is a ``date_trunc`` unit of the first order column, or a column
+    that never falls as that one rises: a sender's rows of one bucket are
+    sorted in one task. A month suits most senders; take a day or an hour
+    where one sender has billions of rows. NULL times come first.
 
-    ``num_partitions`` is the range-partition count (default: the session's
-    ``spark.sql.shuffle.partitions``); set it so a partition of distinct rows
-    fits a task comfortably. Copy groups larger than ``chunk_rows`` are
-    expanded in chunks of that size on different tasks.
+    Ties beyond ``order_by`` are broken by the remaining columns in DataFrame
+    order (ascending, NULLs first). Identical rows are interchangeable.
     """
+    if isinstance(bucket, str):
+        kind = df.schema[order_by[0]].dataType
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            raise ValueError(f"{order_by[0]} is no time: give bucket as a column")
+        bucket = F.date_trunc(bucket, F.col(order_by[0]))
     cols = list(df.columns)
     rest = [c for c in cols if c != partition_col and c not in order_by]
-    sort_key = [F.asc_nulls_first(c) for c in [partition_col, *order_by, *rest]]
-    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    ordered = (
-        counted.repartitionByRange(n_parts, *sort_key)
-        .sortWithinPartitions(*sort_key)
-        .withColumn("_pid", F.spark_partition_id())
-    )
-    # Materialize once: partition ids must mean the same rows in every
-    # consumer. Two separately planned range exchanges (e.g. after different
-    # column pruning) may sample different bounds.
-    checkpoint_root(df.sparkSession)
-    located = ordered.mapInPandas(
-        _local_offsets(partition_col),
-        T.StructType(ordered.schema.fields + [T.StructField("_local", T.LongType(), False)]),
-    ).checkpoint(eager=True)
-    earlier = Window.partitionBy(partition_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.select(F.struct(*cols).alias("row"), F.col(partition_col).alias("party"), bucket.alias("bucket"))
+    inside = Window.partitionBy("party", "bucket").orderBy(*[F.asc_nulls_first(f"row.{c}") for c in [*order_by, *rest]])
+    earlier = Window.partitionBy("o_party").orderBy(F.asc_nulls_first("o_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        located.groupBy("_pid", partition_col)
-        .agg(F.sum("_copies").alias("_in_part"))
-        .select(
-            F.col("_pid").alias("_opid"),
-            F.col(partition_col).alias("_okey"),
-            F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_off"),
-        )
-    )
-    based = (
-        located.join(
-            offsets,
-            (located["_pid"] == offsets["_opid"]) & located[partition_col].eqNullSafe(offsets["_okey"]),
-        )
-        .withColumn("_base", F.col("_off") + F.col("_local"))
-        .select(*cols, "_base", "_copies")
-    )
-
-    small = (
-        based.where(F.col("_copies") <= chunk_rows)
-        .select(*cols, "_base", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_i"))
-    )
-    last_chunk = ((F.col("_copies") - 1) / chunk_rows).cast("long")
-    big = (
-        based.where(F.col("_copies") > chunk_rows)
-        .select(*cols, "_base", "_copies", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_chunk"))
-        .repartition(n_parts, partition_col, "_base", "_chunk")
-        .select(
-            *cols,
-            "_base",
-            F.explode(
-                F.sequence(
-                    F.col("_chunk") * chunk_rows + 1,
-                    F.least((F.col("_chunk") + 1) * chunk_rows, F.col("_copies")),
-                )
-            ).alias("_i"),
-        )
+        rows.groupBy(F.col("party").alias("o_party"), F.col("bucket").alias("o_bucket"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("o_party", "o_bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     )
-    return small.unionByName(big).select(*cols, (F.col("_base") + F.col("_i")).alias(out_col))
+    numbered = rows.withColumn("number", F.row_number().over(inside))
+    same = F.col("party").eqNullSafe(F.col("o_party")) & F.col("bucket").eqNullSafe(F.col("o_bucket"))
+    return numbered.join(offsets, same).select("row.*", (F.col("before") + F.col("number")).alias(out_col))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.config import (
+    BIC_PATTERN,
     HIGH_VALUE_AMOUNT,
     VALID_CURRENCIES,
     VALID_MESSAGE_TYPES,
@@ -25,13 +26,14 @@ def quality_flags(
     currencies: Iterable[str] = VALID_CURRENCIES,
     msg_types: Iterable[str] = VALID_MESSAGE_TYPES,
     high_value: float = HIGH_VALUE_AMOUNT,
+    bic_pattern: str = BIC_PATTERN,
 ) -> dict[str, Column]:
     """Name -> expression of the eight row flags, in output order."""
     return {
         "has_nulls": R.any_null(NULL_CHECKED_COLUMNS),
         "is_amount_valid": R.amount_is_valid("amount"),
-        "is_sender_bic_valid": R.bic_is_valid("sender_bic"),
-        "is_receiver_bic_valid": R.bic_is_valid("receiver_bic"),
+        "is_sender_bic_valid": R.bic_is_valid("sender_bic", bic_pattern),
+        "is_receiver_bic_valid": R.bic_is_valid("receiver_bic", bic_pattern),
         "is_currency_valid": R.currency_is_valid("currency", currencies),
         "is_msg_type_valid": R.msg_type_is_valid("msg_type", msg_types),
         "is_timestamp_valid": R.timestamp_not_future("timestamp", as_of),
@@ -59,6 +61,7 @@ def validate(
     msg_types: Iterable[str] = VALID_MESSAGE_TYPES,
     high_value: float = HIGH_VALUE_AMOUNT,
     threshold: float = VALIDITY_THRESHOLD,
+    bic_pattern: str = BIC_PATTERN,
 ) -> DataFrame:
     """Append ``has_nulls`` .. ``is_high_value``, ``quality_score`` and ``is_valid``.
 
@@ -66,6 +69,6 @@ def validate(
     or timestamp makes its flag NULL, hence the score NULL and the row
     invalid. Catalyst collapses the three projections into one.
     """
-    flagged = df.withColumns(quality_flags(as_of, currencies, msg_types, high_value))
+    flagged = df.withColumns(quality_flags(as_of, currencies, msg_types, high_value, bic_pattern))
     scored = flagged.withColumn("quality_score", R.quality_score(scored_checks()))
     return scored.withColumn("is_valid", R.is_valid("quality_score", threshold))

@@ -3,6 +3,8 @@
     ingest <input_csv> <output_parquet> [partition_columns]
         partition columns comma separated, default year,month,day
     analyze <processed_parquet> <output_base>
+    generate <output_csv> [rows] [seed]
+        synthetic payments as headed CSV, 10,000 rows by default
 
 Exit code 1 on misuse or failure; the session is always stopped.
 """
@@ -14,11 +16,12 @@ import logging
 import sys
 
 from paylens.config import DEFAULT_PARTITION_COLUMNS
-from paylens.session import build_session, size_shuffle_partitions
+from paylens.session import build_session
 
 log = logging.getLogger("paylens")
 
 INGEST_USAGE = "usage: ingest <input_csv_path> <output_parquet_path> [partition_columns]"
+GENERATE_USAGE = "usage: generate <output_csv_path> [rows] [seed]"
 ANALYZE_USAGE = "usage: analyze <processed_parquet_path> <output_path>"
 
 
@@ -32,7 +35,6 @@ def ingest_main(argv: list[str]) -> int:
     try:
         from paylens.plans.ingest import run_ingest
 
-        size_shuffle_partitions(spark, input_path)
         _, report, aggs = run_ingest(spark, input_path, output_path, partition_by)
         print(json.dumps({"quality_report": report, "aggregations": aggs}, default=str))
         return 0
@@ -51,7 +53,6 @@ def analysis_main(argv: list[str]) -> int:
     try:
         from paylens.plans.analysis import run_analysis
 
-        size_shuffle_partitions(spark, argv[0])
         print(json.dumps(run_analysis(spark, argv[0], argv[1])))
         return 0
     except Exception:  # noqa: BLE001
@@ -61,9 +62,28 @@ def analysis_main(argv: list[str]) -> int:
         spark.stop()
 
 
+def generate_main(argv: list[str]) -> int:
+    if not 1 <= len(argv) <= 3 or not all(a.isdigit() for a in argv[1:]):
+        print(GENERATE_USAGE)
+        return 1
+    spark = build_session("paylens-generate")
+    try:
+        from paylens.sinks.writers import write_csv
+        from paylens.sources.generator import generate_payments
+
+        rows, seed = int(argv[1]) if len(argv) > 1 else 10_000, int(argv[2]) if len(argv) > 2 else 42
+        write_csv(generate_payments(spark, rows, seed=seed), argv[0])
+        return 0
+    except Exception:  # noqa: BLE001
+        log.exception("generate failed")
+        return 1
+    finally:
+        spark.stop()
+
+
 def main(argv: list[str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
-    commands = {"ingest": ingest_main, "analyze": analysis_main}
+    commands = {"ingest": ingest_main, "analyze": analysis_main, "generate": generate_main}
     if not argv or argv[0] not in commands:
         print(__doc__)
         return 1

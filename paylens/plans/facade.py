@@ -2,9 +2,9 @@
 two-class payments job already call, mapped onto the lazy operators.
 
 Differences, all deliberate: nothing here runs an action unless the method
-returns Python values (reports, aggregates) or writes; the session is always
-passed in; ``as_of`` pins the future-timestamp check; money aggregates can be
-made exact with ``exact=True``.
+returns Python values (reports, aggregates) or writes; ``as_of`` pins the
+future-timestamp check. Without a session one is built. The rule attributes can be
+overridden in a subclass or on an object.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from paylens.operators.rollups import aggregations_dict, country_statistics, dai
 from paylens.operators.validate import validate
 from paylens.plans.analysis import analysis_results
 from paylens.plans.ingest import run_ingest
+from paylens.session import build_session
 from paylens.sinks.writers import write_parquet, write_results
 from paylens.sources.payments import read_payments_csv, read_processed
 
@@ -33,8 +34,11 @@ class PaymentIngestor:
     VALID_MESSAGE_TYPES = list(VALID_MESSAGE_TYPES)
     BIC_PATTERN = BIC_PATTERN
 
-    def __init__(self, spark: SparkSession, as_of: Column | str | None = None, exact: bool = False):
-        self.spark, self.as_of, self.exact = spark, as_of, exact
+    def __init__(self, spark: SparkSession | None = None, as_of: Column | str | None = None):
+        self.spark, self.as_of = spark or build_session(), as_of
+
+    def rules(self) -> dict[str, Any]:
+        return {"currencies": self.VALID_CURRENCIES, "msg_types": self.VALID_MESSAGE_TYPES, "bic_pattern": self.BIC_PATTERN}
 
     def define_schema(self) -> StructType:
         return RAW_SCHEMA
@@ -46,19 +50,19 @@ class PaymentIngestor:
         return clean(df, as_of=self.as_of)
 
     def validate_data(self, df: DataFrame) -> DataFrame:
-        return validate(df, as_of=self.as_of)
+        return validate(df, as_of=self.as_of, **self.rules())
 
     def generate_quality_report(self, df: DataFrame) -> dict[str, Any]:
-        return quality_report_dict(df, self.exact)
+        return quality_report_dict(df)
 
     def perform_aggregations(self, df: DataFrame) -> dict[str, Any]:
-        return aggregations_dict(df, self.exact)
+        return aggregations_dict(df)
 
     def write_parquet(self, df: DataFrame, output_path: str, partition_by: list[str] | None = None) -> None:
         write_parquet(df, output_path, partition_by)
 
     def process(self, input_path: str, output_path: str, partition_by: list[str] | None = None):
-        return run_ingest(self.spark, input_path, output_path, partition_by, self.as_of, self.exact)
+        return run_ingest(self.spark, input_path, output_path, partition_by, self.as_of, rules=self.rules())
 
     def stop(self) -> None:
         self.spark.stop()
@@ -67,29 +71,29 @@ class PaymentIngestor:
 class PaymentAnalyzer:
     """The four analyses (five result tables) over processed payments."""
 
-    def __init__(self, spark: SparkSession, exact: bool = False):
-        self.spark, self.exact = spark, exact
+    def __init__(self, spark: SparkSession | None = None):
+        self.spark = spark or build_session()
 
     def read_processed_data(self, input_path: str) -> DataFrame:
         return read_processed(self.spark, input_path)
 
     def analyze_daily_volumes(self, df: DataFrame) -> DataFrame:
-        return daily_volumes(df, self.exact)
+        return daily_volumes(df)
 
     def analyze_top_senders_receivers(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return top_parties(df, "sender", exact=self.exact), top_parties(df, "receiver", exact=self.exact)
+        return top_parties(df, "sender"), top_parties(df, "receiver")
 
     def analyze_country_statistics(self, df: DataFrame) -> DataFrame:
-        return country_statistics(df, self.exact)
+        return country_statistics(df)
 
     def detect_anomalies(self, df: DataFrame) -> DataFrame:
-        return detect_anomalies(df, self.exact)
+        return detect_anomalies(df)
 
     def write_analysis_results(self, df: DataFrame, output_path: str, analysis_name: str) -> None:
         write_results({analysis_name: df}, output_path, [analysis_name])
 
     def run_full_analysis(self, input_path: str, output_path: str) -> None:
-        results = analysis_results(self.read_processed_data(input_path), self.exact)
+        results = analysis_results(self.read_processed_data(input_path), ordered=False)
         write_results(results, output_path, parallel=len(results))
 
     def stop(self) -> None:

@@ -9,22 +9,24 @@ grouping-sets scan of the written Parquet (four columns, pushed-down
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from paylens.operators.clean import clean
 from paylens.operators.quality import quality_metric_columns, report_from_metrics
-from paylens.operators.rollups import aggregation_sets, aggregations_from_sets
+from paylens.operators.rollups import aggregations_dict
 from paylens.operators.validate import validate
 from paylens.sinks.writers import rebalance_for_write, write_parquet
 from paylens.sources.payments import read_payments_csv, read_processed
 
 
-def validated_from_raw(raw: DataFrame, as_of: Column | str | None = None, strict: bool = False) -> DataFrame:
-    """``clean`` then ``validate`` (the processed table, still lazy)."""
-    return raw.transform(clean, as_of=as_of, strict=strict).transform(validate, as_of=as_of)
+def validated_from_raw(
+    raw: DataFrame, as_of: Column | str | None = None, strict: bool = False, rules: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """``clean`` then ``validate`` (the processed table, still lazy); ``rules`` are keyword arguments of ``validate``."""
+    return raw.transform(clean, as_of=as_of, strict=strict).transform(validate, as_of=as_of, **(rules or {}))
 
 
 def observed_for_write(validated: DataFrame, partition_by: Iterable[str] | None = None) -> tuple[DataFrame, Observation]:
@@ -39,7 +41,6 @@ def write_validated(
     validated: DataFrame,
     output_path: str,
     partition_by: Iterable[str] | None = None,
-    exact: bool = False,
 ) -> dict[str, Any]:
     """Write all rows (valid or not) and return the quality report of exactly those rows.
 
@@ -50,7 +51,7 @@ def write_validated(
     cols = list(partition_by or [])
     df, obs = observed_for_write(validated, cols)
     write_parquet(df, output_path, cols, rebalance=False)
-    return report_from_metrics(obs.get, exact)
+    return report_from_metrics(obs.get)
 
 
 def run_ingest(
@@ -59,17 +60,19 @@ def run_ingest(
     output_path: str,
     partition_by: Iterable[str] | None = None,
     as_of: Column | str | None = None,
-    exact: bool = False,
     strict: bool = False,
+    rules: Mapping[str, Any] | None = None,
 ) -> tuple[DataFrame, dict[str, Any], dict[str, Any]]:
     """Process raw CSV payments; returns (processed DataFrame, report, aggregations).
 
     ``partition_by`` defaults to none here (as the library call); the
     command line uses year/month/day. The returned DataFrame reads the
-    written Parquet, so later use never re-runs the CSV parse.
+    written Parquet, so later use never re-runs the CSV parse. ``rules``
+    override the check rules (``currencies``, ``msg_types``, ``bic_pattern``,
+    ``high_value``, ``threshold``).
     """
     raw = read_payments_csv(spark, input_path)
-    report = write_validated(validated_from_raw(raw, as_of, strict), output_path, partition_by, exact)
+    report = write_validated(validated_from_raw(raw, as_of, strict, rules), output_path, partition_by)
     processed = read_processed(spark, output_path)
-    aggs = aggregations_from_sets(aggregation_sets(processed, exact).collect())
+    aggs = aggregations_dict(processed)
     return processed, report, aggs

@@ -7,14 +7,17 @@ the Spark code, so the two are checked against each other. Tables
 
 from __future__ import annotations
 
-from paylens.config import BIC_PATTERN, HIGH_VALUE_AMOUNT, VALID_CURRENCIES, VALID_MESSAGE_TYPES
-from paylens.sources.fixture import (
-    BANK_CODES,
-    COUNTRY_CODES,
-    CURRENCY_CODES,
-    FIXTURE_AS_OF,
-    MSG_TYPE_CODES,
-)
+# --- Fixed values, stated here again so that a wrong one in the Spark code shows. ---
+VALID_CURRENCIES = ("USD", "EUR", "GBP", "JPY", "AUD", "CAD", "CHF", "CNY", "SEK", "NZD", "INR", "BRL")
+VALID_MESSAGE_TYPES = ("MT103", "MT202", "MT950", "MT940")
+BIC_PATTERN = "^[A-Z]{4}[A-Z]{2}[A-Z0-9]{2}([A-Z0-9]{3})?$"
+HIGH_VALUE_AMOUNT = 10000000
+FIXTURE_AS_OF = "2001-06-01 00:00:00"
+BANK_CODES = "ORIOLYRAVEGANORDALPS"
+COUNTRY_CODES = "USGBDEFRJPCNAUCABRINCHSENZITESNLBEPTIEDKNOFIPLATSG"
+CURRENCY_CODES = "USDEURGBPJPYAUDCADCHFCNYSEKNZDINRBRL"
+MSG_TYPE_CODES = "MT103MT202MT950MT940"
+# --- end of fixed values ---
 
 
 def _in_list(values) -> str:
@@ -104,10 +107,9 @@ valid AS (
   SELECT * FROM validated WHERE is_valid
 )"""
 
-CENTS = "TRY_CAST(amount AS DECIMAL(30,2))"
-EXACT_SUM = f"CAST(sum({CENTS}) AS DOUBLE)"
-EXACT_AVG = f"CAST(sum({CENTS}) AS DOUBLE) / count({CENTS})"
-EXACT_STDDEV = "round(stddev_samp(amount), 4)"
+SUM = "round(sum(amount), 2)"
+AVG = "CAST(avg(amount) AS FLOAT)"
+STDDEV = "CAST(stddev_samp(amount) AS FLOAT)"
 
 VALIDATED_SELECT = (
     '"timestamp", sender_bic, receiver_bic, amount, currency, msg_type, year, month, day, '
@@ -123,15 +125,15 @@ def _with(ctes: str, body: str) -> str:
 def _top(party: str, suffix: str) -> str:
     return _with(VALIDATED_CTES, f"""
 SELECT {party}_bic, CAST(count(*) AS BIGINT) AS transaction_count,
-       {EXACT_SUM} AS total_{suffix}, {EXACT_AVG} AS avg_{suffix}
+       {SUM} AS total_{suffix}, {AVG} AS avg_{suffix}
 FROM valid GROUP BY {party}_bic
 ORDER BY transaction_count DESC, {party}_bic ASC LIMIT 20""")
 
 
 COUNTRY_STATISTICS_BODY = f"""
 SELECT substr(sender_bic, 5, 2) AS sender_country, substr(receiver_bic, 5, 2) AS receiver_country, currency,
-       CAST(count(*) AS BIGINT) AS transaction_count, {EXACT_AVG} AS avg_amount, {EXACT_STDDEV} AS stddev_amount,
-       min(amount) AS min_amount, max(amount) AS max_amount, {EXACT_SUM} AS total_volume
+       CAST(count(*) AS BIGINT) AS transaction_count, {AVG} AS avg_amount, {STDDEV} AS stddev_amount,
+       min(amount) AS min_amount, max(amount) AS max_amount, {SUM} AS total_volume
 FROM valid GROUP BY 1, 2, 3
 ORDER BY transaction_count DESC, sender_country, receiver_country, currency"""
 
@@ -157,18 +159,18 @@ SELECT CAST(count(*) AS BIGINT) AS total_records,
        CAST(count_if(is_high_value) AS BIGINT) AS high_value_count
 FROM validated"""),
     "overall_stats": _with(VALIDATED_CTES, f"""
-SELECT CAST(count(*) AS BIGINT) AS total_transactions, {EXACT_SUM} AS total_volume, {EXACT_AVG} AS avg_amount,
-       {EXACT_STDDEV} AS stddev_amount, min(amount) AS min_amount, max(amount) AS max_amount
+SELECT CAST(count(*) AS BIGINT) AS total_transactions, {SUM} AS total_volume, {AVG} AS avg_amount,
+       {STDDEV} AS stddev_amount, min(amount) AS min_amount, max(amount) AS max_amount
 FROM valid"""),
     "by_currency": _with(VALIDATED_CTES, f"""
-SELECT currency, CAST(count(*) AS BIGINT) AS transaction_count, {EXACT_SUM} AS total_volume
+SELECT currency, CAST(count(*) AS BIGINT) AS transaction_count, {SUM} AS total_volume
 FROM valid GROUP BY currency ORDER BY transaction_count DESC, currency"""),
     "by_msg_type": _with(VALIDATED_CTES, """
 SELECT msg_type, CAST(count(*) AS BIGINT) AS transaction_count
 FROM valid GROUP BY msg_type ORDER BY transaction_count DESC, msg_type"""),
     "daily_volumes": _with(VALIDATED_CTES, f"""
 SELECT CAST(date_trunc('day', "timestamp") AS TIMESTAMP) AS date, currency,
-       CAST(count(*) AS BIGINT) AS transaction_count, {EXACT_SUM} AS total_volume, {EXACT_AVG} AS avg_amount,
+       CAST(count(*) AS BIGINT) AS transaction_count, {SUM} AS total_volume, {AVG} AS avg_amount,
        min(amount) AS min_amount, max(amount) AS max_amount
 FROM valid GROUP BY 1, 2 ORDER BY 1, 2"""),
     "top_senders": _top("sender", "sent"),
@@ -176,14 +178,14 @@ FROM valid GROUP BY 1, 2 ORDER BY 1, 2"""),
     "country_statistics": _with(VALIDATED_CTES, COUNTRY_STATISTICS_BODY),
     "amount_anomalies": _with(VALIDATED_CTES + f""",
 stats AS (
-  SELECT {EXACT_AVG} AS mean_amount, {EXACT_STDDEV} AS std_amount FROM valid
+  SELECT avg(amount) AS mean_amount, stddev_samp(amount) AS std_amount FROM valid WHERE NOT isnan(amount)
 ),
 scored_amounts AS (
   SELECT v.*, CASE WHEN s.std_amount = 0 THEN NULL ELSE (v.amount - s.mean_amount) / s.std_amount END AS z_score,
          v.amount > s.mean_amount + 3 * s.std_amount AS is_high_value_anomaly
   FROM valid v CROSS JOIN stats s
 )""", """
-SELECT "timestamp", sender_bic, receiver_bic, amount, currency, z_score, is_high_value_anomaly,
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, CAST(z_score AS FLOAT) AS z_score, is_high_value_anomaly,
        abs(z_score) > 3 AS is_statistical_anomaly, is_high_value
 FROM scored_amounts
 WHERE COALESCE(is_high_value_anomaly, false) OR COALESCE(abs(z_score) > 3, false) OR COALESCE(is_high_value, false)
@@ -198,4 +200,17 @@ FROM valid"""),
 SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type FROM raw"""),
     "parquet_partitioned_roundtrip": _with(VALIDATED_CTES, f"SELECT {VALIDATED_SELECT} FROM validated"),
     "analysis_results_roundtrip": _with(VALIDATED_CTES, COUNTRY_STATISTICS_BODY),
+    "aggregation_sets": _with(VALIDATED_CTES, f"""
+SELECT currency, msg_type, CAST(count(*) AS BIGINT) AS transaction_count, {SUM} AS total_volume, {AVG} AS avg_amount,
+       {STDDEV} AS stddev_amount, min(amount) AS min_amount, max(amount) AS max_amount,
+       CASE WHEN grouping(currency) = 0 THEN 'currency' WHEN grouping(msg_type) = 0 THEN 'msg_type' ELSE 'overall' END AS grouping_set
+FROM valid GROUP BY GROUPING SETS ((), (currency), (msg_type))"""),
+    "ingest_rows": _with(VALIDATED_CTES, f"SELECT {VALIDATED_SELECT} FROM validated"),
+}
+ORACLE_SQL |= {
+    "ingest_report": ORACLE_SQL["quality_report"],
+    "written_daily_volumes": ORACLE_SQL["daily_volumes"],
+    "written_top_senders": ORACLE_SQL["top_senders"],
+    "written_top_receivers": ORACLE_SQL["top_receivers"],
+    "written_fraud_anomalies": ORACLE_SQL["amount_anomalies"],
 }

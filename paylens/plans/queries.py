@@ -2,7 +2,9 @@
 
 Each query builds payments from the whole ``lineitem`` table (see
 :mod:`paylens.sources.fixture`), runs the library operators and returns the
-result with ``exact=True`` money aggregates. Timestamps are returned as
+result of the mode the jobs run. Sums, means and deviations are double, so
+their last bits depend on the order in which partial results meet: the final
+output gives sums to the cent and means, deviations and scores as ``float``. Timestamps are returned as
 ``timestamp_ntz`` (wall-clock values), so results do not depend on the
 session time zone of whoever collects them.
 """
@@ -19,6 +21,7 @@ from paylens.operators.anomaly import detect_anomalies
 from paylens.operators.clean import clean
 from paylens.operators.quality import quality_report
 from paylens.operators.rollups import (
+    aggregation_sets,
     by_currency,
     by_msg_type,
     country_statistics,
@@ -29,9 +32,9 @@ from paylens.operators.rollups import (
 )
 from paylens.operators.sequence import sender_sequence
 from paylens.operators.validate import validate
-from paylens.plans.analysis import run_analysis
-from paylens.plans.ingest import write_validated
-from paylens.sinks.writers import scratch_path, write_csv, write_parquet
+from paylens.plans.analysis import analysis_results, run_analysis
+from paylens.plans.ingest import run_ingest, write_validated
+from paylens.sinks.writers import scratch_path, write_csv, write_parquet, write_results
 from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, validated_payments
 from paylens.sources.generator import generate_payments
 from paylens.sources.payments import read_payments_csv, read_processed
@@ -58,40 +61,54 @@ def q_validate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(without_processing_time(validated_payments(spark, sf_dir)))
 
 
+SUMS = ("total_volume", "total_sent", "total_received")
+APPROXIMATE = ("avg_amount", "stddev_amount", "avg_sent", "avg_received", "z_score")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Sums to the cent, other aggregates as float: the digits that any order of addition agrees on."""
+    casts = {c: F.round(c, 2) for c in SUMS if c in df.columns} | {c: F.col(c).cast("float") for c in APPROXIMATE if c in df.columns}
+    return df.withColumns(casts) if casts else df
+
+
 def q_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(validated_payments(spark, sf_dir), exact=True)
+    return quality_report(validated_payments(spark, sf_dir))
 
 
 def q_overall_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overall_stats(validated_payments(spark, sf_dir), exact=True)
+    return settled(overall_stats(validated_payments(spark, sf_dir)))
 
 
 def q_by_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_currency(validated_payments(spark, sf_dir), exact=True)
+    return settled(by_currency(validated_payments(spark, sf_dir)))
 
 
 def q_by_msg_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_msg_type(validated_payments(spark, sf_dir))
 
 
+def q_aggregation_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(aggregation_sets(validated_payments(spark, sf_dir)))
+
+
 def q_daily_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wall_clock(daily_volumes(validated_payments(spark, sf_dir), exact=True))
+    return settled(wall_clock(daily_volumes(validated_payments(spark, sf_dir))))
 
 
 def q_top_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_senders(validated_payments(spark, sf_dir), exact=True)
+    return settled(top_senders(validated_payments(spark, sf_dir)))
 
 
 def q_top_receivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_receivers(validated_payments(spark, sf_dir), exact=True)
+    return settled(top_receivers(validated_payments(spark, sf_dir)))
 
 
 def q_country_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return country_statistics(validated_payments(spark, sf_dir), exact=True)
+    return settled(country_statistics(validated_payments(spark, sf_dir)))
 
 
 def q_amount_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wall_clock(detect_anomalies(validated_payments(spark, sf_dir), exact=True))
+    return settled(wall_clock(detect_anomalies(validated_payments(spark, sf_dir))))
 
 
 SEQUENCE_COLUMNS = ("sender_bic", "timestamp", "receiver_bic", "amount", "currency", "msg_type")
@@ -119,9 +136,35 @@ def q_parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFra
 def q_analysis_results_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest write + the five-table analysis job; returns country statistics read back."""
     processed = scratch_path(spark, "processed")
-    write_validated(validated_payments(spark, sf_dir), processed, ["year", "month", "day"], exact=True)
-    paths = run_analysis(spark, processed, scratch_path(spark, "analysis"), exact=True)
-    return spark.read.parquet(paths["country_statistics"])
+    write_validated(validated_payments(spark, sf_dir), processed, ["year", "month", "day"])
+    paths = run_analysis(spark, processed, scratch_path(spark, "analysis"))
+    return settled(spark.read.parquet(paths["country_statistics"]))
+
+
+def written_result(name: str) -> Query:
+    """A query: one table of the analysis job, written and read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        results = analysis_results(validated_payments(spark, sf_dir), ordered=False)
+        (path,) = write_results(results, scratch_path(spark, "result"), [name])
+        return settled(wall_clock(spark.read.parquet(path)))
+
+    return query
+
+
+def q_ingest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that the ingest job writes from CSV."""
+    source = scratch_path(spark, "ingest-csv")
+    write_csv(raw_payments(spark, sf_dir), source)
+    processed, _, _ = run_ingest(spark, source, scratch_path(spark, "ingest-rows"), as_of=FIXTURE_AS_OF)
+    return wall_clock(without_processing_time(processed))
+
+
+def q_ingest_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report that the ingest job observes while it writes."""
+    report = write_validated(validated_payments(spark, sf_dir), scratch_path(spark, "ingest-report"))
+    schema = ", ".join(f"{k} {'double' if k in ('validity_rate', 'avg_quality_score') else 'bigint'}" for k in report)
+    return spark.createDataFrame([tuple(float(v) if isinstance(v, float) else v for v in report.values())], schema)
 
 
 def q_generated_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +184,7 @@ QUERIES: dict[str, Query] = {
     "overall_stats": q_overall_stats,
     "by_currency": q_by_currency,
     "by_msg_type": q_by_msg_type,
+    "aggregation_sets": q_aggregation_sets,
     "daily_volumes": q_daily_volumes,
     "top_senders": q_top_senders,
     "top_receivers": q_top_receivers,
@@ -150,5 +194,11 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "parquet_partitioned_roundtrip": q_parquet_partitioned_roundtrip,
     "analysis_results_roundtrip": q_analysis_results_roundtrip,
+    "written_daily_volumes": written_result("daily_volumes"),
+    "written_top_senders": written_result("top_senders"),
+    "written_top_receivers": written_result("top_receivers"),
+    "written_fraud_anomalies": written_result("fraud_anomalies"),
+    "ingest_rows": q_ingest_rows,
+    "ingest_report": q_ingest_report,
     "generated_payments": q_generated_payments,
 }

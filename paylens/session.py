@@ -24,6 +24,9 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Only bites on tiny inputs: keeps partitioned writes of small data parallel.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    # Shuffles start with this many partitions and AQE merges small ones; raise it
+    # so that (shuffled bytes / partitions) stays near 128 MB on the largest job.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
@@ -45,34 +48,3 @@ def build_session(
     for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
-
-
-def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
-    """Total size of the files under ``paths`` (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in [paths] if isinstance(paths, str) else paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        for status in fs.globStatus(path) or []:
-            total += fs.getContentSummary(status.getPath()).getLength()
-    return total
-
-
-def size_shuffle_partitions(
-    spark: SparkSession,
-    paths: str | list[str],
-    bytes_per_partition: int = 128 * 1024 * 1024,
-    minimum: int = 200,
-    maximum: int = 200_000,
-) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size and return it.
-
-    AQE can merge partitions that turn out small but cannot split an ordinary
-    hash shuffle, so the ceiling must fit the largest stage: one partition
-    per ``bytes_per_partition`` of input, within [minimum, maximum].
-    """
-    n = max(minimum, min(maximum, -(-input_bytes(spark, paths) // bytes_per_partition)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n

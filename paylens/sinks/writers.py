@@ -38,19 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/paylens/{name}-{uuid.uuid4().hex}"
 
 
-#: Without AQE, each partition-directory value is spread over this many tasks.
-STATIC_SPREAD = 16
-
-
 def rebalance_for_write(
-    df: DataFrame, cols: Iterable[str], spread: int = STATIC_SPREAD, adaptive: bool | None = None
+    df: DataFrame, cols: Iterable[str], spread: int | None = None, adaptive: bool | None = None
 ) -> DataFrame:
     """Cluster rows by the directory-partition columns before a partitioned write.
 
     With AQE (the normal case) this is the ``REBALANCE`` hint: AQE merges small
     directory values into one task and splits a hot one into right-sized
     tasks. Without AQE the rows are hash-partitioned on the columns plus a
-    row hash modulo ``spread``, so a hot value still spans ``spread`` tasks.
+    row hash modulo ``spread`` (default: the session's shuffle partitions), so
+    a hot value can use every task; a smaller ``spread`` makes fewer files.
     ``adaptive`` overrides the session setting (streaming micro-batches are
     planned without AQE).
     """
@@ -59,6 +56,7 @@ def rebalance_for_write(
         adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
     if adaptive:
         return df.hint("rebalance", *cols)
+    spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
     return df.repartition(*[F.col(c) for c in cols], bucket)
 

@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.config import TIMESTAMP_FORMAT
+from paylens.config import TIMESTAMP_FORMAT, VALID_CURRENCIES, VALID_MESSAGE_TYPES
 
 # --- Fixed values of the test-data mapping (must match the oracle SQL). ---
-BANK_CODES = "BOFACHASDEUTBARCBNPA"  # 5 banks x 4 letters
+BANK_CODES = "ORIOLYRAVEGANORDALPS"  # 5 invented banks x 4 letters
 COUNTRY_CODES = "USGBDEFRJPCNAUCABRINCHSENZITESNLBEPTIEDKNOFIPLATSG"  # nation key 0..24
-CURRENCY_CODES = "USDEURGBPJPYAUDCADCHFCNYSEKNZDINRBRL"  # 12 x 3 letters
-MSG_TYPE_CODES = "MT103MT202MT950MT940"  # 4 x 5 letters
+CURRENCY_CODES = "".join(VALID_CURRENCIES)
+MSG_TYPE_CODES = "".join(VALID_MESSAGE_TYPES)
 #: Fixed "now" for the future-timestamp check on this data.
 FIXTURE_AS_OF = "2001-06-01 00:00:00"
 # --- end of fixed values ---

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from paylens.config import DEFAULT_PARTITION_COLUMNS, RAW_SCHEMA
 from paylens.operators.quality import quality_metric_columns
 from paylens.plans.ingest import validated_from_raw
-from paylens.sinks.writers import rebalance_for_write, scratch_path
+from paylens.sinks.writers import rebalance_for_write
 
 
 def start_stream_ingest(
@@ -29,8 +29,15 @@ def start_stream_ingest(
     as_of: Column | str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    spread: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it drains the backlog and stops."""
+    """Start the stream; with ``available_now`` it drains the backlog and stops.
+
+    ``checkpoint_location`` defaults to a folder inside ``output_path`` that
+    readers skip, so a restart goes on where the last run ended: a new
+    checkpoint beside an old table would skip its first batches. ``spread``:
+    see :func:`paylens.sinks.writers.rebalance_for_write`.
+    """
     reader = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("header", "true")
@@ -41,13 +48,13 @@ def start_stream_ingest(
     cols = list(partition_by)
     validated = validated_from_raw(reader.csv(input_dir), as_of)
     if cols:
-        # micro-batches run without AQE: cluster by day with a fixed hash spread
-        validated = rebalance_for_write(validated, cols, adaptive=False)
+        # micro-batches run without AQE: cluster by day and a row hash
+        validated = rebalance_for_write(validated, cols, spread, adaptive=False)
     observed = validated.observe("quality", *quality_metric_columns())
     writer = (
         observed.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, "stream-ingest-checkpoint"))
+        .option("checkpointLocation", checkpoint_location or f"{output_path.rstrip('/')}/_paylens_checkpoint")
         .partitionBy(*cols)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -181,7 +181,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0
     Without both labels the score is the share of label 1.
     """
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         width = 3 * len(OWN_FEATURES) + 2
         share = min(max(share, 0.01), 0.99)
         return LineField(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.0, np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))

@@ -207,7 +207,40 @@ SELECT currency, msg_type, CAST(count(*) AS BIGINT) AS transaction_count, {SUM}
 FROM valid GROUP BY GROUPING SETS ((), (currency), (msg_type))"""),
     "ingest_rows": _with(VALIDATED_CTES, f"SELECT {VALIDATED_SELECT} FROM validated"),
 }
+
+
+def _u(salt: int) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws(':', CAST(id AS VARCHAR), '42', '{salt}')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+def _one_of(values: tuple[str, ...], salt: int) -> str:
+    return f"list_extract([{_in_list(values)}], CAST(floor({_u(salt)} * {len(values)}) AS INTEGER) + 1)"
+
+
+_GEN_BICS = ("BOFAUS3NXXX", "CHASUS33XXX", "DEUTDEFFXXX", "BARCGB22XXX", "BNPAFRPPXXX")
+_SUFFIX = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', CAST(floor({_u(20 + i)} * 36) AS INTEGER) + 1, 1)" for i in range(8))
+GENERATED_RAW_CTES = f"""
+ids AS (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem),
+kinds AS (
+  SELECT id, CASE WHEN {_u(7)} < 0.05
+    THEN {_one_of(("high_amount", "invalid_bic", "future_date", "duplicate", "wrong_currency"), 8)} END AS kind FROM ids
+),
+raw AS (
+  SELECT
+    strftime(CASE WHEN kind = 'future_date' THEN TIMESTAMP '{FIXTURE_AS_OF}' + to_days(CAST(floor({_u(9)} * 30) AS INTEGER) + 1)
+      ELSE TIMESTAMP '{FIXTURE_AS_OF}' - INTERVAL 30 DAY + to_minutes(CAST(floor({_u(1)} * 43200) AS BIGINT) + 1) END,
+      '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
+    CASE WHEN kind = 'invalid_bic' THEN 'INVALID' || {_SUFFIX} ELSE {_one_of(_GEN_BICS, 2)} END AS sender_bic,
+    {_one_of(_GEN_BICS, 3)} AS receiver_bic,
+    CASE WHEN kind = 'high_amount' THEN round(1e7 + {_u(10)} * 9e7, 2) ELSE round(100.0::DOUBLE + {_u(4)} * 999900, 2) END AS amount,
+    CASE WHEN kind = 'wrong_currency' THEN {_one_of(("AUD", "CAD", "CHF", "CNY"), 11)}
+         ELSE {_one_of(("USD", "EUR", "GBP", "JPY"), 5)} END AS currency,
+    {_one_of(("MT103", "MT202", "MT950"), 6)} AS msg_type
+  FROM kinds
+)"""
+
 ORACLE_SQL |= {
+    "generated_payments": _with(VALIDATED_CTES.replace(RAW_CTES, GENERATED_RAW_CTES), f"SELECT {VALIDATED_SELECT} FROM validated"),
     "ingest_report": ORACLE_SQL["quality_report"],
     "written_daily_volumes": ORACLE_SQL["daily_volumes"],
     "written_top_senders": ORACLE_SQL["top_senders"],

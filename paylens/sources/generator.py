@@ -1,7 +1,7 @@
 """Synthetic raw payments as a parallel, repeatable Spark job.
 
 Every column is a pure function of ``(id, seed, column salt)`` through
-``xxhash64``, so any id range can be generated on any executor, a retried
+MD5, which any engine has, so any id range can be generated on any executor, a retried
 task reproduces its rows exactly, and the row count scales with the id
 input (``spark.range(n)`` or ids taken from an existing table).
 
@@ -32,13 +32,15 @@ GEN_BIC_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 GEN_WINDOW_MINUTES = 43200  # 30 days
 # --- end of fixed values ---
 
-_MANTISSA = (1 << 53) - 1
+#: Hex digits of a digest that make a number, and how many such numbers there are.
+_DIGITS = 13
+_RANGE = float(16**_DIGITS)
 
 
-def _uniform(seed: int, salt: int, *extra: Column) -> Column:
+def _uniform(seed: int, salt: int) -> Column:
     """Deterministic uniform double in [0, 1) per (id, seed, salt)."""
-    h = F.xxhash64(F.col("id"), F.lit(seed), F.lit(salt), *extra)
-    return (h.bitwiseAND(F.lit(_MANTISSA))).cast("double") / float(1 << 53)
+    digest = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(str(salt))))
+    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") / _RANGE
 
 
 def _pick(values: tuple[str, ...], u: Column) -> Column:

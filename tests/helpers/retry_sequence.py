@@ -34,7 +34,7 @@ def main() -> None:
     cols = ["sender_bic", "timestamp", "receiver_bic", "amount", "currency", "msg_type"]
     valid = validated_payments(spark, sf_dir).where("is_valid").select(*cols)
     flaky = valid.where(fail_first_attempt(F.col("amount")))
-    got = sender_sequence(flaky, num_partitions=5)
+    got = sender_sequence(flaky)
     w = Window.partitionBy("sender_bic").orderBy(*[F.asc_nulls_first(c) for c in cols[1:]])
     want = valid.withColumn("row_num", F.row_number().over(w))
     diff = got.exceptAll(want).count() + want.exceptAll(got).count()

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from paylens.config import RAW_COLUMNS
@@ -54,7 +55,8 @@ def test_stream_ingest_matches_batch(spark, raw):
     assert sum(int(m["valid_records"]) for m in observed) == 12
 
 
-def test_stream_ingest_restart_processes_only_new_files(spark, raw):
+@pytest.mark.parametrize("named", [True, False])
+def test_stream_ingest_restart_processes_only_new_files(spark, raw, named):
     src = scratch_path(spark, "t-restart-src")
     write_csv(raw(VALID5).coalesce(1), src + "/a")
     write_csv(raw(INVALID8).coalesce(1), src + "/b")
@@ -67,7 +69,8 @@ def test_stream_ingest_restart_processes_only_new_files(spark, raw):
             if f.endswith(".csv"):
                 os.link(os.path.join(d, f), os.path.join(landing, f"{sub}-{f}"))
 
-    out, ckpt = scratch_path(spark, "t-restart-out"), scratch_path(spark, "t-restart-ckpt")
+    out = scratch_path(spark, "t-restart-out")
+    ckpt = scratch_path(spark, "t-restart-ckpt") if named else None
     land("a")
     start_stream_ingest(spark, landing, out, checkpoint_location=ckpt, as_of=AS_OF).awaitTermination(120)
     assert read_processed(spark, out).count() == 5

@@ -71,3 +71,8 @@ def test_quality_metrics_are_observed_in_the_write_stage(spark):
     # result stage, whose task metrics Spark applies once per partition even on retries
     assert plan.index("CollectMetrics") < plan.index("Exchange")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_anomaly_table_with_given_statistics_reads_its_input_once(processed):
+    plan = physical(detect_anomalies(processed, stats=(10.0, 2.0), ordered=False))
+    assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan and "Subquery" not in plan

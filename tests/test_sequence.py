@@ -1,4 +1,10 @@
+import json
+import os
 import random
+import subprocess
+import sys
+import tempfile
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import Window
@@ -18,116 +24,49 @@ def skewed(spark):
     rnd = random.Random(7)
     rows = []
     for i in range(2000):
-        sender = "HOTBANKXXXX" if i % 3 else rnd.choice(["AAAAUSBBXXX", "BBBBGBCCXXX", None])
-        rows.append((sender, rnd.randint(0, 40), rnd.choice(["x", "y", None]), float(rnd.randint(0, 4))))
-    rows += [("HOTBANKXXXX", 5, "x", 1.0)] * 300 + [(None, 2, None, 0.0)] * 9
-    return spark.createDataFrame(rows, "sender_bic string, timestamp int, receiver_bic string, amount double")
+        sender = "HOTBANKXXXX" if i % 3 else rnd.choice(["ORIODE4BXXX", "LYRAFR2PXXX", None])
+        time = datetime(2024, 1, 1) + timedelta(hours=rnd.randint(0, 4000)) if rnd.random() > 0.05 else None
+        rows.append((sender, time, rnd.choice(["x", "y", None]), rnd.choice([0.0, -0.0, 1.5, float("nan")])))
+    rows += [("HOTBANKXXXX", datetime(2024, 2, 3), "x", 1.0)] * 300 + [(None, None, None, 0.0)] * 9
+    return spark.createDataFrame(rows, "sender_bic string, timestamp timestamp, receiver_bic string, amount double")
 
 
 def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    return sorted((repr(tuple(r)) for r in df.collect()))
 
 
-@pytest.mark.parametrize("parts,chunk", [(1, 1 << 20), (7, 1 << 20), (16, 4), (5, 1)])
-def test_matches_plain_window(skewed, parts, chunk):
-    got = sender_sequence(skewed, num_partitions=parts, chunk_rows=chunk)
+@pytest.mark.parametrize("bucket", ["month", "day", "year"])
+def test_matches_plain_window(skewed, bucket):
+    got = sender_sequence(skewed, bucket=bucket)
     assert got.columns == skewed.columns + ["row_num"]
-    assert rows_of(got) == rows_of(window_reference(skewed))
+    assert rows_of(got.drop("amount")) == rows_of(window_reference(skewed).drop("amount"))
+    assert sum("-0.0" in r for r in rows_of(got)) == sum("-0.0" in r for r in rows_of(skewed))
 
 
-def test_hot_sender_is_split_across_partitions(skewed):
-    from paylens.operators import sequence as S
+def test_bucket_of_other_types(spark):
+    df = spark.range(500).selectExpr("'a' AS sender_bic", "id % 97 AS timestamp", "id AS x")
+    with pytest.raises(ValueError):
+        sender_sequence(df)
+    assert rows_of(sender_sequence(df, bucket=F.expr("timestamp div 10"))) == rows_of(window_reference(df))
 
-    parts = 8
-    counted = skewed.groupBy(*skewed.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    key = [F.asc_nulls_first(c) for c in skewed.columns]
-    spread = (counted.repartitionByRange(parts, *key).where(F.col("sender_bic") == "HOTBANKXXXX")
-              .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1
-    assert S.DEFAULT_CHUNK_ROWS >= 1
 
-
-def test_numbers_are_dense_per_sender(skewed):
-    got = sender_sequence(skewed, num_partitions=6)
+def test_numbers_are_dense_and_consumers_may_prune(skewed):
+    got = sender_sequence(skewed)
     per = got.groupBy("sender_bic").agg(F.count(F.lit(1)).alias("n"), F.min("row_num").alias("lo"),
-                                        F.max("row_num").alias("hi"),
-                                        F.countDistinct("row_num").alias("d")).collect()
+                                        F.max("row_num").alias("hi"), F.countDistinct("row_num").alias("d")).collect()
     assert all(r.lo == 1 and r.hi == r.n == r.d for r in per)
+    assert got.count() == got.select("sender_bic").count() == skewed.count()
 
 
-def test_count_and_pruned_consumers_see_all_rows(skewed):
-    # A consumer that needs no row numbers prunes most of the plan; the
-    # partition ids must still mean the same rows everywhere.
-    got = sender_sequence(skewed, num_partitions=6)
-    assert got.count() == skewed.count()
-    assert got.select("sender_bic").count() == skewed.count()
-    assert got.groupBy("sender_bic").count().orderBy("sender_bic").collect() == \
-        skewed.groupBy("sender_bic").count().orderBy("sender_bic").collect()
-
-
-def test_without_exchange_reuse(spark, skewed):
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        got = sender_sequence(skewed, num_partitions=6)
-        assert rows_of(got) == rows_of(window_reference(skewed))
-        assert got.count() == skewed.count()
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-
-
-def test_carry_across_arrow_batches(spark, skewed):
-    # Runs of one sender span many Arrow batches inside a partition.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = sender_sequence(skewed, num_partitions=3, chunk_rows=50)
-        assert rows_of(got) == rows_of(window_reference(skewed))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-def test_local_offsets_property():
-    """The per-partition pass equals a grouped exclusive cumulative sum, however rows are batched."""
-    import numpy as np
-    import pandas as pd
-    from hypothesis import given, settings
-    from hypothesis import strategies as st
-
-    from paylens.operators.sequence import _local_offsets
-
-    @settings(max_examples=200, deadline=None)
-    @given(
-        st.lists(st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(1, 5)), min_size=1, max_size=60),
-        st.lists(st.integers(1, 10), min_size=1, max_size=20),
-    )
-    def check(rows, cuts):
-        # rows arrive sorted by key within a partition (NULLs first, as in the range sort)
-        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or ""))
-        pdf = pd.DataFrame(rows, columns=["k", "_copies"])
-        batches, i = [], 0
-        for c in cuts * 10:
-            if i >= len(pdf):
-                break
-            batches.append(pdf.iloc[i:i + c].reset_index(drop=True))
-            i += c
-        if i < len(pdf):
-            batches.append(pdf.iloc[i:].reset_index(drop=True))
-        got = pd.concat(list(_local_offsets("k")(iter(batches))), ignore_index=True)["_local"].to_numpy()
-        key = pdf["k"].fillna("\0")
-        want = (pdf.groupby(key, sort=False)["_copies"].cumsum() - pdf["_copies"]).to_numpy()
-        assert np.array_equal(got, want)
-
-    check()
+def test_plan_is_jvm_only_and_splits_senders(skewed):
+    plan = sender_sequence(skewed)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
+    assert "hashpartitioning(party" in plan and "bucket" in plan
 
 
 def test_sequence_is_exact_when_tasks_are_retried():
     """Input tasks fail on their first attempt and are retried (local[4,4]); the numbering
     must still equal the plain window, i.e. every step is deterministic under re-execution."""
-    import json
-    import os
-    import subprocess
-    import sys
-    import tempfile
-
     helper = os.path.join(os.path.dirname(__file__), "helpers", "retry_sequence.py")
     out = subprocess.run([sys.executable, helper, "/root/testdata/sf0.001"], capture_output=True, text=True,
                          timeout=900, cwd=tempfile.gettempdir())

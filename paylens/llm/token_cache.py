@@ -16,9 +16,9 @@ from functools import lru_cache
 
 import regex
 
-#: Pieces and parts of pieces per generation of a worker's caches: some 200 bytes each.
-CACHE_PIECES = 400_000
-CACHE_PARTS = 200_000
+#: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each: byte-level and word vocabularies.
+CACHE_PIECES, CACHE_PARTS = 400_000, 200_000
+WORD_CACHE_PIECES, WORD_CACHE_PARTS = 150_000, 80_000
 
 #: Fixed value: the byte-level vocabulary's split of a text before its merges.
 BYTE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -71,8 +71,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.split = regex.compile(WORD_SPLIT if words else BYTE_SPLIT).findall
         self.table = byte_letters()
-        self.parts = _Cache(self._part, CACHE_PARTS)
-        self.pieces = _Cache(self._piece if words else self._spaced, CACHE_PIECES)
+        self.parts = _Cache(self._part, WORD_CACHE_PARTS if words else CACHE_PARTS)
+        self.pieces = _Cache(self._piece, WORD_CACHE_PIECES) if words else _Cache(self._spaced, CACHE_PIECES)
         # a run of characters with the spaces and line ends before it; no id reaches over its edges
         self.runs = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
         # white space other than space and line end could run across an edge

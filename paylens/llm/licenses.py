@@ -156,8 +156,8 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form; null if it has no word."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form, 256))
+    # compared as a digest, so that the form is made once
+    return F.nullif(F.sha2(canonical(text), 256), F.sha2(F.lit("").cast("binary"), 256))
 
 
 def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[str, str]) -> DataFrame:

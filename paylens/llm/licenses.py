@@ -2,13 +2,14 @@
 
 A text is brought to a canonical form (case, punctuation, white space,
 copyright lines and equivalent spellings out of the way) and hashed; whole
-texts, and each line as a notice, are looked up among the digests of known
-licence texts by a hash join. Only built-in column functions are used.
+texts are looked up among the digests of known licence texts by a hash join,
+each line in the set of known notices. Only built-in column functions are used.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,13 @@ MAX_KNOWN = 10_000
 
 #: Lines left out of the comparison, with the line end before them.
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-#: ASCII other than letters and digits, and the usual non-ASCII marks and spaces.
+#: ASCII other than letters and digits, and the usual non-ASCII marks and spaces; the same without line ends.
 MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
+MARKS_IN_LINE = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
+#: What lies between the words of two lines once marks are spaces.
+LINE_ENDS = r" ?\n[ \n]*"
+#: The digest of a text without a word: SHA-256 of nothing.
+NO_WORDS = hashlib.sha256(b"").hexdigest()
 #: Phrases that count as equal to another, as words between single spaces.
 EQUIVALENT_PHRASES = (
     (" sub license", " sublicense"),
@@ -141,12 +147,17 @@ LICENSE_NOTICES: dict[str, str] = {
 }
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form: words between single spaces, ending in one; empty if no word is left."""
+def word_lines(text: Column) -> Column:
+    """The text's lines without copyright lines, lower-cased, every run of marks in a line a space."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     s = F.translate(text, upper, upper.lower())
     s = F.regexp_replace(s, COPYRIGHT_LINE, "\n")
-    s = F.concat(F.lit(" "), F.trim(F.regexp_replace(s, MARKS, " ")), F.lit(" "))
+    return F.regexp_replace(s, MARKS_IN_LINE, " ")
+
+
+def equivalent(words: Column) -> Column:
+    """The canonical form of words between single spaces: each ends in a space; empty if there is none."""
+    s = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
     for phrase, same in EQUIVALENT_PHRASES:
         s = F.replace(s, F.lit(phrase), F.lit(same))
     for pattern, middle in EQUIVALENT_ENDINGS:
@@ -154,10 +165,9 @@ def canonical(text: Column) -> Column:
     return F.ltrim(s)
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null if it has no word."""
-    # compared as a digest, so that the form is made once
-    return F.nullif(F.sha2(canonical(text), 256), F.sha2(F.lit("").cast("binary"), 256))
+def digest(lines: Column) -> Column:
+    """SHA-256 of the canonical form of a text's :func:`word_lines`, or of one of them; ``NO_WORDS`` if it has no word."""
+    return F.sha2(equivalent(F.regexp_replace(lines, LINE_ENDS, " ")), 256)
 
 
 def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[str, str]) -> DataFrame:
@@ -166,7 +176,8 @@ def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[st
         raise ValueError(f"more than {MAX_KNOWN} known texts")
     known = docs.sparkSession.createDataFrame(rows, "whole boolean, license string, known string")
     # of texts alike in canonical form, the first name
-    return known.groupBy("whole", digest(F.col("known")).alias("known_digest")).agg(F.min("license").alias("license"))
+    known = known.select("whole", "license", digest(word_lines(F.col("known"))).alias("known_digest")).filter(F.col("known_digest") != NO_WORDS)
+    return known.groupBy("whole", "known_digest").agg(F.min("license").alias("license"))
 
 
 def scan_licenses(
@@ -193,20 +204,25 @@ def scan_licenses(
     docs = docs.drop(*added)
     known = known_digests(docs, texts, notices)
     whole = F.broadcast(known.filter("whole").select("known_digest", F.col("license").alias("license_id")))
-    lines = F.broadcast(known.filter("not whole").select("known_digest", F.col("license").alias("notice")))
-
-    # stands for the row while its lines are looked up
-    row_key = F.struct(F.xxhash64(id_col, text_col).alias("r1"), F.xxhash64(F.lit(1), id_col, text_col).alias("r2"))
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key.alias("found_key"))
-    found = found.select("found_key", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    found = found.select("found_key", "at", digest(F.col("line")).alias("line_digest"))
-    found = found.join(lines, F.col("line_digest") == F.col("known_digest"))
-    found = found.groupBy("found_key").agg(
-        F.array_join(F.array_sort(F.collect_set("notice")), ",").alias("notice_ids"), F.count_distinct("at").alias("n_notices")
-    )
-    rows = docs.select(F.struct("*").alias("row"), row_key.alias("row_key"), digest(F.col(text_col)).alias("text_digest"))
-    rows = rows.join(whole, F.col("text_digest") == F.col("known_digest"), "left")
-    rows = rows.join(found, F.col("row_key") == F.col("found_key"), "left")
+    # at most MAX_KNOWN rows
+    names = {r["known_digest"]: r["license"] for r in known.filter("not whole").collect()}
+    name_of = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+
+    rows = docs.select(F.struct("*").alias("row"), word_lines(F.col(text_col)).alias("lines"))
+    rows = rows.select("row", digest(F.col("lines")).alias("form_digest"), _notices(F.col("lines"), sorted(names)).alias("hits"))
+    rows = rows.join(whole, F.col("form_digest") == F.col("known_digest"), "left")
+    licensed = F.array_sort(F.array_distinct(F.transform("hits", lambda d: name_of[d])))
     return rows.select(
-        "row.*", "text_digest", "license_id", F.coalesce("notice_ids", F.lit("")).alias("notice_ids"), F.coalesce("n_notices", F.lit(0)).alias("n_notices")
+        "row.*",
+        F.nullif("form_digest", F.lit(NO_WORDS)).alias("text_digest"),
+        "license_id",
+        F.coalesce(F.array_join(licensed, ","), F.lit("")).alias("notice_ids"),
+        F.coalesce(F.array_size("hits"), F.lit(0)).cast("long").alias("n_notices"),
     )
+
+
+def _notices(lines: Column, known: Sequence[str]) -> Column:
+    """The digests of those lines that are known notices."""
+    if not known:
+        return F.array().cast("array<string>")
+    return F.filter(F.transform(F.split(lines, "\n"), digest), lambda d: d.isin(*known))

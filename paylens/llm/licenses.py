@@ -22,6 +22,8 @@ COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 #: ASCII other than letters and digits, and the usual non-ASCII marks and spaces; the same without line ends.
 MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
 MARKS_IN_LINE = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
+#: ``COPYRIGHT_LINE`` without the line end before it.
+COPYRIGHT_IN_LINE = r"(?dm)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 #: What lies between the words of two lines once marks are spaces.
 LINE_ENDS = r" ?\n[ \n]*"
 #: The digest of a text without a word: SHA-256 of nothing.
@@ -48,6 +50,14 @@ EQUIVALENT_ENDINGS = (
     (r"([a-z]{3})is(e|es|ed|ing|ation|ations) ", "iz"),
     (r"([a-z]{3})our(s|ed|ite|able|) ", "or"),
 )
+#: The same for Java, letter first, which fails sooner where there is none.
+EQUIVALENT_SPELLINGS = (
+    (r"c(?<=[a-z]{2}enc)(e|es|ed|ing) ", "s$1 "),
+    (r"i(?<=[a-z]{3}i)s(e|es|ed|ing|ation|ations) ", "iz$1 "),
+    (r"o(?<=[a-z]{3}o)ur(s|ed|ite|able|) ", "or$1 "),
+)
+#: Where this isn't found, no phrase is replaced. All phrases begin with a space.
+ANY_PHRASE = " (?:" + "|".join(phrase[1:] for phrase, _ in EQUIVALENT_PHRASES) + ")"
 
 #: Texts of public licences, for whole documents.
 LICENSE_TEXTS: dict[str, str] = {
@@ -150,24 +160,36 @@ LICENSE_NOTICES: dict[str, str] = {
 def word_lines(text: Column) -> Column:
     """The text's lines without copyright lines, lower-cased, every run of marks in a line a space."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    s = F.translate(text, upper, upper.lower())
-    s = F.regexp_replace(s, COPYRIGHT_LINE, "\n")
+    # the same for ASCII, and cheaper
+    is_ascii = F.octet_length(text) == F.char_length(text)
+    s = F.when(is_ascii, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+    s = F.regexp_replace(s, COPYRIGHT_IN_LINE, "")
     return F.regexp_replace(s, MARKS_IN_LINE, " ")
 
 
 def equivalent(words: Column) -> Column:
-    """The canonical form of words between single spaces: each ends in a space; empty if there is none."""
-    s = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+    """The canonical form of words between single spaces, after the first and last: words that each end in a space."""
+    phrases = words
     for phrase, same in EQUIVALENT_PHRASES:
-        s = F.replace(s, F.lit(phrase), F.lit(same))
-    for pattern, middle in EQUIVALENT_ENDINGS:
-        s = F.regexp_replace(s, pattern, f"$1{middle}$2 ")
+        phrases = F.replace(phrases, F.lit(phrase), F.lit(same))
+    s = F.when(words.rlike(ANY_PHRASE), phrases).otherwise(words)
+    for pattern, spelling in EQUIVALENT_SPELLINGS:
+        s = F.regexp_replace(s, pattern, spelling)
     return F.ltrim(s)
 
 
-def digest(lines: Column) -> Column:
-    """SHA-256 of the canonical form of a text's :func:`word_lines`, or of one of them; ``NO_WORDS`` if it has no word."""
-    return F.sha2(equivalent(F.regexp_replace(lines, LINE_ENDS, " ")), 256)
+def between_spaces(words: Column) -> Column:
+    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+
+
+def digest(words: Column) -> Column:
+    """SHA-256 of the canonical form of words :func:`between_spaces`; ``NO_WORDS`` if there is none."""
+    return F.sha2(equivalent(words), 256)
+
+
+def whole_words(lines: Column) -> Column:
+    """All words of a text's :func:`word_lines`, between spaces."""
+    return between_spaces(F.regexp_replace(lines, LINE_ENDS, " "))
 
 
 def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[str, str]) -> DataFrame:
@@ -176,7 +198,7 @@ def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[st
         raise ValueError(f"more than {MAX_KNOWN} known texts")
     known = docs.sparkSession.createDataFrame(rows, "whole boolean, license string, known string")
     # of texts alike in canonical form, the first name
-    known = known.select("whole", "license", digest(word_lines(F.col("known"))).alias("known_digest")).filter(F.col("known_digest") != NO_WORDS)
+    known = known.select("whole", "license", digest(whole_words(word_lines(F.col("known")))).alias("known_digest")).filter(F.col("known_digest") != NO_WORDS)
     return known.groupBy("whole", "known_digest").agg(F.min("license").alias("license"))
 
 
@@ -209,7 +231,8 @@ def scan_licenses(
     name_of = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
 
     rows = docs.select(F.struct("*").alias("row"), word_lines(F.col(text_col)).alias("lines"))
-    rows = rows.select("row", digest(F.col("lines")).alias("form_digest"), _notices(F.col("lines"), sorted(names)).alias("hits"))
+    rows = rows.select("row", whole_words(F.col("lines")).alias("words"), "lines")
+    rows = rows.select("row", digest(F.col("words")).alias("form_digest"), _notices(F.col("lines"), sorted(names)).alias("hits"))
     rows = rows.join(whole, F.col("form_digest") == F.col("known_digest"), "left")
     licensed = F.array_sort(F.array_distinct(F.transform("hits", lambda d: name_of[d])))
     return rows.select(
@@ -225,4 +248,5 @@ def _notices(lines: Column, known: Sequence[str]) -> Column:
     """The digests of those lines that are known notices."""
     if not known:
         return F.array().cast("array<string>")
-    return F.filter(F.transform(F.split(lines, "\n"), digest), lambda d: d.isin(*known))
+    words = F.transform(F.split(lines, "\n"), between_spaces)
+    return F.filter(F.transform(words, digest), lambda d: d.isin(*known))

@@ -13,15 +13,22 @@ from pyspark.sql import functions as F
 import paylens
 from paylens.sinks.writers import scratch_path
 
+#: Bytes of a batch handed to a Python worker; Spark's own bound lets whole texts take hundreds of MB per task.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once per application.
+    """Hand this package to the executors' Python workers, once per application, and bound the batches they get.
 
     For callers that didn't deploy it with ``--py-files``: the operators'
-    Python functions import it there.
+    Python functions import it there. Batches are bounded to ``BATCH_BYTES``
+    in this session unless it sets a bound of its own.
     """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         home = os.path.dirname(os.path.abspath(paylens.__file__))

@@ -24,7 +24,7 @@ UNDETERMINED = "und"
 #: Languages whose profiles are held together in memory; more raise an error.
 MAX_LANGUAGES = 10_000
 #: A task passes on its n-gram counts when it holds this many.
-FLUSH_GRAMS = 400_000
+FLUSH_GRAMS = 200_000
 
 _letters: np.ndarray | None = None
 

@@ -18,7 +18,7 @@ import regex
 
 #: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each: byte-level and word vocabularies.
 CACHE_PIECES, CACHE_PARTS = 400_000, 200_000
-WORD_CACHE_PIECES, WORD_CACHE_PARTS = 150_000, 80_000
+WORD_CACHE_PIECES, WORD_CACHE_PARTS = 60_000, 40_000
 
 #: Fixed value: the byte-level vocabulary's split of a text before its merges.
 BYTE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -163,7 +163,8 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
             yield pd.DataFrame([profiles.closest(t) for t in batch], columns=["lang", "score"])
 
     docs = docs.drop("lang_pred", "lang_score")
-    found = closest(F.col(text_col))
+    # declared nondeterministic, or a caller's filter on the result would run it again below, in a second worker per task
+    found = closest.asNondeterministic()(F.col(text_col))
     return docs.select("*", found.alias("found")).select(
         *docs.columns, F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("lang_score")
     )

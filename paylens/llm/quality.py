@@ -186,10 +186,16 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 200, rate: float = 0
         share = min(max(share, 0.01), 0.99)
         return LineField(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 0.0, np.zeros((2, 2)), 0.0, float(np.log(share / (1 - share))))
     cut = max(1, len(texts) * 4 // 5)
-    features, docs, _ = line_features(texts[:cut])
+    # in chunks: while they are made, features take many times the size of the texts
+    parts = [line_features(texts[at : min(at + CHUNK, cut)])[:2] for at in range(0, cut, CHUNK)]
+    features = np.concatenate([f for f, _ in parts])
+    docs = np.concatenate([d + at * CHUNK for at, (_, d) in enumerate(parts)])
+    del parts
     mean, scale = features.mean(axis=0), features.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
-    x, y = (features - mean) / scale, labels[:cut].astype(np.float64)
+    features -= mean
+    features /= scale
+    x, y = features, labels[:cut].astype(np.float64)
     counts = np.bincount(docs, minlength=cut)
     line_y = y[docs]
     seen = np.array([[((1 - y) * (counts - 1)).sum(), 0.0], [0.0, (y * (counts - 1)).sum()]])

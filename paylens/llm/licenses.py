@@ -17,13 +17,22 @@ from pyspark.sql import functions as F
 #: Known texts at most; their digests are broadcast.
 MAX_KNOWN = 10_000
 
-#: Lines left out of the comparison, with the line end before them.
+#: The SQL's copyright lines, with the line end before them: any line that begins so, also a wrapped line of a licence body.
 COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 #: ASCII other than letters and digits, and the usual non-ASCII marks and spaces; the same without line ends.
 MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
 MARKS_IN_LINE = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
-#: ``COPYRIGHT_LINE`` without the line end before it.
-COPYRIGHT_IN_LINE = r"(?dm)^[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: What names a right holder's time: a year or a placeholder.
+YEAR = r"(?:[0-9]{4}|[<\[{]|yyyy|xxxx)"
+#: Notice lines, which are left out of the comparison: copyright with a sign, a year or a placeholder, or a short paragraph of
+#: its own. Other lines that begin with the word are of a licence's body, as wrapping has it.
+COPYRIGHT_IN_LINE = (
+    r"(?dm)^[ \t]*(?:©[^\n]*"
+    r"|copyright[ \t]*[:,]?[ \t]*(?:\(c\)|©|&copy;|" + YEAR + r")[^\n]*"
+    r"|\(c\)[ \t]*(?:copyright\b|" + YEAR + r")[^\n]*"
+    r"|all rights reserved[^\na-z0-9]*$"
+    r"|(?<=(?:\A|\n[ \t\r]{0,8}\n)[ \t]{0,8})(?:copyright|\(c\))[ \t][^\n]{0,72}$(?=\n?[ \t\r]*(?:\n|\z)))"
+)
 #: What lies between the words of two lines once marks are spaces.
 LINE_ENDS = r" ?\n[ \n]*"
 #: The digest of a text without a word: SHA-256 of nothing.
@@ -158,7 +167,7 @@ LICENSE_NOTICES: dict[str, str] = {
 
 
 def word_lines(text: Column) -> Column:
-    """The text's lines without copyright lines, lower-cased, every run of marks in a line a space."""
+    """The text's lines without notices of copyright, lower-cased, every run of marks in a line a space."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     # the same for ASCII, and cheaper
     is_ascii = F.octet_length(text) == F.char_length(text)

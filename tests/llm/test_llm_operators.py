@@ -1,6 +1,7 @@
 """Operators on small tables against brute force, with nulls, ties, repeats, empty tables and clashing columns."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -249,6 +250,25 @@ def test_license_scan(documents):
     assert licenses.scan_licenses(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(licenses.LICENSE_TEXTS))
+def test_license_form_does_not_depend_on_wrapping(documents, name):
+    title, notice, *body = licenses.LICENSE_TEXTS[name].strip().split("\n\n")
+    texts = [licenses.LICENSE_TEXTS[name]]
+    for holder in ("Copyright (c) 2024 Ada, Bo", "(C) 1995-2024 Ada", "Copyright 2024 Ada\nAll rights reserved.", "Copyright The Authors", "© Ada\r"):
+        for width in (30, 44, 60, 70, 78, 79, 80, 100, 10_000):
+            wrapped = [textwrap.fill(" ".join(p.split()), width) for p in body]
+            texts.append("\n\n".join([title, holder, *wrapped]) + "\n")
+    out = licenses.scan_licenses(documents(list(enumerate(texts)))).select("license_id", "text_digest").distinct().collect()
+    assert [r.license_id for r in out] == [name]
+
+
+def test_license_body_lines_count(documents):
+    rows = [(0, "x\ncopyright notice and this permission notice appear in all copies."), (1, "x"),
+            (2, "x\n(c) You must retain, in the Source form of any\nderivative works"), (3, "x\nderivative works")]
+    got = {r.doc_id: r.text_digest for r in licenses.scan_licenses(documents(rows)).collect()}
+    assert len(set(got.values())) == 4
+
+
 def test_pipeline_stages(spark, documents, tmp_path):
     import corpus_pipeline as P
 

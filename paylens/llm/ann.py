@@ -32,6 +32,10 @@ CALIBRATION = 200
 RECALL = 0.97
 #: Vectors searched in one task at most; several leaves or a part of one.
 SHARD = 4096
+#: Queries that a shard's vectors meet in one task, about; more go in slices, each with the vectors again.
+SLICE = 4096
+#: Queries handed on at once, each with its vector once for every shard that it visits.
+HANDED = 1024
 
 
 @dataclass
@@ -155,7 +159,8 @@ def nearest(
     Empty input gives an empty result.
 
     The driver holds the tree (``BRANCH ** LEVELS`` leaves at most) and one
-    count per leaf; a hot leaf is searched in several tasks.
+    count per leaf; a hot leaf is searched in several tasks, and so are the
+    queries of a shard that many visit.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
@@ -190,27 +195,53 @@ def nearest(
         else:
             shards[leaf] = [last]
         filled += sizes[leaf]
-    # at most one row per leaf
-    places = F.broadcast(spark.createDataFrame(list(shards.items()), "s_leaf int, shards array<int>"))
-    placed = indexed.join(places, F.col("leaf") == F.col("s_leaf"))
-    placed = placed.select("vec_id", "vector", "leaf", F.get("shards", F.pmod(F.xxhash64("vec_id"), F.size("shards")).cast("int")).alias("shard"))
-
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for q, vector in zip(batch["vec_id"], batch["vector"]):
-                visited: dict[int, list[int]] = {}
-                held = 0
+            for vector in batch["vector"]:
+                visited, held = [], 0
                 for n, leaf in enumerate(tree.visits(np.asarray(vector, dtype=np.float64))):
                     if n >= wanted and held > k:
                         break
                     held += sizes.get(leaf, 0)
-                    for s in shards.get(leaf, ()):
+                    if leaf in shards:
+                        visited.append(leaf)
+                out.append(visited)
+            yield batch.assign(leaves=out, firsts=[sorted({shards[leaf][0] for leaf in leaves}) for leaves in out])
+
+    walked = staged(asked.mapInPandas(walk, "vec_id long, vector array<double>, leaves array<int>, firsts array<int>"), "walked")
+    # leaves share one shard, or one leaf has several that all its queries visit: the first shard's count is that of each
+    asks = walked.select(F.explode("firsts").alias("shard")).groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()
+    firsts = {r["shard"]: r["n"] for r in asks}
+    slices = {s: max(1, -(-firsts.get(parts[0], 0) // SLICE)) for parts in shards.values() for s in parts}
+
+    # at most one row per leaf
+    cuts = [(leaf, [(s, slices[s]) for s in parts]) for leaf, parts in shards.items()]
+    places = F.broadcast(spark.createDataFrame(cuts, "s_leaf int, parts array<struct<shard int, slices int>>"))
+    placed = indexed.join(places, F.col("leaf") == F.col("s_leaf"))
+    part = F.get("parts", F.pmod(F.xxhash64("vec_id"), F.size("parts")).cast("int"))
+    placed = placed.select("vec_id", "vector", "leaf", part.alias("part"))
+    placed = placed.select("vec_id", "vector", "leaf", "part.shard", F.explode(F.sequence(F.lit(0), F.col("part.slices") - 1)).alias("slice"))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["query_id", "query", "shard", "slice", "visited"]
+        for batch in batches:
+            out = []
+            for q, vector, leaves, salt in zip(batch["vec_id"], batch["vector"], batch["leaves"], batch["salt"]):
+                visited: dict[int, list[int]] = {}
+                for leaf in leaves:
+                    for s in shards[leaf]:
                         visited.setdefault(s, []).append(leaf)
-                out += [(q, vector, s, leaves) for s, leaves in visited.items()]
-            yield pd.DataFrame(out, columns=["query_id", "query", "shard", "visited"])
+                for s, own in visited.items():
+                    out.append((q, vector, s, salt % slices[s], own))
+                    if len(out) == HANDED:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+            yield pd.DataFrame(out, columns=columns)
 
-    asking = asked.mapInPandas(walk, "query_id long, query array<double>, shard int, visited array<int>")
+    # of the vector too: an id may be repeated with many
+    salted = walked.withColumn("salt", F.xxhash64("vec_id", "vector"))
+    asking = salted.mapInPandas(ask, "query_id long, query array<double>, shard int, slice int, visited array<int>")
 
     def search(held: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -225,7 +256,7 @@ def nearest(
                     found.append(pd.DataFrame({"query_id": q, "vec_id": got_ids, "score": got}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    found = placed.groupBy("shard").cogroup(asking.groupBy("shard")).applyInPandas(search, FOUND)
+    found = placed.groupBy("shard", "slice").cogroup(asking.groupBy("shard", "slice")).applyInPandas(search, FOUND)
     return _top_of(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -108,6 +108,24 @@ def test_nearest_against_brute_force(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_searches_bounded_groups(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(700, 6)).round(3)
+    x[300:] = x[300]  # one hot leaf, asked by all
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)] + [(7, r.tolist()) for r in x[8:108]], "vec_id long, embedding array<double>")
+    whole = sorted(ann.nearest(df, df, k=5).collect())
+    groups, cogroup = [], GroupedData.cogroup
+    monkeypatch.setattr(GroupedData, "cogroup", lambda self, other: groups.extend([self, other]) or cogroup(self, other))
+    monkeypatch.setattr(ann, "SHARD", 200)
+    monkeypatch.setattr(ann, "SLICE", 50, raising=False)
+    monkeypatch.setattr(ann, "HANDED", 33, raising=False)
+    assert sorted(ann.nearest(df, df, k=5).collect()) == whole
+    held, asking = (g.count().agg(F.max("count")).first()[0] for g in groups)
+    assert held <= 400 and asking <= 100
+
+
 def test_embedding_dedup_against_brute_force(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(30, 10))

@@ -54,7 +54,7 @@ class _Cache(dict):
 
 
 class Encoder:
-    """``ids(text)``: the ids of a whole text as little-endian uint32 bytes, without special tokens.
+    """``ids(text)``: the ids of a whole text as little-endian uint32 bytes, no special tokens put around it.
 
     ``words``: the vocabulary drops white space and lower-cases (word ends
     marked by the model); else it is byte-level and keeps everything.
@@ -64,7 +64,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.words = words
@@ -73,6 +72,11 @@ class Encoder:
         self.table = byte_letters()
         self.parts = _Cache(self._part, WORD_CACHE_PARTS if words else CACHE_PARTS)
         self.pieces = _Cache(self._piece, WORD_CACHE_PIECES) if words else _Cache(self._spaced, CACHE_PIECES)
+        # the file's added tokens (such as an end of text) have ids of their own wherever a text spells them;
+        # one that is looked for in normalised text leaves every text to the library
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        spelt = "" if any(t.normalized for t in added) else "|".join(re.escape(t.content) for t in added) or r"(?!)"
+        self.added = re.compile(spelt).search
         # a run of characters with the spaces and line ends before it; no id reaches over its edges
         self.runs = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
         # white space other than space and line end could run across an edge
@@ -105,6 +109,8 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.added(text):
+            return self.whole(text)
         if self.words:
             return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if self.other_space(text):

@@ -70,6 +70,20 @@ def test_cached_encoder_equals_the_library(name, words):
     assert all(enc.ids(t) == enc.whole(t) for t in texts)
 
 
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_added_tokens_have_their_ids(name, words):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    plain, enc = Tokenizer.from_file(path), encoder(path, words)
+    rnd = random.Random(2)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "\n", "\t", "a", "B's", "é日", "<", "."]
+    texts = ["a b <|endoftext|> c", "<|startoftext|>x<|endoftext|>", "<|endoftext|>" * 3]
+    texts += ["".join(rnd.choices(bits, k=rnd.randint(1, 8))) for _ in range(3000)]
+    assert all(np.frombuffer(enc.ids(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids for t in texts)
+    assert plain.token_to_id("<|endoftext|>") in np.frombuffer(enc.ids(texts[0]), "<u4")
+
+
 def brute_set(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text.translate({c: c + 32 for c in range(65, 91)}))
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()

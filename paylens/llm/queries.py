@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import ann, embedding_dedup, lang_id, licenses, line_dedup, mixing, near_dup, packing, quality, token_output
+from paylens.llm import ann, embedding_dedup, infill, lang_id, licenses, line_dedup, mixing, near_dup, packing, quality, spelling, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -88,6 +88,22 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(spark, path, with_ids=False)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infill.restore(infill.fill_in_middle(docs).drop("text"))
+    return made.select(
+        "doc_id", F.col("fim_units").alias("n"), F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"), F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2("fim_output", 256).alias("output_sha256"), F.sha2("fim_restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
@@ -99,6 +115,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_output": op10_token_output,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 
@@ -199,5 +217,29 @@ digests AS (SELECT rid, doc_id, {_digest_sql("text")} AS text_digest FROM rows)
 SELECT doc_id, text_digest, k.license AS license_id, coalesce(notice_ids, '') AS notice_ids,
        CAST(coalesce(n_notices, 0) AS BIGINT) AS n_notices
 FROM digests LEFT JOIN known k ON text_digest = k.d AND k.whole LEFT JOIN notices USING (rid)
+""",
+    "op12_fill_in_middle": """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS parts,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+drawn AS (
+  SELECT *, len(parts) - CASE WHEN parts[-1] = '' THEN 1 ELSE 0 END AS n,
+         CAST('0x' || hex[1:8] AS BIGINT) AS h1, CAST('0x' || hex[9:16] AS BIGINT) AS h2,
+         CAST('0x' || hex[17:24] AS BIGINT) AS h3, CAST('0x' || hex[25:32] AS BIGINT) AS h4 FROM texts),
+cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 AS plain FROM drawn),
+heads AS (
+  SELECT *, CASE WHEN a = 0 THEN 0 WHEN a = n THEN length(t) ELSE length(array_to_string(parts[1:a], chr(10))) + 1 END AS la,
+         CASE WHEN b = 0 THEN 0 WHEN b = n THEN length(t) ELSE length(array_to_string(parts[1:b], chr(10))) + 1 END AS lb FROM cuts),
+pieces AS (
+  SELECT *, substr(t, 1, la) AS prefix, substr(t, la + 1, lb - la) AS middle, substr(t, lb + 1) AS suffix FROM heads),
+formed AS (SELECT *, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM pieces)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN NOT plain THEN CAST(la AS BIGINT) END AS prefix_chars,
+       CASE WHEN NOT plain THEN CAST(lb - la AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM formed
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylens.llm import ann, embedding_dedup, infill, lang_id, licenses, line_dedup, mixing, near_dup, packing, quality, spelling, token_output
+from paylens.llm import ann, block_labeller, embedding_dedup, infill, lang_id, licenses, line_dedup, mixing, near_dup, packing, quality, spelling, token_output
 from paylens.llm.common import read_table, ship_package
 from paylens.sinks.writers import scratch_path
 
@@ -88,6 +88,13 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(spark, path, with_ids=False)
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = block_labeller.extract_main_text(pages).drop("html").withColumnRenamed("main_text", "text")
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_main_blocks")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -115,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_token_output": op10_token_output,
+    "op11_html_extraction": op11_html_extraction,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_spelling_variants": op13_spelling_variants,
 }

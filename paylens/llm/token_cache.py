@@ -17,13 +17,16 @@ from functools import lru_cache
 import regex
 
 #: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each: byte-level and word vocabularies.
+#: Latin-1 texts need only the parts of the latter: their lower-cased words, without what stands next to them.
 CACHE_PIECES, CACHE_PARTS = 400_000, 200_000
-WORD_CACHE_PIECES, WORD_CACHE_PARTS = 60_000, 40_000
+WORD_CACHE_PIECES, WORD_CACHE_PARTS = 40_000, 150_000
 
 #: Fixed value: the byte-level vocabulary's split of a text before its merges.
 BYTE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Fixed value: the word vocabulary's words; what lies between them is dropped.
 WORD_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+#: What the classes of that split hold within Latin-1, so that the faster standard library can split such texts alike.
+LATIN_CLASSES = {r"\p{L}": "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe", r"\s": " \t-\r\x85\xa0"}
 
 
 def byte_letters() -> dict[int, str]:
@@ -82,7 +85,11 @@ class Encoder:
         # white space other than space and line end could run across an edge
         self.other_space = re.compile(r"[^\S \n]").search
         # outside Latin-1, normalisation and character classes are left to the library
-        self.latin = re.compile(r"[\x00-\xff]*").fullmatch
+        self.latin = re.compile(r"[\x00-\xff]*+").fullmatch
+        classes = WORD_SPLIT
+        for name, members in LATIN_CLASSES.items():
+            classes = classes.replace(name, members)
+        self.latin_words = re.compile(classes).findall
         # the usual piece, cut as the vocabulary's split does
         self.usual = re.compile(r"(\n?)( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)").fullmatch
 
@@ -111,6 +118,8 @@ class Encoder:
             return b""
         if self.added(text):
             return self.whole(text)
+        if self.words and self.latin(text):
+            return b"".join(map(self.parts.__getitem__, self.latin_words(text.lower())))
         if self.words:
             return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if self.other_space(text):

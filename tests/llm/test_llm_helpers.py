@@ -67,6 +67,8 @@ def test_cached_encoder_equals_the_library(name, words):
     alphabet = "ab 'sS\n\t\r.,!09éßÿ \x85́日½²ª_µ<|>\x1c "
     texts = ["", " ", "\n", "a  b", "don't WE'LL", "<|endoftext|> x", "İ ΣΑΣ", "  lead\n\n", "x \ny"]
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 30))) for _ in range(4000)]
+    latin = [chr(c) for c in range(256)] + ["a", "B", "'s", " ", "1"] * 20
+    texts += ["".join(rnd.choices(latin, k=rnd.randint(1, 12))) for _ in range(4000)]
     assert all(enc.ids(t) == enc.whole(t) for t in texts)
 
 

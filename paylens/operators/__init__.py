@@ -1,7 +1,9 @@
 """DataFrame -> DataFrame operators. All lazy; none runs an action."""
 
 from paylens.operators.anomaly import amount_stats, detect_anomalies, score_amounts
+from paylens.operators.buckets import ordered_buckets
 from paylens.operators.clean import clean
+from paylens.operators.duplicates import near_in_time_duplicates, without_duplicates
 from paylens.operators.quality import quality_report, quality_report_dict
 from paylens.operators.rollups import (
     aggregation_sets,
@@ -19,11 +21,14 @@ from paylens.operators.rollups import (
     with_countries,
 )
 from paylens.operators.sequence import sender_sequence
+from paylens.operators.temporal_joins import asof_join, interval_join
 from paylens.operators.validate import validate
+from paylens.operators.velocity import sender_velocity
 
 __all__ = [
     "amount_stats", "detect_anomalies", "score_amounts", "clean", "quality_report",
     "quality_report_dict", "aggregation_sets", "aggregations", "aggregations_dict", "by_currency", "by_msg_type",
     "country_statistics", "daily_volumes", "overall_stats", "top_parties", "top_receivers",
     "top_senders", "valid_only", "with_countries", "validate", "sender_sequence",
+    "ordered_buckets", "near_in_time_duplicates", "without_duplicates", "asof_join", "interval_join", "sender_velocity",
 ]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from paylens.operators.clean import clean
 from paylens.operators.quality import quality_metric_columns, report_from_metrics
-from paylens.operators.rollups import aggregations_dict
+from paylens.operators.rollups import aggregation_sets, aggregations_dict, aggregations_from_sets, bounded_sets
 from paylens.operators.validate import validate
 from paylens.sinks.writers import rebalance_for_write, write_parquet
 from paylens.sources.payments import read_payments_csv, read_processed
@@ -62,6 +62,7 @@ def run_ingest(
     as_of: Column | str | None = None,
     strict: bool = False,
     rules: Mapping[str, Any] | None = None,
+    aggregates_path: str | None = None,
 ) -> tuple[DataFrame, dict[str, Any], dict[str, Any]]:
     """Process raw CSV payments; returns (processed DataFrame, report, aggregations).
 
@@ -69,10 +70,15 @@ def run_ingest(
     command line uses year/month/day. The returned DataFrame reads the
     written Parquet, so later use never re-runs the CSV parse. ``rules``
     override the check rules (``currencies``, ``msg_types``, ``bic_pattern``,
-    ``high_value``, ``threshold``).
+    ``high_value``, ``threshold``). The aggregations returned list the most
+    frequent currencies and message types; with ``aggregates_path`` every
+    group is written there as a Parquet table, and the lists are read from it.
     """
     raw = read_payments_csv(spark, input_path)
     report = write_validated(validated_from_raw(raw, as_of, strict, rules), output_path, partition_by)
     processed = read_processed(spark, output_path)
-    aggs = aggregations_dict(processed)
-    return processed, report, aggs
+    if aggregates_path is None:
+        return processed, report, aggregations_dict(processed)
+    aggregation_sets(processed).write.mode("overwrite").parquet(aggregates_path)
+    written = spark.read.parquet(aggregates_path)
+    return processed, report, aggregations_from_sets(bounded_sets(written).collect())

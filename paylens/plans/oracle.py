@@ -17,6 +17,11 @@ BANK_CODES = "ORIOLYRAVEGANORDALPS"
 COUNTRY_CODES = "USGBDEFRJPCNAUCABRINCHSENZITESNLBEPTIEDKNOFIPLATSG"
 CURRENCY_CODES = "USDEURGBPJPYAUDCADCHFCNYSEKNZDINRBRL"
 MSG_TYPE_CODES = "MT103MT202MT950MT940"
+GEN_BICS = ("BOFAUS3NXXX", "CHASUS33XXX", "DEUTDEFFXXX", "BARCGB22XXX", "BNPAFRPPXXX")
+GEN_CURRENCIES = ("USD", "EUR", "GBP", "JPY")
+GEN_MSG_TYPES = ("MT103", "MT202", "MT950")
+GEN_RARE_CURRENCIES = ("AUD", "CAD", "CHF", "CNY")
+GEN_ANOMALY_KINDS = ("high_amount", "invalid_bic", "future_date", "duplicate", "wrong_currency")
 # --- end of fixed values ---
 
 
@@ -210,32 +215,32 @@ FROM valid GROUP BY GROUPING SETS ((), (currency), (msg_type))"""),
 
 
 def _u(salt: int) -> str:
-    return f"(CAST('0x' || substr(md5(concat_ws(':', CAST(id AS VARCHAR), '42', '{salt}')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+    digest = f"md5(concat_ws(':', CAST(id AS VARCHAR), '42', '{salt // 2}'))"
+    return f"(CAST('0x' || substr({digest}, {1 + 13 * (salt % 2)}, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
 def _one_of(values: tuple[str, ...], salt: int) -> str:
     return f"list_extract([{_in_list(values)}], CAST(floor({_u(salt)} * {len(values)}) AS INTEGER) + 1)"
 
 
-_GEN_BICS = ("BOFAUS3NXXX", "CHASUS33XXX", "DEUTDEFFXXX", "BARCGB22XXX", "BNPAFRPPXXX")
 _SUFFIX = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789', CAST(floor({_u(20 + i)} * 36) AS INTEGER) + 1, 1)" for i in range(8))
 GENERATED_RAW_CTES = f"""
 ids AS (SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem),
 kinds AS (
   SELECT id, CASE WHEN {_u(7)} < 0.05
-    THEN {_one_of(("high_amount", "invalid_bic", "future_date", "duplicate", "wrong_currency"), 8)} END AS kind FROM ids
+    THEN {_one_of(GEN_ANOMALY_KINDS, 8)} END AS kind FROM ids
 ),
 raw AS (
   SELECT
     strftime(CASE WHEN kind = 'future_date' THEN TIMESTAMP '{FIXTURE_AS_OF}' + to_days(CAST(floor({_u(9)} * 30) AS INTEGER) + 1)
       ELSE TIMESTAMP '{FIXTURE_AS_OF}' - INTERVAL 30 DAY + to_minutes(CAST(floor({_u(1)} * 43200) AS BIGINT) + 1) END,
       '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
-    CASE WHEN kind = 'invalid_bic' THEN 'INVALID' || {_SUFFIX} ELSE {_one_of(_GEN_BICS, 2)} END AS sender_bic,
-    {_one_of(_GEN_BICS, 3)} AS receiver_bic,
+    CASE WHEN kind = 'invalid_bic' THEN 'INVALID' || {_SUFFIX} ELSE {_one_of(GEN_BICS, 2)} END AS sender_bic,
+    {_one_of(GEN_BICS, 3)} AS receiver_bic,
     CASE WHEN kind = 'high_amount' THEN round(1e7 + {_u(10)} * 9e7, 2) ELSE round(100.0::DOUBLE + {_u(4)} * 999900, 2) END AS amount,
-    CASE WHEN kind = 'wrong_currency' THEN {_one_of(("AUD", "CAD", "CHF", "CNY"), 11)}
-         ELSE {_one_of(("USD", "EUR", "GBP", "JPY"), 5)} END AS currency,
-    {_one_of(("MT103", "MT202", "MT950"), 6)} AS msg_type
+    CASE WHEN kind = 'wrong_currency' THEN {_one_of(GEN_RARE_CURRENCIES, 11)}
+         ELSE {_one_of(GEN_CURRENCIES, 5)} END AS currency,
+    {_one_of(GEN_MSG_TYPES, 6)} AS msg_type
   FROM kinds
 )"""
 
@@ -247,3 +252,72 @@ ORACLE_SQL |= {
     "written_top_receivers": ORACLE_SQL["top_receivers"],
     "written_fraud_anomalies": ORACLE_SQL["amount_anomalies"],
 }
+
+# Queries by time, and the order of ordered results.
+
+_RESENT = VALIDATED_CTES + """,
+resent AS (
+  SELECT "timestamp" + to_seconds(copy * (600 + cents % 6000)) AS "timestamp", sender_bic, receiver_bic, amount, currency, msg_type
+  FROM (SELECT *, unnest(CASE WHEN cents % 5 = 0 THEN range(0, 2 + cents % 3) ELSE [0] END) AS copy
+        FROM (SELECT *, CAST(abs(round(amount * 100)) AS BIGINT) AS cents FROM valid))
+),
+whole AS (
+  SELECT *, row_number() OVER w AS number,
+         coalesce("timestamp" - lag("timestamp") OVER w > INTERVAL 1 HOUR, true) AS starts
+  FROM resent WHERE "timestamp" IS NOT NULL AND sender_bic IS NOT NULL AND receiver_bic IS NOT NULL AND amount IS NOT NULL AND currency IS NOT NULL
+  WINDOW w AS (PARTITION BY sender_bic, receiver_bic, amount, currency ORDER BY "timestamp", msg_type NULLS FIRST)
+),
+runs AS (
+  SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY sender_bic, receiver_bic, amount, currency ORDER BY number) AS run FROM whole
+)"""
+_POSITION = "CAST(row_number() OVER (ORDER BY {}) AS BIGINT) AS position"
+
+
+def _ordered(name: str, order: str) -> str:
+    return f"SELECT *, {_POSITION.format(order)} FROM ({ORACLE_SQL[name]})"
+
+
+ORACLE_SQL |= {
+    "sender_velocity": _with(VALIDATED_CTES, """
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type,
+       CASE WHEN known THEN CAST(count(*) OVER month AS BIGINT) END AS velocity_count,
+       CASE WHEN known THEN round(coalesce(sum(amount) OVER month, 0), 2) END AS velocity_sum,
+       CASE WHEN known THEN date_diff('microsecond', max("timestamp") OVER before, "timestamp") / 1e6::DOUBLE END AS seconds_since_previous
+FROM (SELECT *, sender_bic IS NOT NULL AND "timestamp" IS NOT NULL AS known FROM valid)
+WINDOW month AS (PARTITION BY known, sender_bic ORDER BY "timestamp" RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW),
+       before AS (PARTITION BY known, sender_bic ORDER BY "timestamp" RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"""),
+    "near_duplicates": _with(_RESENT, """
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type,
+       min("timestamp") OVER (PARTITION BY sender_bic, receiver_bic, amount, currency, run) AS run_start,
+       CAST(row_number() OVER (PARTITION BY sender_bic, receiver_bic, amount, currency, run ORDER BY number) AS BIGINT) AS run_position,
+       NOT starts AS is_duplicate
+FROM runs
+UNION ALL
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type, "timestamp", CAST(1 AS BIGINT), false
+FROM resent WHERE "timestamp" IS NULL OR sender_bic IS NULL OR receiver_bic IS NULL OR amount IS NULL OR currency IS NULL"""),
+    "events_asof_orders": """
+SELECT e.event_id, e.user_id, e.at, e.event_type, o.o_orderdate, o.o_orderkey, o.o_totalprice
+FROM (SELECT *, ts - INTERVAL 9500 DAY AS at FROM events) e
+ASOF LEFT JOIN (
+  SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1) o
+ON e.user_id = o.o_custkey AND e.at >= o.o_orderdate""",
+    "payments_in_periods": _with(VALIDATED_CTES + f""",
+periods AS (
+  SELECT {_bic_base('c_custkey', 'c_nationkey')} AS sender, o_orderkey AS period_id, o_orderdate AS valid_from,
+         o_orderdate + to_days(CAST(CASE WHEN o_orderkey % 50 = 0 THEN 7300 ELSE o_orderkey % 400 + 1 END AS INTEGER)) AS valid_to
+  FROM orders JOIN customer ON o_custkey = c_custkey
+)""", """
+SELECT sender_bic, "timestamp", receiver_bic, amount, currency, period_id, valid_from, valid_to
+FROM valid JOIN periods ON sender_bic = sender AND "timestamp" BETWEEN valid_from AND valid_to"""),
+    "ordered_daily_volumes": _ordered("daily_volumes", "date, currency"),
+    "ordered_by_currency": _ordered("by_currency", "transaction_count DESC, currency"),
+    "ordered_country_statistics": _ordered("country_statistics", "transaction_count DESC, sender_country, receiver_country, currency"),
+    "ordered_anomalies": _with(VALIDATED_CTES + """,
+stats AS (SELECT avg(amount) AS mean_amount, stddev_samp(amount) AS std_amount FROM valid WHERE NOT isnan(amount)),
+scored_amounts AS (
+  SELECT v.*, CASE WHEN s.std_amount = 0 THEN NULL ELSE (v.amount - s.mean_amount) / s.std_amount END AS z_score FROM valid v CROSS JOIN stats s
+),
+anomalies AS (SELECT * FROM scored_amounts WHERE COALESCE(abs(z_score) > 3, false) OR COALESCE(is_high_value, false))""", """
+SELECT amount, CAST(row_number() OVER (ORDER BY amount DESC) AS BIGINT) AS position FROM anomalies"""),
+    "ingest_aggregates": ORACLE_SQL["aggregation_sets"],
+}

@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylens.operators.anomaly import detect_anomalies
 from paylens.operators.clean import clean
+from paylens.operators.duplicates import near_in_time_duplicates
 from paylens.operators.quality import quality_report
 from paylens.operators.rollups import (
     aggregation_sets,
@@ -31,11 +32,13 @@ from paylens.operators.rollups import (
     top_senders,
 )
 from paylens.operators.sequence import sender_sequence
+from paylens.operators.temporal_joins import asof_join, interval_join
 from paylens.operators.validate import validate
+from paylens.operators.velocity import sender_velocity
 from paylens.plans.analysis import analysis_results, run_analysis
 from paylens.plans.ingest import run_ingest, write_validated
 from paylens.sinks.writers import scratch_path, write_csv, write_parquet, write_results
-from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, validated_payments
+from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, resent_payments, validated_payments, validity_periods
 from paylens.sources.generator import generate_payments
 from paylens.sources.payments import read_payments_csv, read_processed
 
@@ -114,9 +117,77 @@ def q_amount_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEQUENCE_COLUMNS = ("sender_bic", "timestamp", "receiver_bic", "amount", "currency", "msg_type")
 
 
+def valid_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid payments, written and read back: what operators with several passes read in real use."""
+    path = scratch_path(spark, "valid")
+    validated_payments(spark, sf_dir).where(F.col("is_valid")).select(*SEQUENCE_COLUMNS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def q_sender_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = validated_payments(spark, sf_dir).where(F.col("is_valid")).select(*SEQUENCE_COLUMNS)
-    return wall_clock(sender_sequence(valid))
+    return wall_clock(sender_sequence(valid_written(spark, sf_dir)))
+
+
+def q_sender_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per valid payment: its sender's count and sum of the 30 days up to it, and the time since the payment before."""
+    figures = sender_velocity(valid_written(spark, sf_dir), window_seconds=30 * 86_400)
+    return wall_clock(figures.withColumn("velocity_sum", F.round("velocity_sum", 2)))
+
+
+def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments sent again within an hour of the one before, among valid payments and copies made of some."""
+    path = scratch_path(spark, "resent")
+    resent_payments(spark, sf_dir).write.parquet(path)
+    return wall_clock(near_in_time_duplicates(spark.read.parquet(path), gap_seconds=3600))
+
+
+def q_events_asof_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event, moved into the years of the orders, with its user's latest order by then."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "user_id", F.timestamp_add("DAY", F.lit(-9500), F.col("ts").cast("timestamp")).alias("at"), "event_type")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), "o_orderkey", "o_totalprice")
+    return wall_clock(asof_join(events, orders, ["user_id"], "at", "o_orderdate"))
+
+
+def q_payments_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every valid payment with every period of its sender that it falls in."""
+    payments = valid_written(spark, sf_dir).select("sender_bic", "timestamp", "receiver_bic", "amount", "currency")
+    return wall_clock(interval_join(payments, validity_periods(spark, sf_dir), ["sender_bic"], "timestamp", "valid_from", "valid_to"))
+
+
+def positions(ordered: DataFrame, label: str) -> DataFrame:
+    """``ordered`` plus ``position``: the place of each row in the order that it comes in, from 1.
+
+    Written with the running ids of its sorted partitions; the places come from
+    their counts, one row per partition.
+    """
+    spark = ordered.sparkSession
+    path = scratch_path(spark, label)
+    ordered.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(parts, part == F.col("_part")).withColumn("position", F.col("_before") + inside + 1).drop("_id", "_part", "_before")
+
+
+def ordered_query(name: str, operator: Callable[[DataFrame], DataFrame], columns: tuple[str, ...] = ()) -> Query:
+    """A query: the operator's rows with their places in its order."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = positions(operator(validated_payments(spark, sf_dir)), name)
+        return settled(wall_clock(out.select(*columns, "position") if columns else out))
+
+    return query
+
+
+def q_ingest_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All groups of the ingest job's aggregations, as the table that it writes."""
+    source, path = scratch_path(spark, "ingest-csv"), scratch_path(spark, "ingest-aggregates")
+    write_csv(raw_payments(spark, sf_dir), source)
+    run_ingest(spark, source, scratch_path(spark, "ingest-rows"), as_of=FIXTURE_AS_OF, aggregates_path=path)
+    return settled(spark.read.parquet(path))
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,4 +272,13 @@ QUERIES: dict[str, Query] = {
     "ingest_rows": q_ingest_rows,
     "ingest_report": q_ingest_report,
     "generated_payments": q_generated_payments,
+    "sender_velocity": q_sender_velocity,
+    "near_duplicates": q_near_duplicates,
+    "events_asof_orders": q_events_asof_orders,
+    "payments_in_periods": q_payments_in_periods,
+    "ordered_daily_volumes": ordered_query("ordered-daily", daily_volumes),
+    "ordered_by_currency": ordered_query("ordered-currency", by_currency),
+    "ordered_country_statistics": ordered_query("ordered-countries", country_statistics),
+    "ordered_anomalies": ordered_query("ordered-anomalies", detect_anomalies, ("amount",)),
+    "ingest_aggregates": q_ingest_aggregates,
 }

@@ -125,3 +125,31 @@ def validated_payments(spark: SparkSession, sf_dir: str, as_of: str = FIXTURE_AS
     from paylens.operators.validate import validate
 
     return raw_payments(spark, sf_dir).transform(clean, as_of=as_of).transform(validate, as_of=as_of)
+
+
+def resent_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid payments, and one to three later copies of those whose amount in cents is a multiple of five.
+
+    Copies follow each other in steps of 600 to 6,599 seconds, so some lie
+    within an hour of the one before and some do not.
+    """
+    columns = ["timestamp", "sender_bic", "receiver_bic", "amount", "currency", "msg_type"]
+    valid = validated_payments(spark, sf_dir).where("is_valid").select(*columns)
+    cents = F.abs(F.round(F.col("amount") * 100)).cast("long")
+    copy = F.explode(F.when(cents % 5 == 0, F.sequence(F.lit(0), 1 + cents % 3)).otherwise(F.array(F.lit(0).cast("long"))))
+    sent = valid.withColumn("copy", copy)
+    again = F.timestamp_add("SECOND", F.col("copy") * (600 + cents % 6000), F.col("timestamp"))
+    return sent.withColumn("timestamp", again).select(*columns)
+
+
+def validity_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One period a sender may pay in per order: from its date, for 1 to 400 days (every 50th order: for 20 years)."""
+    t = payment_tables(spark, sf_dir)
+    orders = spark.read.schema("o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ").parquet(f"{sf_dir}/orders.parquet")
+    key = F.col("o_orderkey")
+    days = F.when(key % 50 == 0, 7300).otherwise(key % 400 + 1)
+    start = F.col("o_orderdate").cast("timestamp")
+    return orders.join(t["customer"], F.col("o_custkey") == F.col("c_custkey")).select(
+        _bic_base(F.col("c_custkey"), F.col("c_nationkey")).alias("sender_bic"), key.alias("period_id"),
+        start.alias("valid_from"), F.timestamp_add("DAY", days, start).alias("valid_to"),
+    )

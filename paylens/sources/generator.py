@@ -32,15 +32,20 @@ GEN_BIC_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 GEN_WINDOW_MINUTES = 43200  # 30 days
 # --- end of fixed values ---
 
-#: Hex digits of a digest that make a number, and how many such numbers there are.
+#: Digests that every row uses.
+EVERY_ROW = 5
+#: Hex digits of a digest that make a number; a digest holds two.
 _DIGITS = 13
 _RANGE = float(16**_DIGITS)
 
 
-def _uniform(seed: int, salt: int) -> Column:
-    """Deterministic uniform double in [0, 1) per (id, seed, salt)."""
-    digest = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(str(salt))))
-    return F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("double") / _RANGE
+def _digest(seed: int, k: int) -> Column:
+    return F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(str(k))))
+
+
+def _uniform(digest: Column, salt: int) -> Column:
+    """A uniform double in [0, 1) from the digest of number ``salt // 2``."""
+    return F.conv(F.substring(digest, 1 + _DIGITS * (salt % 2), _DIGITS), 16, 10).cast("double") / _RANGE
 
 
 def _pick(values: tuple[str, ...], u: Column) -> Column:
@@ -66,32 +71,40 @@ def generate_payments(
         if num_records is None:
             raise ValueError("give num_records or ids")
         ids = spark.range(num_records)
+    # the digests that every row needs are made once, those of rare rows where they are used
+    ids = ids.select("id", *[_digest(seed, k).alias(f"_d{k}") for k in range(EVERY_ROW)])
+
+    def u(salt: int) -> Column:
+        k = salt // 2
+        return _uniform(F.col(f"_d{k}") if k < EVERY_ROW else _digest(seed, k), salt)
+
     now = as_of_column(as_of)
     start = F.timestamp_add("DAY", F.lit(-30), now)
-    minute = F.floor(_uniform(seed, 1) * GEN_WINDOW_MINUTES) + 1
+    minute = F.floor(u(1) * GEN_WINDOW_MINUTES) + 1
     normal_ts = F.timestamp_add("MINUTE", minute, start)
-    amount = F.round(F.lit(100.0) + _uniform(seed, 4) * (1_000_000 - 100), 2)
-    kind = F.when(_uniform(seed, 7) < anomaly_rate, _pick(GEN_ANOMALY_KINDS, _uniform(seed, 8)))
+    amount = F.round(F.lit(100.0) + u(4) * (1_000_000 - 100), 2)
+    ids = ids.withColumn("_kind", F.when(u(7) < anomaly_rate, _pick(GEN_ANOMALY_KINDS, u(8))))
+    kind = F.col("_kind")
     suffix = F.concat_ws(
         "",
-        *[F.substr(F.lit(GEN_BIC_ALPHABET), (F.floor(_uniform(seed, 20 + i) * 36) + 1).cast("int"), F.lit(1))
+        *[F.substr(F.lit(GEN_BIC_ALPHABET), (F.floor(u(20 + i) * 36) + 1).cast("int"), F.lit(1))
           for i in range(8)],
     )
-    future_ts = F.timestamp_add("DAY", F.floor(_uniform(seed, 9) * 30) + 1, now)
+    future_ts = F.timestamp_add("DAY", F.floor(u(9) * 30) + 1, now)
     rows = ids.select(
         F.col("id"),
         F.when(kind == "future_date", future_ts).otherwise(normal_ts).alias("_ts"),
         F.when(kind == "invalid_bic", F.concat(F.lit("INVALID"), suffix))
-        .otherwise(_pick(GEN_BICS, _uniform(seed, 2)))
+        .otherwise(_pick(GEN_BICS, u(2)))
         .alias("sender_bic"),
-        _pick(GEN_BICS, _uniform(seed, 3)).alias("receiver_bic"),
-        F.when(kind == "high_amount", F.round(F.lit(1e7) + _uniform(seed, 10) * 9e7, 2))
+        _pick(GEN_BICS, u(3)).alias("receiver_bic"),
+        F.when(kind == "high_amount", F.round(F.lit(1e7) + u(10) * 9e7, 2))
         .otherwise(amount)
         .alias("amount"),
-        F.when(kind == "wrong_currency", _pick(GEN_RARE_CURRENCIES, _uniform(seed, 11)))
-        .otherwise(_pick(GEN_CURRENCIES, _uniform(seed, 5)))
+        F.when(kind == "wrong_currency", _pick(GEN_RARE_CURRENCIES, u(11)))
+        .otherwise(_pick(GEN_CURRENCIES, u(5)))
         .alias("currency"),
-        _pick(GEN_MSG_TYPES, _uniform(seed, 6)).alias("msg_type"),
+        _pick(GEN_MSG_TYPES, u(6)).alias("msg_type"),
         F.coalesce(kind, F.lit("normal")).alias("anomaly_kind"),
     )
     out = rows.select(

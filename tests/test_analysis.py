@@ -75,6 +75,18 @@ def test_summary_dicts_are_bounded(spark):
     assert by_currency(rows).count() == 10_000
 
 
+def test_ingest_writes_every_group(spark, raw):
+    from paylens.plans.ingest import run_ingest
+    from paylens.sinks import scratch_path, write_csv
+
+    source, table = scratch_path(spark, "t-csv"), scratch_path(spark, "t-aggregates")
+    write_csv(raw(VALID5), source)
+    processed, _, aggs = run_ingest(spark, source, scratch_path(spark, "t-rows"), as_of=AS_OF, aggregates_path=table)
+    assert aggs == aggregations_dict(processed)
+    kinds = {r.grouping_set: r["count"] for r in spark.read.parquet(table).groupBy("grouping_set").count().collect()}
+    assert kinds == {"overall": 1, "currency": 3, "msg_type": 3}
+
+
 @pytest.mark.parametrize("amounts", [[0.001] * 50, [1e29, 1e29, 1e29, 5.0], [1.5, float("inf")], [2.0, float("nan")]])
 def test_no_amount_vanishes_from_money_aggregates(spark, amounts):
     rows = [(datetime(2024, 1, 1), "ORIODE4B", "LYRAFR2P", a, "USD", True, False) for a in amounts]

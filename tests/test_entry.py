@@ -4,7 +4,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-TABLES = ["lineitem", "orders", "customer", "supplier"]
+TABLES = ["lineitem", "orders", "customer", "supplier", "events"]
 
 
 def test_entry_smoke(spark):
@@ -57,4 +57,9 @@ def test_operators_are_lazy(spark):
     assert set(tracker.getJobIdsForGroup(None)) == before
     seq = sender_sequence(v.where("is_valid").select("sender_bic", "timestamp", "amount"))
     seq.select("row_num")
+    from paylens.operators import asof_join, interval_join, near_in_time_duplicates, sender_velocity
+
+    paid, since = v.select("sender_bic", "timestamp"), v.selectExpr("sender_bic", "timestamp AS since", "timestamp AS until")
+    sender_velocity(v), near_in_time_duplicates(v), asof_join(paid, since, ["sender_bic"], "timestamp", "since")
+    interval_join(paid, since, ["sender_bic"], "timestamp", "since", "until")
     assert set(tracker.getJobIdsForGroup(None)) == before

@@ -76,3 +76,19 @@ def test_quality_metrics_are_observed_in_the_write_stage(spark):
 def test_anomaly_table_with_given_statistics_reads_its_input_once(processed):
     plan = physical(detect_anomalies(processed, stats=(10.0, 2.0), ordered=False))
     assert plan.count("FileScan parquet") == 1 and "Exchange" not in plan and "Subquery" not in plan
+
+
+def test_bounded_aggregates_read_once(processed):
+    from paylens.operators.rollups import bounded_sets
+
+    plan = physical(bounded_sets(aggregation_sets(processed), 10))
+    assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1 and "WindowGroupLimit" in plan
+
+
+def test_temporal_operators_stay_in_the_jvm_without_pairwise_joins(processed):
+    from paylens.operators import asof_join, near_in_time_duplicates, sender_velocity
+
+    since = processed.selectExpr("sender_bic", "timestamp AS since", "amount AS level")
+    for out in (sender_velocity(processed), near_in_time_duplicates(processed), asof_join(processed, since, ["sender_bic"], "timestamp", "since")):
+        plan = physical(out)
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan and "Python" not in plan

@@ -95,7 +95,7 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def _sets(size: int | None, words: int):
-    """Per document: id, set size, digest of the set (null if empty) and its ``size`` smallest hashes (None: all)."""
+    """Per document: id, hash of the text, set size, digest of the set (null if empty) and its ``size`` smallest hashes (None: all)."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -105,6 +105,7 @@ def _sets(size: int | None, words: int):
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None),
+                        "text_hash": part["text_hash"],
                         "n": [len(s) for s in sets],
                         "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                         "hashes": [s[:size].view(np.int64) for s in sets],
@@ -114,7 +115,7 @@ def _sets(size: int | None, words: int):
     return rows
 
 
-SETS = "doc_id long, n long, digest binary, hashes array<long>"
+SETS = "doc_id long, text_hash long, n long, digest binary, hashes array<long>"
 
 
 def _matrix(rows: list[np.ndarray], width: int, fill: int) -> np.ndarray:
@@ -166,7 +167,7 @@ def _runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
 def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Candidate pairs of short lists; rows come sorted by value."""
     for rows in _runs(batches, ["v"]):
-        value, rep, n = (rows[c].to_numpy() for c in ("v", "rep", "n"))
+        value, node, n = (rows[c].to_numpy() for c in ("v", "node", "n"))
         i = np.arange(len(rows))
         pairs = []
         for step in range(1, len(rows)):
@@ -177,7 +178,7 @@ def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not pairs:
             continue
         a, b = np.concatenate(pairs, axis=1)
-        fits = (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])) & (rep[a] != rep[b])
+        fits = (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])) & (node[a] != node[b])
         a, b = a[fits], b[fits]
         hashes, before = rows["hashes"].to_list(), rows["before"].to_list()
         pos = np.array([len(x) for x in before])
@@ -195,7 +196,7 @@ def _pairs_of_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             right = _matrix([hashes[k] for k in y], K, (1 << 64) - 1 - (1 << 20))
             keep = may_link(n[x], n[y], *_matches(left, right, K))
             if keep.any():
-                x, y = rep[x[keep]], rep[y[keep]]
+                x, y = node[x[keep]], node[y[keep]]
                 yield pd.DataFrame({"a": np.maximum(x, y), "b": np.minimum(x, y)})
 
 
@@ -233,9 +234,9 @@ def _links_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Of every block of a long list: a spanning forest of its certain links, and the uncertain ones across its trees."""
     for rows in _runs(batches, ["v", "block_a", "block_b"]):
         for _, g in rows.groupby(["v", "block_a", "block_b"], sort=False):
-            g = g.drop_duplicates("rep").sort_values("rep")
-            rep, n = g["rep"].to_numpy(), g["n"].to_numpy()
-            if len(rep) < 2:
+            g = g.drop_duplicates("node").sort_values("node")
+            node, n = g["node"].to_numpy(), g["n"].to_numpy()
+            if len(node) < 2:
                 continue
             hashes = g["hashes"].to_list()
             shared = _overlaps(hashes)
@@ -260,14 +261,14 @@ def _links_of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             moved = np.flatnonzero(root != np.arange(len(root)))
             # a tree edge is a link if it joins whole sets that are linked; others are verified
             sure = linked[moved, root[moved]]
-            yield pd.DataFrame({"a": rep[moved[sure]], "b": rep[root[moved[sure]]], "verified": True})
+            yield pd.DataFrame({"a": node[moved[sure]], "b": node[root[moved[sure]]], "verified": True})
             rest = [(i, j) for i, j in _tree(linked | likely, root, moved[~sure])]
             x, y = np.nonzero(np.triu(unsure & ~likely, 1))
             across = root[x] != root[y]
             rest += list(zip(x[across].tolist(), y[across].tolist()))
             if rest:
                 i, j = np.array(rest).T
-                yield pd.DataFrame({"a": np.maximum(rep[i], rep[j]), "b": np.minimum(rep[i], rep[j]), "verified": linked[i, j]})
+                yield pd.DataFrame({"a": np.maximum(node[i], node[j]), "b": np.minimum(node[i], node[j]), "verified": linked[i, j]})
 
 
 def _tree(linked: np.ndarray, root: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -295,7 +296,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_kept`` and ``text_hash``.
 
     Words are runs of characters other than space and 0x09-0x0D, with A-Z
     lower-cased; a document is the set of its 5-word shingles, of fewer words
@@ -305,22 +306,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty and blank texts have an empty set and are linked with nothing.
     A null id takes part in no link: its component is null and it is kept.
-    Rows that repeat an id are one document with the links of all its texts.
-    Other columns are ignored. Empty input gives an empty result.
+    Rows that repeat an id are one document with the links of all its texts:
+    they have one component. ``text_kept`` judges texts instead: of each group
+    of texts joined by links, ids aside, it marks the rows of one text of one
+    id (the smallest; empty texts and null ids: all), so that what it leaves
+    holds every group. ``text_hash`` tells the texts of an id apart. Other
+    columns are ignored. Empty input gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sized = staged(rows.mapInPandas(_sets(0, WORDS), SETS).select("doc_id", "n", "digest"), "digests")
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    sized = staged(rows.mapInPandas(_sets(0, WORDS), SETS).select("doc_id", "text_hash", "n", "digest"), "digests")
+    # a class of equal sets is a node; nodes are numbered in the order of their smallest ids
     classes = (
         sized.filter("digest is not null and doc_id is not null")
-        .groupBy("digest")
+        .groupBy(F.col("digest").alias("c_digest"))
         .agg(F.min("doc_id").alias("rep"))
-        .withColumnRenamed("digest", "c_digest")
+        .orderBy("rep", "c_digest")
+        .withColumn("node", F.monotonically_increasing_id())
     )
     classes = staged(classes, "classes")
     # hashing the texts again costs less than keeping the sketches of all copies
     reps = rows.mapInPandas(_sets(K, WORDS), SETS).join(classes, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
-    reps = reps.select(F.xxhash64("rep", "digest").alias("node"), "rep", "n", "hashes").dropDuplicates(["node"])
-    reps = staged(reps, "representatives")
+    reps = staged(reps.select("node", "rep", "digest", "n", "hashes").dropDuplicates(["node"]), "representatives")
 
     # values that two documents retain, rarest first, as many of each document as it must be listed under
     values = reps.select("node", F.explode(F.slice("hashes", 1, LISTED_OF)).alias("v"))
@@ -332,29 +339,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # those that no one else retains stand before all others
     listed = retained - need + 1 - (retained - F.size("shared"))
     lists = reps.join(shared, F.col("node") == F.col("s_node")).withColumn("listed", listed).filter("listed > 0")
-    lists = staged(lists.select("node", "rep", "n", "hashes", "shared", F.slice("shared", 1, F.col("listed")).alias("listed")), "lists")
+    lists = staged(lists.select("node", "rep", "digest", "n", "hashes", "shared", F.slice("shared", 1, F.col("listed")).alias("listed")), "lists")
 
     # halves of hashes do for estimates
     halves = F.transform("hashes", lambda x: F.shiftright(x, 32).cast("int"))
-    short = lists.select("rep", "n", halves.alias("hashes"), F.col("listed.v").alias("before"), F.posexplode("listed").alias("pos", "entry"))
+    short = lists.select("node", "n", halves.alias("hashes"), F.col("listed.v").alias("before"), F.posexplode("listed").alias("pos", "entry"))
     short = short.filter(F.col("entry.df") <= SHORT_LIST)
-    short = short.select("rep", "n", "hashes", F.slice("before", 1, F.col("pos")).alias("before"), F.col("entry.v").alias("v"))
+    short = short.select("node", "n", "hashes", F.slice("before", 1, F.col("pos")).alias("before"), F.col("entry.v").alias("v"))
     pairs = short.repartition("v").sortWithinPartitions("v").mapInPandas(_pairs_of_lists, "a long, b long")
 
     # a document under a long list enters those of its smallest hashes, with a wide sketch
     in_long = lists.filter(F.exists("listed", lambda e: e["df"] > SHORT_LIST))
     low = F.slice("hashes", 1, LONG_OF)
-    in_long = in_long.select("node", "rep", F.filter("shared", lambda e: (e["df"] > SHORT_LIST) & F.array_contains(low, e["v"])).alias("entries"))
-    texts = only(rows, "doc_id", in_long.select("rep").distinct())
-    wide = texts.mapInPandas(_sets(WIDE, WORDS), SETS).withColumn("w_node", F.xxhash64("doc_id", "digest")).dropDuplicates(["w_node"])
-    long_entries = in_long.join(wide, F.col("node") == F.col("w_node")).select("rep", "n", "hashes", F.explode("entries").alias("entry"))
+    entries = F.filter("shared", lambda e: (e["df"] > SHORT_LIST) & F.array_contains(low, e["v"]))
+    in_long = in_long.select("node", F.col("rep").alias("l_rep"), F.col("digest").alias("l_digest"), entries.alias("entries"))
+    wide = only(rows, "doc_id", in_long.select("l_rep").distinct()).mapInPandas(_sets(WIDE, WORDS), SETS)
+    wide = wide.join(in_long, (F.col("doc_id") == F.col("l_rep")) & (F.col("digest") == F.col("l_digest"))).dropDuplicates(["node"])
+    long_entries = wide.select("node", "n", "hashes", F.explode("entries").alias("entry"))
     blocks = F.ceil(F.col("entry.df") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     # a block meets every other block of its list; itself if it is the only one
     others = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), blocks - 1), lambda b: b != mine))
-    long_entries = long_entries.select("rep", "n", "hashes", F.col("entry.v").alias("v"), mine.alias("mine"), F.explode(others).alias("other"))
+    long_entries = long_entries.select("node", "n", "hashes", F.col("entry.v").alias("v"), mine.alias("mine"), F.explode(others).alias("other"))
     long_entries = long_entries.select(
-        "rep", "n", "hashes", "v", F.least("mine", "other").alias("block_a"), F.greatest("mine", "other").alias("block_b")
+        "node", "n", "hashes", "v", F.least("mine", "other").alias("block_a"), F.greatest("mine", "other").alias("block_b")
     )
     keys = ["v", "block_a", "block_b"]
     found = long_entries.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links_of_blocks, "a long, b long, verified boolean")
@@ -362,26 +370,50 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = pairs.select("a", "b", F.lit(False).alias("verified")).union(found)
     candidates = staged(candidates.groupBy("a", "b").agg(F.max("verified").alias("verified")), "candidates")
     links = candidates.filter("verified").select("a", "b").union(verified_pairs(rows, candidates.filter("not verified"), classes))
-
-    components = connected_components(links).select(F.col("node").alias("m_node"), "component")
-    members = sized.join(classes, F.col("digest") == F.col("c_digest"), "left")
-    members = members.join(components, F.col("rep") == F.col("m_node"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    links = staged(links, "links")
+
+    # ids with several texts, their nodes, and the links that make each id one document
+    texts_of = sized.filter("doc_id is not null").groupBy(F.col("doc_id").alias("t_id"))
+    several = texts_of.agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.count_if(F.col("digest").isNull()).alias("empty"))
+    several = several.filter("low < high or (low is not null and empty > 0)").select("t_id")
+    named = sized.join(several, F.col("doc_id") == F.col("t_id")).join(classes, F.col("digest") == F.col("c_digest")).select("t_id", "node").distinct()
+    named = staged(named, "repeated-ids")
+    firsts = named.groupBy(F.col("t_id").alias("f_id")).agg(F.min("node").alias("first"))
+    same_id = named.join(firsts, F.col("t_id") == F.col("f_id")).select(F.col("node").alias("a"), F.col("first").alias("b"))
+
+    of_texts = connected_components(links).select(F.col("node").alias("x_node"), F.col("component").alias("x_first"))
+    if same_id.isEmpty():
+        of_ids = of_texts.select(F.col("x_node").alias("m_node"), F.col("x_first").alias("m_first"))
+    else:
+        of_ids = connected_components(links.union(same_id)).select(F.col("node").alias("m_node"), F.col("component").alias("m_first"))
+    smallest = classes.select(F.col("node").alias("r_node"), F.col("rep").alias("component"))
+    judged = classes.join(of_texts, F.col("node") == F.col("x_node"), "left").join(of_ids, F.col("node") == F.col("m_node"), "left")
+    judged = judged.withColumn("first", F.coalesce("m_first", "node")).join(smallest, F.col("first") == F.col("r_node"))
+    judged = judged.select("c_digest", "rep", "component", F.coalesce(F.col("x_first") == F.col("node"), F.lit(True)).alias("leads"))
+    # empty texts of an id that has others
+    by_id = named.join(of_ids, F.col("node") == F.col("m_node"), "left").withColumn("first", F.coalesce("m_first", "node"))
+    by_id = by_id.join(smallest, F.col("first") == F.col("r_node")).groupBy("t_id").agg(F.min("component").alias("id_component"))
+    members = sized.join(judged, F.col("digest") == F.col("c_digest"), "left").join(by_id, F.col("doc_id") == F.col("t_id"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("id_component", "component", "doc_id"))
+    lone = F.col("digest").isNull() | F.col("doc_id").isNull()
     return members.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(lone | (F.col("leads") & (F.col("doc_id") == F.col("rep"))), F.lit(True)).alias("text_kept"),
+        "text_hash",
     )
 
 
 def verified_pairs(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of representatives whose full shingle sets, made anew from their texts, are linked."""
-    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = only(rows, "doc_id", ids)
-    sets = texts.mapInPandas(_sets(None, WORDS), SETS).join(classes, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
-    sets = staged(sets.select("rep", "hashes").dropDuplicates(["rep"]), "full-sets")
-    a = sets.select(F.col("rep").alias("a_rep"), F.col("hashes").alias("set_a"))
-    b = sets.select(F.col("rep").alias("b_rep"), F.col("hashes").alias("set_b"))
-    both = pairs.select("a", "b").join(a, F.col("a") == F.col("a_rep")).join(b, F.col("b") == F.col("b_rep"))
+    """The ``pairs`` (a, b) of nodes whose full shingle sets, made anew from their texts, are linked."""
+    nodes = pairs.select(F.col("a").alias("v_node")).union(pairs.select(F.col("b").alias("v_node"))).distinct()
+    wanted = staged(classes.join(nodes, F.col("node") == F.col("v_node")).select("node", "rep", "c_digest"), "to-verify")
+    texts = only(rows, "doc_id", wanted.select("rep").distinct())
+    sets = texts.mapInPandas(_sets(None, WORDS), SETS).join(wanted, (F.col("digest") == F.col("c_digest")) & (F.col("doc_id") == F.col("rep")))
+    sets = staged(sets.select("node", "hashes").dropDuplicates(["node"]), "full-sets")
+    a = sets.select(F.col("node").alias("a_node"), F.col("hashes").alias("set_a"))
+    b = sets.select(F.col("node").alias("b_node"), F.col("hashes").alias("set_b"))
+    both = pairs.select("a", "b").join(a, F.col("a") == F.col("a_node")).join(b, F.col("b") == F.col("b_node"))
     return both.select("a", "b", "set_a", "set_b").mapInPandas(_verified, "a long, b long")

@@ -41,7 +41,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = near_dup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "text_kept")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,6 +175,26 @@ def test_near_duplicates_against_brute_force(documents, monkeypatch):
     assert near_dup.near_duplicates(documents([])).count() == 0
 
 
+def test_near_duplicates_of_repeated_ids(spark, documents):
+    import corpus_pipeline as P
+
+    rnd = random.Random(11)
+    a, b, c = (prose(rnd, 30) for _ in range(3))
+    near_c = c.replace(" ", "  ", 3) + " end"
+    rows = [(3, a), (5, a), (5, b), (9, b), (20, c), (21, near_c), (21, ""), (22, None), (30, "one two"), (30, "three"), (31, "three"), (None, a), (40, "alone text"), (40, "alone text")]
+    got = sorted(((r.doc_id, r.n_shingles > 0, r.component_id, r.text_kept) for r in near_dup.near_duplicates(documents(rows)).collect()), key=str)
+    want = [(3, True, 3, True), (5, True, 3, False), (5, True, 3, True), (9, True, 3, False), (20, True, 20, True), (21, True, 20, False), (21, False, 20, True),
+            (22, False, 22, True), (30, True, 30, True), (30, True, 30, True), (31, True, 30, False), (None, True, None, True), (40, True, 40, True), (40, True, 40, True)]
+    assert got == sorted(want, key=str)
+    left = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, documents(rows), "").collect()), key=str)
+    assert left == sorted([(3, a), (5, b), (20, c), (21, ""), (22, None), (30, "one two"), (30, "three"), (None, a), (40, "alone text")], key=str)
+    many = [(i % 7, prose(rnd, 8) + " " + shared) for shared in (prose(rnd, 60), prose(rnd, 60)) for i in range(90)]
+    ids = {r.component_id for r in near_dup.near_duplicates(documents(many)).collect()}
+    sets = [(i, brute_set(t)) for i, t in many]
+    links = [(x, y) for x, s in sets for y, t in sets if x < y and 100 * len(s & t) >= 75 * len(s | t)]
+    assert ids == set(components_of(range(7), links).values())
+
+
 def test_language_id(documents):
     rnd = random.Random(4)
     alphabets = {"aa": "abcde", "bb": "defgh"}

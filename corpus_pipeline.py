@@ -36,11 +36,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
+    """Keeps one document of each group of near duplicates; of one that is repeated with the same text, one row.
+
+    Texts are judged, not ids: where an id has several texts, each goes only if
+    another of its group stays. Documents without an id stay.
+    """
     ship_package(spark)
-    verdicts = near_dup.near_duplicates(docs.select("doc_id", "text"))
-    gone = verdicts.filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*COLUMNS)
+    verdicts = staged(near_dup.near_duplicates(docs.select("doc_id", "text")), "verdicts")
+    docs = docs.select(*COLUMNS).withColumn("text_hash", F.xxhash64("text"))
+    texts = verdicts.filter("doc_id is not null").groupBy(F.col("doc_id").alias("v_id"), F.col("text_hash").alias("v_hash"))
+    texts = texts.agg(F.max("text_kept").alias("stays"), F.count(F.lit(1)).alias("rows"))
+    same = (F.col("doc_id") == F.col("v_id")) & (F.col("text_hash") == F.col("v_hash"))
+    judged = docs.join(texts.filter("not stays or rows > 1"), same, "left")
+    once = judged.filter("v_id is null").select(*COLUMNS)
+    repeated = judged.filter("stays").dropDuplicates(["doc_id", "text_hash"]).select(*COLUMNS)
+    return once.union(repeated)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,10 +17,7 @@ from pyspark.sql import functions as F
 #: Known texts at most; their digests are broadcast.
 MAX_KNOWN = 10_000
 
-#: The SQL's copyright lines, with the line end before them: any line that begins so, also a wrapped line of a licence body.
-COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-#: ASCII other than letters and digits, and the usual non-ASCII marks and spaces; the same without line ends.
-MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
+#: ASCII other than letters, digits and line ends, and the usual non-ASCII marks and spaces.
 MARKS_IN_LINE = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
 #: What names a right holder's time: a year or a placeholder.
 YEAR = r"(?:[0-9]{4}|[<\[{]|yyyy|xxxx)"
@@ -31,7 +28,7 @@ COPYRIGHT_IN_LINE = (
     r"|copyright[ \t]*[:,]?[ \t]*(?:\(c\)|©|&copy;|" + YEAR + r")[^\n]*"
     r"|\(c\)[ \t]*(?:copyright\b|" + YEAR + r")[^\n]*"
     r"|all rights reserved[^\na-z0-9]*$"
-    r"|(?<=(?:\A|\n[ \t\r]{0,8}\n)[ \t]{0,8})(?:copyright|\(c\))[ \t][^\n]{0,72}$(?=\n?[ \t\r]*(?:\n|\z)))"
+    r"|(?<=(?:\A|\n[ \t\r]{0,8}\n)[ \t]{0,8})(?:copyright|\(c\))[ \t][^\n]{0,72}$(?=\n[ \t\r]*(?:\n|\z)|\z))"
 )
 #: What lies between the words of two lines once marks are spaces.
 LINE_ENDS = r" ?\n[ \n]*"
@@ -53,13 +50,7 @@ EQUIVALENT_PHRASES = (
     (" released under ", " licensed under "),
     (" distributed under ", " licensed under "),
 )
-#: Spellings that count as equal: word endings, with the space after the word; group 1 stays.
-EQUIVALENT_ENDINGS = (
-    (r"([a-z]{2}en)c(e|es|ed|ing) ", "s"),
-    (r"([a-z]{3})is(e|es|ed|ing|ation|ations) ", "iz"),
-    (r"([a-z]{3})our(s|ed|ite|able|) ", "or"),
-)
-#: The same for Java, letter first, which fails sooner where there is none.
+#: Word endings that count as equal, with the space after the word; letter first, which fails sooner where there is none.
 EQUIVALENT_SPELLINGS = (
     (r"c(?<=[a-z]{2}enc)(e|es|ed|ing) ", "s$1 "),
     (r"i(?<=[a-z]{3}i)s(e|es|ed|ing|ation|ations) ", "iz$1 "),
@@ -139,6 +130,47 @@ required.
 software.
 
 3. This notice may not be removed or altered from any source distribution.
+""",
+    "BSD-3-Clause": """BSD 3-Clause License
+
+Copyright (c) <year>, <copyright holders>
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>
 """,
     "0BSD": """BSD Zero Clause License
 
@@ -154,15 +186,41 @@ THIS SOFTWARE.
 """,
 }
 
+#: SHA-256 of the canonical forms of longer public licences, as their publishers' plain text files have them.
+LICENSE_DIGESTS: dict[str, str] = {
+    "Apache-2.0": "f23f632d75e85b02153b5689b2501dc20f398e8f3280b4394821a8bd7b3f9035",
+    "Artistic-1.0-Perl": "ab90bb2ab0a16f6f5c8479843bcd110050fe6a2c8072424cc5fda0b53dc014f2",
+    "CC0-1.0": "6a9479bcf17594da510aa411514be2e9b9357447d1f3837cf59bd9a901e7fa18",
+    "GFDL-1.2": "adebe6d6edc6a56c4426f97eced14fb50c1c53573246d5b26a73f94c8eeb1e5a",
+    "GFDL-1.3": "a12dca205488c939c8ebdbf3e1e02ec6ce29c4a5442e274bfe0cb9a1c4e8972a",
+    "GPL-1.0": "4f5afcdc0d25a316d9a012a3753e4db8e0b77356aba4d701d941b89390d30d1a",
+    "GPL-2.0": "fb9eba9b575dc38a5ec88649ae9608e98c1548fbeabacfd785c467b67280b251",
+    "GPL-3.0": "938edcd3de63edb9cf6fe3e2a92489f9ec0de51e8fb067e66cef583d8d3093b1",
+    "LGPL-2.0": "f61865fd17694ddf3c1123c19566ae880b0ef66a1b2248bdbb088a95a67ab8a2",
+    "LGPL-2.1": "eee0684ff88b0ef99802902c20fe6c8cffb8370177c4fe99d8a1ed014082b278",
+    "LGPL-3.0": "b7fdfbc1886def2a80f6e0ddff33f2cb7335fefdeaa2ed5b161b0c6ae2ce5679",
+    "MPL-1.1": "61e5b3cbe2c273f053ba5ff6ff8f3e55696812fc87cf37fd5e4c5d6cf26cd52f",
+    "MPL-2.0": "47784d02a08f3ab72d6c2c9f1a74967c2b09aebfa747f453ccfd51a26fd1690c",
+}
+
 #: One-line notices that put a document under a licence.
-LICENSE_NOTICES: dict[str, str] = {
-    "MIT": "Licensed under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+LICENSE_NOTICES: dict[str, tuple[str, ...]] = {
+    "MIT": ("Licensed under the MIT License.", "This project is licensed under the MIT License.", "SPDX-License-Identifier: MIT"),
+    "Apache-2.0": (
+        "Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License");',
+        "Licensed under the Apache License 2.0.", "SPDX-License-Identifier: Apache-2.0",
+    ),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "SPDX-License-Identifier: BSD-2-Clause"),
+    "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"),
+    "ISC": ("Licensed under the ISC License.", "SPDX-License-Identifier: ISC"),
+    "MPL-2.0": ("Licensed under the Mozilla Public License, Version 2.0.", "SPDX-License-Identifier: MPL-2.0"),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0"),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0"),
+    "Unlicense": ("SPDX-License-Identifier: Unlicense",),
+    "CC0-1.0": ("SPDX-License-Identifier: CC0-1.0",),
+    "CC-BY-4.0": ("Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 }
 
 
@@ -201,20 +259,22 @@ def whole_words(lines: Column) -> Column:
     return between_spaces(F.regexp_replace(lines, LINE_ENDS, " "))
 
 
-def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[str, str]) -> DataFrame:
-    rows = [(True, k, v) for k, v in texts.items()] + [(False, k, v) for k, v in notices.items()]
-    if len(rows) > MAX_KNOWN:
+def known_digests(docs: DataFrame, texts: Mapping[str, str], notices: Mapping[str, Sequence[str]], digests: Mapping[str, str]) -> DataFrame:
+    rows = [(True, k, v) for k, v in texts.items()] + [(False, k, v) for k, wordings in notices.items() for v in wordings]
+    if len(rows) + len(digests) > MAX_KNOWN:
         raise ValueError(f"more than {MAX_KNOWN} known texts")
     known = docs.sparkSession.createDataFrame(rows, "whole boolean, license string, known string")
-    # of texts alike in canonical form, the first name
     known = known.select("whole", "license", digest(whole_words(word_lines(F.col("known")))).alias("known_digest")).filter(F.col("known_digest") != NO_WORDS)
+    known = known.union(docs.sparkSession.createDataFrame([(True, k, v) for k, v in digests.items()], known.schema))
+    # of texts alike in canonical form, the first name
     return known.groupBy("whole", "known_digest").agg(F.min("license").alias("license"))
 
 
 def scan_licenses(
     docs: DataFrame,
     texts: Mapping[str, str] = LICENSE_TEXTS,
-    notices: Mapping[str, str] = LICENSE_NOTICES,
+    notices: Mapping[str, Sequence[str]] = LICENSE_NOTICES,
+    digests: Mapping[str, str] = LICENSE_DIGESTS,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -224,7 +284,9 @@ def scan_licenses(
     the whole document, null if none does; ``notice_ids`` are the distinct
     licences, in order and joined by commas, whose notice equals a line of
     the document, empty if none does, and ``n_notices`` counts such lines.
-    ``text_digest`` is that of the whole canonical text.
+    ``text_digest`` is that of the whole canonical text. Known are ``texts``,
+    the texts with the given canonical ``digests``, and ``notices``, each in
+    several wordings; other licences and wordings are not found.
 
     Null texts and texts without a word have no digest and match nothing. Of
     known texts that agree in canonical form the first name counts. Rows that
@@ -233,7 +295,7 @@ def scan_licenses(
     """
     added = ["text_digest", "license_id", "notice_ids", "n_notices"]
     docs = docs.drop(*added)
-    known = known_digests(docs, texts, notices)
+    known = known_digests(docs, texts, notices, digests)
     whole = F.broadcast(known.filter("whole").select("known_digest", F.col("license").alias("license_id")))
     # at most MAX_KNOWN rows
     names = {r["known_digest"]: r["license"] for r in known.filter("not whole").collect()}

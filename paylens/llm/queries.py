@@ -133,29 +133,92 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _canonical_sql(text: str) -> str:
-    """The canonical form of a licence text, in DuckDB."""
+# The licence rule is stated here again, so that a wrong constant in the operator shows.
+_YEAR = r"([0-9]{4}|[<\[{]|yyyy|xxxx)"
+_NOTICE_LINE = (
+    r"^[ \t]*(©|copyright[ \t]*[:,]?[ \t]*(\(c\)|©|&copy;|" + _YEAR + r")|\(c\)[ \t]*(copyright\b|" + _YEAR + r")|all rights reserved[^a-z0-9]*$)"
+)
+_SHORT_PARAGRAPH = r"^[ \t]{0,8}(copyright|\(c\))[ \t][^\n]{0,72}$"
+_MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{2010}-\x{201f}]+"
+_SAME_PHRASES = (
+    (" sub license", " sublicense"), (" sub licence", " sublicense"), (" non commercial ", " noncommercial "), (" per cent ", " percent "),
+    (" copyright owner ", " copyright holder "), (" whilst ", " while "), (" judgement ", " judgment "), (" acknowledgement ", " acknowledgment "),
+    (" fulfil ", " fulfill "), (" wilful ", " willful "), (" https ", " http "), (" released under ", " licensed under "), (" distributed under ", " licensed under "),
+)
+_SAME_ENDINGS = (
+    (r"([a-z]{2}en)c(e|es|ed|ing) ", "s"), (r"([a-z]{3})is(e|es|ed|ing|ation|ations) ", "iz"), (r"([a-z]{3})our(s|ed|ite|able|) ", "or"),
+)
+
+
+def _body_lines_sql(text: str) -> str:
+    """The lower-cased lines of a text as a list, its notices of copyright empty, in DuckDB."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    s = f"translate({text}, '{upper}', '{upper.lower()}')"
-    s = f"regexp_replace({s}, {_quoted(licenses.COPYRIGHT_LINE)}, chr(10), 'g')"
-    s = f"' ' || trim(regexp_replace({s}, {_quoted(licenses.MARKS)}, ' ', 'g')) || ' '"
-    for phrase, same in licenses.EQUIVALENT_PHRASES:
+    lines = f"string_split(translate({text}, '{upper}', '{upper.lower()}'), chr(10))"
+    return f"""list_transform(range(1, len({lines}) + 1), lambda i:
+      CASE WHEN regexp_matches({lines}[i], {_quoted(_NOTICE_LINE)}) THEN ''
+           WHEN regexp_matches({lines}[i], {_quoted(_SHORT_PARAGRAPH)})
+                AND (i = 1 OR (i >= 3 AND regexp_full_match({lines}[i - 1], '[ \\t\\r]{{0,8}}')))
+                AND (i = len({lines}) OR regexp_full_match({lines}[i + 1], '[ \\t\\r]*')) THEN ''
+           ELSE {lines}[i] END)"""
+
+
+def _canonical_sql(words: str) -> str:
+    """The canonical form of lower-cased text, in DuckDB."""
+    s = f"' ' || trim(regexp_replace({words}, {_quoted(_MARKS)}, ' ', 'g')) || ' '"
+    for phrase, same in _SAME_PHRASES:
         s = f"replace({s}, '{phrase}', '{same}')"
-    for pattern, middle in licenses.EQUIVALENT_ENDINGS:
+    for pattern, middle in _SAME_ENDINGS:
         s = f"regexp_replace({s}, {_quoted(pattern)}, '\\1{middle}\\2 ', 'g')"
     return f"ltrim({s})"
 
 
-def _digest_sql(text: str) -> str:
-    form = _canonical_sql(text)
+def _digest_sql(words: str) -> str:
+    form = _canonical_sql(words)
     return f"CASE WHEN {form} <> '' THEN sha256({form}) END"
 
 
-_KNOWN_SQL = ", ".join(
-    f"({whole}, {_quoted(k)}, {_quoted(v)})"
-    for whole, known in (("true", licenses.LICENSE_TEXTS), ("false", licenses.LICENSE_NOTICES))
-    for k, v in known.items()
+# SHA-256 of the canonical forms of whole licences.
+_WHOLE_DIGESTS = {
+    "0BSD": "94986e2479559292849ef789ea120a418d842d1c1ea8b1c95862dd5328d3e41f",
+    "Apache-2.0": "f23f632d75e85b02153b5689b2501dc20f398e8f3280b4394821a8bd7b3f9035",
+    "Artistic-1.0-Perl": "ab90bb2ab0a16f6f5c8479843bcd110050fe6a2c8072424cc5fda0b53dc014f2",
+    "BSD-2-Clause": "598ae8bac7f1b5cbd0561da45c9f19150f9f7e9561de6db02d6e36dc101b288b",
+    "BSD-3-Clause": "63865dba4edb9a6c156dafbd370c19ad21dcebb0d08d6114e23ffea41433c649",
+    "CC0-1.0": "6a9479bcf17594da510aa411514be2e9b9357447d1f3837cf59bd9a901e7fa18",
+    "GFDL-1.2": "adebe6d6edc6a56c4426f97eced14fb50c1c53573246d5b26a73f94c8eeb1e5a",
+    "GFDL-1.3": "a12dca205488c939c8ebdbf3e1e02ec6ce29c4a5442e274bfe0cb9a1c4e8972a",
+    "GPL-1.0": "4f5afcdc0d25a316d9a012a3753e4db8e0b77356aba4d701d941b89390d30d1a",
+    "GPL-2.0": "fb9eba9b575dc38a5ec88649ae9608e98c1548fbeabacfd785c467b67280b251",
+    "GPL-3.0": "938edcd3de63edb9cf6fe3e2a92489f9ec0de51e8fb067e66cef583d8d3093b1",
+    "ISC": "d0b8d29e88a8a96b8b5a97323823d684a02122572d4d85b9f5a308991fe666d2",
+    "LGPL-2.0": "f61865fd17694ddf3c1123c19566ae880b0ef66a1b2248bdbb088a95a67ab8a2",
+    "LGPL-2.1": "eee0684ff88b0ef99802902c20fe6c8cffb8370177c4fe99d8a1ed014082b278",
+    "LGPL-3.0": "b7fdfbc1886def2a80f6e0ddff33f2cb7335fefdeaa2ed5b161b0c6ae2ce5679",
+    "MIT": "78be8aabab11ea5d9f0d79454acaf4ac1c48bb803a708006b22a3d5d90efc837",
+    "MPL-1.1": "61e5b3cbe2c273f053ba5ff6ff8f3e55696812fc87cf37fd5e4c5d6cf26cd52f",
+    "MPL-2.0": "47784d02a08f3ab72d6c2c9f1a74967c2b09aebfa747f453ccfd51a26fd1690c",
+    "Unlicense": "d96037bf73aed5f35d0ecf5a5213a3296c7bfd9b8d9f6c66d0fd73bd13d02d8b",
+    "Zlib": "4e8cde0213cc32db7bcbe8d4ab9484e0cca26c40c45727adb5b44aefe6df269f",
+}
+# Notices, by licence.
+_NOTICES = (
+    ("MIT", "Licensed under the MIT License."), ("MIT", "This project is licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."), ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("ISC", "Licensed under the ISC License."), ("ISC", "SPDX-License-Identifier: ISC"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0"), ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"), ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"), ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC-BY-SA-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
 )
+_WHOLE_SQL = ", ".join(f"({_quoted(k)}, {_quoted(d)})" for k, d in _WHOLE_DIGESTS.items())
+_NOTICES_SQL = ", ".join(f"({_quoted(k)}, {_quoted(v.lower())})" for k, v in _NOTICES)
 _WEIGHTS_SQL = ", ".join(f"('{s}', {w})" for s, w in [*MIX_WEIGHTS.items(), ("", 1)])
 
 ORACLE_SQL: dict[str, str] = {
@@ -201,7 +264,7 @@ lines AS (
   SELECT rid, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM rows),
 bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS s FROM lines),
 spread AS (
-  SELECT s FROM bare WHERE s <> '' GROUP BY s HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}),
+  SELECT s FROM bare WHERE s <> '' GROUP BY s HAVING count(DISTINCT source) >= 8),
 judged AS (SELECT b.*, spread.s IS NOT NULL AS hit FROM bare b LEFT JOIN spread ON b.s = spread.s),
 per_row AS (
   SELECT rid, count(*) AS n, count(*) FILTER (hit) AS hits,
@@ -215,17 +278,19 @@ SELECT doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_lines,
 FROM rows LEFT JOIN per_row USING (rid)
 """,
     "op7_license_scan": f"""
-WITH raw(whole, license, known) AS (VALUES {_KNOWN_SQL}),
-known AS (SELECT whole, d, min(license) AS license FROM (SELECT whole, license, {_digest_sql("known")} AS d FROM raw) GROUP BY whole, d),
-rows AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
-lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM rows),
+WITH whole(license, d) AS (VALUES {_WHOLE_SQL}),
+wordings(license, known) AS (VALUES {_NOTICES_SQL}),
+notice AS (SELECT d, min(license) AS license FROM (SELECT license, {_digest_sql("known")} AS d FROM wordings) GROUP BY d),
+rows AS (SELECT row_number() OVER () AS rid, doc_id, {_body_lines_sql("text")} AS lines FROM documents),
+lines AS (SELECT rid, unnest(lines) AS line FROM rows),
 notices AS (
   SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS notice_ids, count(*) AS n_notices
-  FROM (SELECT rid, {_digest_sql("line")} AS d FROM lines) l JOIN known k ON l.d = k.d AND NOT k.whole GROUP BY rid),
-digests AS (SELECT rid, doc_id, {_digest_sql("text")} AS text_digest FROM rows)
+  FROM (SELECT rid, {_digest_sql("line")} AS d FROM lines) l JOIN notice k ON l.d = k.d GROUP BY rid),
+joined AS (SELECT rid, doc_id, array_to_string(lines, chr(10)) AS body FROM rows),
+digests AS (SELECT rid, doc_id, {_digest_sql("body")} AS text_digest FROM joined)
 SELECT doc_id, text_digest, k.license AS license_id, coalesce(notice_ids, '') AS notice_ids,
        CAST(coalesce(n_notices, 0) AS BIGINT) AS n_notices
-FROM digests LEFT JOIN known k ON text_digest = k.d AND k.whole LEFT JOIN notices USING (rid)
+FROM digests LEFT JOIN whole k ON text_digest = k.d LEFT JOIN notices USING (rid)
 """,
     "op12_fill_in_middle": """
 WITH texts AS (

@@ -3,7 +3,9 @@
 A round finds the most frequent pairs of neighbouring symbols, gives each a
 new nonterminal and replaces all their occurrences at once; pairs of a round
 share no symbol in a way that lets two occurrences overlap. Rounds go on until
-no pair is frequent enough to pay for its rule.
+no pair occurs often enough to save more bytes than its rule costs. Frequent
+pairs go first: the count that a pair needs halves from round to round as long
+as more frequent ones become rare.
 
 A shard is stored as::
 
@@ -24,12 +26,21 @@ import numpy as np
 
 MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4sIIQQI")
-#: Rules a round may add, and the occurrences a pair must have to get one.
+#: Bytes of a rule: its pair and its length.
+RULE_BYTES = 12
+#: Rules a round may add; what is left over waits for the next round.
 RULES_A_ROUND = 4096
-MIN_COUNT = 48
-MAX_ROUNDS = 4
 #: Bits of the table in which a round counts pairs by hash.
 HASH_BITS = 20
+#: By how much the count asked for falls from round to round.
+STEP = 4
+#: Symbols below this are stored in 16 bits.
+NARROW = 1 << 16
+#: When narrow symbols run out, rules go on in 32 bits if at least this share of places still has a pair that pays: each
+#: symbol then doubles, so the rest must shrink to less than half.
+WIDEN_SHARE = 0.75
+#: Odd factors that rounds hash with in turn, so that pairs which share a bin in one round don't in the next.
+FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
 def _compatible(codes: list[int], shift: int, rules: int) -> list[bool]:
@@ -47,50 +58,68 @@ def _compatible(codes: list[int], shift: int, rules: int) -> list[bool]:
     return taken
 
 
-def _round(s: np.ndarray, shift: int, rules: int, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Up to ``rules`` frequent pairs (left << shift | right), the places of their occurrences and each one's pair.
+def _frequent(codes: np.ndarray, bits: int, floor: int, pays: int, most: int, factor: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes that may be frequent, most frequent first, each place's code number (``most`` for others), and the count asked for.
 
-    Pairs are counted by hash; a bin stands for one pair that falls into it,
-    and only that pair's occurrences are replaced and counted.
+    Codes are counted by hash, and a bin stands for one code that falls into
+    it. Asked for is ``floor``, at most a fraction of the fullest bin, at least
+    ``pays``; a bin with fewer holds no code that is more frequent.
     """
-    kind = np.uint32 if shift == 16 else np.uint64
-    codes = s[:-1].astype(kind, copy=False) << kind(shift)
-    codes |= s[1:].astype(kind, copy=False)
-    hashed = codes * kind(0x9E3779B1 if shift == 16 else 0x9E3779B97F4A7C15)
-    hashed >>= kind(2 * shift - HASH_BITS)
-    hashed = hashed.astype(np.int64)
+    kind = codes.dtype.type
+    hashed = codes * kind((factor >> (64 - bits)) | 1)
+    hashed >>= kind(bits - HASH_BITS)
+    hashed = hashed.astype(np.int32 if HASH_BITS < 31 else np.int64)
     table = np.bincount(hashed, minlength=1 << HASH_BITS)
-    most = min(2 * rules, len(table) - 1)
-    bins = np.argpartition(table, len(table) - most)[-most:]
-    bins = bins[table[bins] >= min_count]
+    floor = max(pays, min(floor, int(table.max()) // STEP + 1))
+    bins = np.flatnonzero(table >= floor)
+    if len(bins) > most:
+        bins = bins[np.argpartition(table[bins], len(bins) - most)[-most:]]
     bins = bins[np.lexsort((bins, -table[bins]))]
-    none = len(bins)
-    number = np.full(len(table), none, dtype=np.int32)
-    number[bins] = np.arange(none, dtype=np.int32)
+    number = np.full(len(table), most, dtype=np.int32)
+    number[bins] = np.arange(len(bins), dtype=np.int32)
     of_bin = number[hashed]
-    pair = np.zeros(none + 1, dtype=kind)
-    pair[of_bin[::-1]] = codes[::-1]
-    pair = pair[:none]
-    taken = np.array(_compatible(pair.tolist(), shift, rules), dtype=bool)
+    hit = np.flatnonzero(of_bin < most)[::-1]
+    values = np.zeros(len(bins), dtype=kind)
+    values[of_bin[hit]] = codes[hit]
+    return values, of_bin, floor
+
+
+def _frequent_exactly(codes: np.ndarray, pays: int, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The same for all codes that occur ``pays`` times or more, counted one by one."""
+    values, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
+    picked = np.flatnonzero(counts >= pays)
+    picked = picked[np.lexsort((values[picked], -counts[picked]))[:most]]
+    number = np.full(len(values), most, dtype=np.int32)
+    number[picked] = np.arange(len(picked), dtype=np.int32)
+    return values[picked], number[place], pays
+
+
+def _occurrences(codes: np.ndarray, of_code: np.ndarray, pairs: np.ndarray, taken: np.ndarray, most: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the occurrences of the ``taken`` pairs and each one's number; in a run of one symbol every other."""
+    kind = codes.dtype.type
     # at all other places, a code that no pair of symbols has
     nowhere = kind((1 << 2 * shift) - 1)
-    wanted = np.append(np.where(taken, pair, nowhere), nowhere)
-    at = np.flatnonzero(codes == wanted[of_bin])
-    of_bin = of_bin[at]
-    if (taken & (pair >> kind(shift) == pair & kind((1 << shift) - 1))).any():
-        # in a run of one symbol every other pair counts; no two hits of other pairs are neighbours
+    wanted = np.full(most + 1, nowhere, dtype=codes.dtype)
+    wanted[:len(pairs)] = np.where(taken, pairs, nowhere)
+    at = np.flatnonzero(codes == wanted[of_code])
+    number = of_code[at]
+    if (taken & (pairs >> kind(shift) == pairs & kind((1 << shift) - 1))).any():
+        # no two hits of other pairs are neighbours
         after = np.flatnonzero(np.diff(at, prepend=-2) != 1)
         run_start = np.repeat(after, np.diff(after, append=len(at)))
         even = (np.arange(len(at)) - run_start) % 2 == 0
-        at, of_bin = at[even], of_bin[even]
-    enough = np.bincount(of_bin, minlength=none) >= min_count
-    hit = enough[of_bin]
-    new = np.cumsum(enough) - 1
-    return pair[enough], at[hit], new[of_bin[hit]]
+        at, number = at[even], number[even]
+    return at, number
+
+
+def _paying_share(s: np.ndarray, pays: int) -> float:
+    """The share of places whose pair occurs ``pays`` times or more."""
+    counts = np.unique((s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:], return_counts=True)[1]
+    return counts[counts >= pays].sum() / max(1, len(s) - 1)
 
 
-def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND, min_count: int = MIN_COUNT, max_rounds: int = MAX_ROUNDS) -> bytes:
-    """The shard of ``ids`` (each below ``terminals``)."""
+def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND, min_count: int | None = None) -> bytes:
+    """The shard of ``ids`` (each below ``terminals``). ``min_count`` replaces the count from which a rule pays."""
     s = np.array(ids, dtype=np.uint32)
     left: list[int] = []
     right: list[int] = []
@@ -99,28 +128,54 @@ def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND
     def length(x: int) -> int:
         return 1 if x < terminals else lengths[x - terminals]
 
-    # the last symbol of the range is left free
-    shift = 16 if terminals < 1 << 16 else 32
-    room = (1 << shift) - 1 - terminals
-    for _ in range(max_rounds):
-        rules = min(rules_a_round, room - len(left))
-        if len(s) < 2 or rules <= 0:
-            break
-        pairs, at, rank = _round(s, shift, rules, min_count)
-        if not len(pairs):
-            break
+    narrow_form = None  # where symbols were widened, the number of rules and the symbols before
+    wide = terminals >= NARROW - 1
+    shift, kind = (32, np.uint64) if wide else (16, np.uint32)
+    pays = min_count or RULE_BYTES // (4 if wide else 2) + 1
+    floor, exactly, rounds = len(s), False, 0
+    while len(s) > 1:
+        room = min(rules_a_round, (1 << shift) - 1 - terminals - len(left))
+        if room <= 0:
+            if wide:
+                break
+            wide, narrow_form = True, (len(left), s)
+            shift, kind, pays = 32, np.uint64, min_count or RULE_BYTES // 4 + 1
+            if _paying_share(s, pays) < WIDEN_SHARE:
+                break
+            floor, exactly = len(s), False
+            continue
+        codes = s[:-1].astype(kind) << kind(shift)
+        codes |= s[1:].astype(kind, copy=False)
+        rounds += 1
+        if exactly:
+            pairs, of_code, floor = _frequent_exactly(codes, pays, 2 * room)
+        else:
+            pairs, of_code, floor = _frequent(codes, 2 * shift, floor, pays, 2 * room, FACTORS[rounds % len(FACTORS)])
+        taken = np.array(_compatible(pairs.tolist(), shift, room), dtype=bool)
+        at, number = _occurrences(codes, of_code, pairs, taken, 2 * room, shift)
+        enough = np.bincount(number, minlength=len(pairs)) >= pays
+        if not enough.any():
+            if exactly:
+                break  # no pair is left that pays
+            exactly, floor = floor == pays, max(pays, floor // STEP)
+            continue
+        floor = max(pays, floor // STEP)
+        hit = enough[number]
+        at, number = at[hit], (np.cumsum(enough) - 1)[number[hit]]
         first = terminals + len(left)
-        for code in pairs.tolist():
+        for code in pairs[enough].tolist():
             a, b = code >> shift, code & ((1 << shift) - 1)
             n = length(a) + length(b)
             left.append(a)
             right.append(b)
             lengths.append(n)
-        s[at] = (first + rank).astype(np.uint32)
+        s[at] = (first + number).astype(np.uint32)
         keep = np.ones(len(s), dtype=bool)
         keep[at + 1] = False
         s = s[keep]
-    wide = terminals + len(left) > 1 << 16
+    if narrow_form and 2 * len(narrow_form[1]) + RULE_BYTES * narrow_form[0] <= 4 * len(s) + RULE_BYTES * len(left):
+        wide, rules, s = False, *narrow_form
+        left, right, lengths = left[:rules], right[:rules], lengths[:rules]
     return b"".join(
         [
             _HEAD.pack(MAGIC, terminals, len(left), len(s), len(ids), 4 if wide else 2),

@@ -16,10 +16,9 @@ from functools import lru_cache
 
 import regex
 
-#: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each: byte-level and word vocabularies.
-#: Latin-1 texts need only the parts of the latter: their lower-cased words, without what stands next to them.
-CACHE_PIECES, CACHE_PARTS = 400_000, 200_000
-WORD_CACHE_PIECES, WORD_CACHE_PARTS = 40_000, 150_000
+#: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each.
+#: Latin-1 texts need only the parts: words (of the word vocabulary lower-cased) without what stands next to them.
+CACHE_PIECES, CACHE_PARTS = 40_000, 200_000
 
 #: Fixed value: the byte-level vocabulary's split of a text before its merges.
 BYTE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -73,8 +72,8 @@ class Encoder:
         self.model = self.tokenizer.model
         self.split = regex.compile(WORD_SPLIT if words else BYTE_SPLIT).findall
         self.table = byte_letters()
-        self.parts = _Cache(self._part, WORD_CACHE_PARTS if words else CACHE_PARTS)
-        self.pieces = _Cache(self._piece, WORD_CACHE_PIECES) if words else _Cache(self._spaced, CACHE_PIECES)
+        self.parts = _Cache(self._part, CACHE_PARTS)
+        self.pieces = _Cache(self._piece if words else self._spaced, CACHE_PIECES)
         # the file's added tokens (such as an end of text) have ids of their own wherever a text spells them;
         # one that is looked for in normalised text leaves every text to the library
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -86,7 +85,8 @@ class Encoder:
         self.other_space = re.compile(r"[^\S \n]").search
         # outside Latin-1, normalisation and character classes are left to the library
         self.latin = re.compile(r"[\x00-\xff]*+").fullmatch
-        classes = WORD_SPLIT
+        classes = WORD_SPLIT if words else BYTE_SPLIT.replace(r"(?!\S)", r"(?![^\s])").replace(r" ?\p{L}", r" ?[\p{L}]").replace(r" ?\p{N}", r" ?[\p{N}]")
+        classes = re.sub(r"(?<!\^)\\s\+", r"[\\s]+", classes)
         for name, members in LATIN_CLASSES.items():
             classes = classes.replace(name, members)
         self.latin_words = re.compile(classes).findall
@@ -118,8 +118,8 @@ class Encoder:
             return b""
         if self.added(text):
             return self.whole(text)
-        if self.words and self.latin(text):
-            return b"".join(map(self.parts.__getitem__, self.latin_words(text.lower())))
+        if self.latin(text):
+            return b"".join(map(self.parts.__getitem__, self.latin_words(text.lower() if self.words else text)))
         if self.words:
             return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
         if self.other_space(text):

@@ -55,6 +55,30 @@ def test_grammar_of_wide_vocabulary_and_long_runs():
     assert (repair.Shard(stored).ids() == x).all() and len(stored) < 4 * len(x)
 
 
+def bytes_of_rules(x, terminals):
+    stored = repair.compress(x, terminals)
+    assert (repair.Shard(stored).ids() == x).all()
+    return len(stored)
+
+
+def test_grammar_goes_on_until_no_pair_pays():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 50_000, 3_000).astype(np.uint32)
+    assert bytes_of_rules(np.tile(passage, 200), 50_257) < 40_000
+    assert bytes_of_rules(np.zeros(1_000_000, np.uint32), 50_257) < 400
+    # more rules than 16 bits have numbers for: symbols are widened
+    long_passage = rng.integers(0, 50_000, 60_000).astype(np.uint32)
+    assert bytes_of_rules(np.tile(long_passage, 20), 50_257) < 1_000_000
+    # but not where it doesn't pay
+    words = rng.zipf(1.3, 300_000).clip(max=40_000).astype(np.uint32)
+    assert bytes_of_rules(words, 65_000) < 2 * len(words)
+    # pairs left over are rarer than those that pay, but for chains that overlap
+    x = rng.integers(0, 40, 20_000).astype(np.uint32)
+    shard = repair.Shard(repair.compress(x, 40))
+    counts = np.unique(shard.symbols[:-1].astype(np.int64) << 32 | shard.symbols[1:], return_counts=True)[1]
+    assert counts.max() <= 2 * (repair.RULE_BYTES // 2)
+
+
 def test_stored_document_ids_keep_nulls():
     ids = [None, -3, 0, 2**62, None]
     assert token_output.unpack_ids(token_output.pack_ids(ids)) == ids

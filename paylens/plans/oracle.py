@@ -321,3 +321,45 @@ anomalies AS (SELECT * FROM scored_amounts WHERE COALESCE(abs(z_score) > 3, fals
 SELECT amount, CAST(row_number() OVER (ORDER BY amount DESC) AS BIGINT) AS position FROM anomalies"""),
     "ingest_aggregates": ORACLE_SQL["aggregation_sets"],
 }
+
+_SNAPSHOT_COLUMNS = '"timestamp", sender_bic, receiver_bic, amount, currency, msg_type, year'
+_SNAPSHOTS = VALIDATED_CTES + f""",
+before AS (SELECT {_SNAPSHOT_COLUMNS} FROM validated),
+after AS (
+  SELECT "timestamp", sender_bic, receiver_bic, CASE WHEN cents % 17 = 0 THEN amount + 1 ELSE amount END AS amount, currency, msg_type, year
+  FROM (SELECT *, unnest(range(0, CASE WHEN cents % 11 = 0 THEN 0 WHEN cents % 13 = 0 THEN 2 ELSE 1 END)) AS copy
+        FROM (SELECT *, CAST(abs(round(amount * 100)) AS BIGINT) AS cents FROM before WHERE year >= 1998))
+  UNION ALL SELECT {_SNAPSHOT_COLUMNS} FROM before WHERE year < 1998 OR year IS NULL
+)"""
+
+ORACLE_SQL |= {
+    "snapshot_changes": _with(_SNAPSHOTS, f"""
+SELECT {_SNAPSHOT_COLUMNS}, CAST(-count(*) AS BIGINT) AS n_change FROM (SELECT * FROM before EXCEPT ALL SELECT * FROM after) GROUP BY ALL
+UNION ALL
+SELECT {_SNAPSHOT_COLUMNS}, CAST(count(*) AS BIGINT) AS n_change FROM (SELECT * FROM after EXCEPT ALL SELECT * FROM before) GROUP BY ALL"""),
+    "snapshot_applied": _with(_SNAPSHOTS, f"SELECT {_SNAPSHOT_COLUMNS} FROM after"),
+    "monthly_states": _with(VALIDATED_CTES, f"""
+SELECT CAST(date_trunc('month', "timestamp") AS TIMESTAMP) AS month, currency, CAST(count(*) AS BIGINT) AS transaction_count,
+       {SUM} AS total_volume, {AVG} AS avg_amount, {STDDEV} AS stddev_amount, min(amount) AS min_amount, max(amount) AS max_amount
+FROM valid GROUP BY 1, 2"""),
+    "streamed_sessions": _with(VALIDATED_CTES + """,
+delivered AS (
+  SELECT sender_bic, "timestamp" AS paid_at, coalesce(amount, 0) AS amount, sender_bic IS NOT NULL AND "timestamp" IS NOT NULL AS placed,
+         coalesce(least(3, greatest(0, CAST((year("timestamp") - 1995) // 2 AS INTEGER)
+           + coalesce(CAST(CAST(abs(round(amount * 100)) AS BIGINT) % 40 = 0 AS INTEGER), 0))), 0) AS delivery
+  FROM valid
+),
+clocked AS (
+  SELECT *, max(paid_at) OVER (PARTITION BY placed, sender_bic ORDER BY delivery RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock FROM delivered
+),
+judged AS (SELECT *, coalesce(paid_at < clock - INTERVAL 10 DAY, false) AS late FROM clocked),
+numbered AS (
+  SELECT *, coalesce(paid_at - lag(paid_at) OVER (PARTITION BY sender_bic ORDER BY paid_at) > INTERVAL 15 DAY, true) AS starts FROM judged WHERE placed AND NOT late
+),
+runs AS (SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY sender_bic ORDER BY paid_at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM numbered)""", """
+SELECT 'session' AS kind, sender_bic AS party, min(paid_at) AS session_start, max(paid_at) AS session_end,
+       CAST(count(*) AS BIGINT) AS payments, round(sum(amount), 2) AS total_amount
+FROM runs GROUP BY sender_bic, run
+UNION ALL
+SELECT CASE WHEN placed THEN 'late' ELSE 'unplaced' END, sender_bic, paid_at, paid_at, CAST(1 AS BIGINT), round(amount, 2) FROM judged WHERE late OR NOT placed"""),
+}

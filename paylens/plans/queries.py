@@ -32,6 +32,8 @@ from paylens.operators.rollups import (
     top_senders,
 )
 from paylens.operators.sequence import sender_sequence
+from paylens.operators.snapshots import apply_changes, multiset_difference
+from paylens.operators.states import daily_states, merge_states, state_figures
 from paylens.operators.temporal_joins import asof_join, interval_join
 from paylens.operators.validate import validate
 from paylens.operators.velocity import sender_velocity
@@ -41,6 +43,7 @@ from paylens.sinks.writers import scratch_path, write_csv, write_parquet, write_
 from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, resent_payments, validated_payments, validity_periods
 from paylens.sources.generator import generate_payments
 from paylens.sources.payments import read_payments_csv, read_processed
+from paylens.streaming.sessions import open_sessions, start_session_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +159,58 @@ def q_payments_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(interval_join(payments, validity_periods(spark, sf_dir), ["sender_bic"], "timestamp", "valid_from", "valid_to"))
 
 
+SNAPSHOT_COLUMNS = (*SEQUENCE_COLUMNS, "year")
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A written table of payments, and a later state: some rows gone, some twice, some with another amount."""
+    path = scratch_path(spark, "snapshot")
+    validated_payments(spark, sf_dir).select(*SNAPSHOT_COLUMNS).write.partitionBy("year").parquet(path)
+    before = spark.read.schema("timestamp timestamp, sender_bic string, receiver_bic string, amount double, currency string, msg_type string, year int").parquet(path)
+    before.path = path
+    cents = F.abs(F.round(F.col("amount") * 100)).cast("long")
+    copies = F.when(cents % 11 == 0, 0).when(cents % 13 == 0, 2).otherwise(1)
+    after = before.withColumn("copy", F.explode(F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), copies)))
+    after = after.withColumn("amount", F.when(cents % 17 == 0, F.col("amount") + 1).otherwise(F.col("amount")))
+    # changes from 1998 on only, so that the folders before stay untouched
+    old = before.filter("year < 1998 or year is null")
+    return before, after.filter("year >= 1998").select(*before.columns).union(old)
+
+
+def q_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows whose number of copies differs between two states of the payments, and by how much."""
+    return wall_clock(multiset_difference(*snapshots(spark, sf_dir)))
+
+
+def q_snapshot_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored payments after the changes between two states were applied to their partitions."""
+    before, after = snapshots(spark, sf_dir)
+    apply_changes(spark, before.path, multiset_difference(before, after), ["year"])
+    return wall_clock(spark.read.schema(before.schema).parquet(before.path))
+
+
+def q_monthly_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures per month and currency, merged from stored states of days."""
+    path = scratch_path(spark, "states")
+    daily_states(validated_payments(spark, sf_dir)).write.parquet(path)
+    months = merge_states(spark.read.parquet(path), F.date_trunc("month", F.col("date")).cast("timestamp_ntz").alias("month"), "currency")
+    return settled(state_figures(months, ()).drop("senders_estimate"))
+
+
+def q_streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sender sessions of the valid payments, streamed in four deliveries with restarts; some payments come one delivery late."""
+    rows = valid_written(spark, sf_dir)
+    cents = F.abs(F.round(F.col("amount") * 100)).cast("long")
+    late = F.coalesce((cents % 40 == 0).cast("int"), F.lit(0))
+    delivery = F.coalesce(F.least(F.lit(3), F.greatest(F.lit(0), F.call_function("div", F.year("timestamp") - 1995, F.lit(2)).cast("int") + late)), F.lit(0))
+    landing, out, checkpoint = (scratch_path(spark, f"sessions-{x}") for x in ("landing", "out", "state"))
+    for k in range(4):
+        rows.filter(delivery == k).write.mode("append").parquet(landing)
+        start_session_stream(spark, landing, out, checkpoint, gap_seconds=15 * 86_400, delay_seconds=10 * 86_400).awaitTermination()
+    found = spark.read.parquet(out).union(open_sessions(spark, checkpoint))
+    return wall_clock(found.withColumn("total_amount", F.round("total_amount", 2)))
+
+
 def positions(ordered: DataFrame, label: str) -> DataFrame:
     """``ordered`` plus ``position``: the place of each row in the order that it comes in, from 1.
 
@@ -276,6 +331,10 @@ QUERIES: dict[str, Query] = {
     "near_duplicates": q_near_duplicates,
     "events_asof_orders": q_events_asof_orders,
     "payments_in_periods": q_payments_in_periods,
+    "snapshot_changes": q_snapshot_changes,
+    "snapshot_applied": q_snapshot_applied,
+    "monthly_states": q_monthly_states,
+    "streamed_sessions": q_streamed_sessions,
     "ordered_daily_volumes": ordered_query("ordered-daily", daily_volumes),
     "ordered_by_currency": ordered_query("ordered-currency", by_currency),
     "ordered_country_statistics": ordered_query("ordered-countries", country_statistics),

@@ -31,8 +31,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Delete checkpoint files (sender_sequence) once the checkpointed data is unreachable.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.llm.common import staged
+from paylens.llm.common import ships_package, staged
 from paylens.llm.vectors import closest, kmeans, sample_vectors, usable
 
 #: Vectors that the tree is fitted on at most, children of a node, levels of nodes.
@@ -138,6 +138,7 @@ def brute_force(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: i
     return _top_of(vectors.select("vec_id", "vector").mapInPandas(scan, FOUND), k)
 
 
+@ships_package
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,

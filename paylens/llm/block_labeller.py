@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from paylens.llm.common import ship_package, ships_package
 from paylens.llm.html_blocks import FEATURES, PATH_SIZE, WORD_BUCKETS, Page, read_page
 from paylens.llm.page_layouts import training_pages
 
@@ -223,6 +224,7 @@ def fit_labeller(spark: SparkSession, pages: int = TRAINING_PAGES, seed: int = 0
 
     Only its weights come back. They are kept for the application.
     """
+    ship_package(spark)
     key = (spark.sparkContext.applicationId, pages, seed)
     if key not in _fitted:
 
@@ -236,6 +238,7 @@ def fit_labeller(spark: SparkSession, pages: int = TRAINING_PAGES, seed: int = 0
     return _fitted[key]
 
 
+@ships_package
 def extract_main_text(pages: DataFrame, labeller: Labeller | None = None) -> DataFrame:
     """``pages`` (``html``, any others) with the main text of each.
 

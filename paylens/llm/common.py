@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import shutil
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,17 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
+def ships_package(operator: Callable) -> Callable:
+    """The operator, whose first argument is a DataFrame, with the package handed to that session's workers first."""
+
+    @functools.wraps(operator)
+    def shipped(df: DataFrame, *args, **kwargs):
+        ship_package(df.sparkSession)
+        return operator(df, *args, **kwargs)
+
+    return shipped
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,7 +61,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm-{label}")
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete :func:`staged` tables that nothing reads any more: all that was made from them is written."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def all_of(pairs: Sequence[tuple[Column, Column]]) -> Column:
@@ -122,7 +144,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         large = large.filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         small = large.join(low, large.a == low.u).filter("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
-        pairs = staged(small.union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        before, pairs = pairs, staged(small.union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        discard(before)
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

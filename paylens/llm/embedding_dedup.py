@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import connected_components, staged
+from paylens.llm.common import connected_components, ships_package, staged
 from paylens.llm.near_dup import local_roots
 from paylens.llm.vectors import kmeans, sample_vectors, usable
 
@@ -61,6 +61,7 @@ def tile_links(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> np
     return linked
 
 
+@ships_package
 def near_duplicate_vectors(
     vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:

@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from paylens.llm.common import ships_package
+
 # The marks before the prefix, the suffix and the middle.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 # The forms.
@@ -169,6 +171,7 @@ def gather(forms: list, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
     return text, text_bounds
 
 
+@ships_package
 def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm_rate: int = 50) -> DataFrame:
     """``docs`` (``doc_id``, ``text``, any others) with its texts rearranged for infilling.
 
@@ -203,6 +206,7 @@ def fill_in_middle(docs: DataFrame, seed: int = 7, rate: int = 100, spm_rate: in
     return docs.mapInArrow(rearrange, T.StructType(fields))
 
 
+@ships_package
 def restore(rearranged: DataFrame) -> DataFrame:
     """Adds ``fim_restored``: the text, from ``fim_output`` and ``fim_form`` alone. A null output counts as empty and plain."""
     rearranged = rearranged.drop("fim_restored")

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paylens.llm.common import ships_package
+
 #: n-grams per profile.
 PROFILE_SIZE = 300
 #: Label of texts that are null or have no letter.
@@ -128,6 +130,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from passed_on()
 
 
+@ships_package
 def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE_SIZE) -> Profiles:
     """Profiles of every language in ``docs``, counted over all their whole texts.
 
@@ -148,6 +151,7 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     return Profiles.of(tops, size)
 
 
+@ships_package
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``lang_score`` (0 to 1) of every whole text.
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import connected_components, only, staged
+from paylens.llm.common import connected_components, discard, only, ships_package, staged
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -295,6 +295,7 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rows[["a", "b"]][100 * shared >= PERCENT * (n - shared)]
 
 
+@ships_package
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_kept`` and ``text_hash``.
 
@@ -341,6 +342,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = reps.join(shared, F.col("node") == F.col("s_node")).withColumn("listed", listed).filter("listed > 0")
     lists = staged(lists.select("node", "rep", "digest", "n", "hashes", "shared", F.slice("shared", 1, F.col("listed")).alias("listed")), "lists")
 
+    discard(reps)
+
     # halves of hashes do for estimates
     halves = F.transform("hashes", lambda x: F.shiftright(x, 32).cast("int"))
     short = lists.select("node", "n", halves.alias("hashes"), F.col("listed.v").alias("before"), F.posexplode("listed").alias("pos", "entry"))
@@ -371,6 +374,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = staged(candidates.groupBy("a", "b").agg(F.max("verified").alias("verified")), "candidates")
     links = candidates.filter("verified").select("a", "b").union(verified_pairs(rows, candidates.filter("not verified"), classes))
     links = staged(links, "links")
+    discard(lists, candidates)
 
     # ids with several texts, their nodes, and the links that make each id one document
     texts_of = sized.filter("doc_id is not null").groupBy(F.col("doc_id").alias("t_id"))

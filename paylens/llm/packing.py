@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylens.llm.common import ranked, staged
+from paylens.llm.common import ranked, ships_package, staged
 from paylens.llm.token_cache import encoder
 
 SEQUENCE = 2048
@@ -92,6 +92,7 @@ def tokenized_pieces(
     return rows.mapInPandas(cut, PIECES)
 
 
+@ships_package
 def pack(
     docs: DataFrame,
     tokenizer: str | os.PathLike,

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paylens.llm.common import ships_package
 from paylens.llm.lang_id import letter_table
 from paylens.llm.near_dup import word_hashes
 
@@ -25,8 +26,8 @@ SAMPLE = 4000
 SAMPLE_LINES = 500
 #: Scores from here on predict label 1.
 CUT = 0.3
-#: Documents whose lines are scored together.
-CHUNK = 256
+#: Documents whose lines are scored together, and the lines (documents times those of the longest) and characters they may have.
+CHUNK, CHUNK_LINES, CHUNK_CHARS = 256, 1 << 16, 1 << 22
 
 OWN_FEATURES = ("chars", "letters", "upper", "digits", "symbols", "pipes", "bangs", "stops", "word_length", "distinct", "blank")
 
@@ -112,6 +113,24 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return features, docs, chars
 
 
+def blocks_of_lines(text: str) -> Iterator[tuple[str, int, int]]:
+    """A long text as (lines, lines before that are context, lines that count): blocks of whole lines with a line of context around."""
+    at = 0
+    before = ""
+    while at <= len(text):
+        end, lines = at, 0
+        while lines < CHUNK_LINES // 4 and end - at < CHUNK_CHARS:
+            stop = text.find("\n", end)
+            lines += 1
+            end = len(text) + 1 if stop < 0 else stop + 1
+            if stop < 0:
+                break
+        after = "" if end > len(text) else "\n" + text[end:text.find("\n", end) if text.find("\n", end) >= 0 else len(text)]
+        yield (before + "\n" if at else "") + text[at:end - 1] + after, int(at > 0), lines
+        before = text[text.rfind("\n", 0, end - 1) + 1:end - 1]
+        at = end
+
+
 def _padded(values: np.ndarray, docs: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Lines' values as (position, document), and each document's number of lines."""
     counts = np.bincount(docs, minlength=n_docs)
@@ -163,8 +182,18 @@ class LineField:
 
     def raw(self, texts: list[str]) -> np.ndarray:
         """Length-weighted mean of each text's line probabilities."""
-        features, docs, chars = line_features(texts)
-        emit, counts = _padded(((features - self.mean) / self.scale) @ self.weights + self.bias, docs, len(texts))
+        if len(texts) == 1:
+            # the scores of a long text's lines are made in blocks; its chain is one
+            parts = []
+            for lines, skip, n in blocks_of_lines(texts[0]):
+                features, _, chars = line_features([lines])
+                parts.append((((features - self.mean) / self.scale)[skip:skip + n] @ self.weights + self.bias, chars[skip:skip + n]))
+            scores, chars = (np.concatenate(x) for x in zip(*parts))
+            docs = np.zeros(len(scores), np.int64)
+        else:
+            features, docs, chars = line_features(texts)
+            scores = ((features - self.mean) / self.scale) @ self.weights + self.bias
+        emit, counts = _padded(scores, docs, len(texts))
         good, _, _ = forward_backward(emit, counts, self.start, self.between)
         weight, _ = _padded(chars + 1, docs, len(texts))
         return (good * weight).sum(axis=0) / weight.sum(axis=0)
@@ -249,6 +278,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     return fit([r["text"] for r in found], np.array([r["label"] for r in found], dtype=np.int64))
 
 
+def chunks_of(texts: list[str], order: list[int]) -> Iterator[list[int]]:
+    """``order`` (by lines, rising) in chunks of bounded size; a text beyond the bounds is a chunk of its own."""
+    here: list[int] = []
+    chars = 0
+    for i in order:
+        lines = texts[i].count("\n") + 1
+        if here and (len(here) == CHUNK or (len(here) + 1) * lines > CHUNK_LINES or chars + len(texts[i]) > CHUNK_CHARS):
+            yield here
+            here, chars = [], 0
+        here.append(i)
+        chars += len(texts[i])
+    if here:
+        yield here
+
+
+@ships_package
 def score_documents(docs: DataFrame, field: LineField, text_col: str = "text", cut: float = CUT) -> DataFrame:
     """``docs`` with ``quality_score`` (0 to 1) of every whole text and ``quality_predicted`` (1 from ``cut`` on).
 
@@ -263,8 +308,7 @@ def score_documents(docs: DataFrame, field: LineField, text_col: str = "text", c
             # alike in length, so that short documents don't wait for long ones
             order = sorted(range(len(whole)), key=lambda i: whole[i].count("\n"))
             out = np.empty(len(whole))
-            for at in range(0, len(whole), CHUNK):
-                here = order[at : at + CHUNK]
+            for here in chunks_of(whole, order):
                 out[here] = field.score([whole[i] for i in here])
             yield pd.Series(out)
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.llm.common import staged
+from paylens.llm.common import ships_package, staged
 
 #: Words of a range that one task numbers.
 RANGE_WORDS = 200_000
@@ -191,6 +191,7 @@ def neighbours(pairs: DataFrame) -> DataFrame:
     return ids.groupBy("id").agg(F.sum("k").alias("n_near"), F.min("best").alias("near_id")).filter("n_near > 0")
 
 
+@ships_package
 def spelling_variants(docs: DataFrame, min_length: int = 7, min_count: int = 2, ratio: int = 10, every: int = 31) -> DataFrame:
     """The words of all texts with their near words, one row each.
 

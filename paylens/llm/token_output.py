@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paylens.llm.common import ship_package, ships_package
 from paylens.llm import repair
 from paylens.llm.token_cache import encoder
 
@@ -30,6 +31,7 @@ END_ID = 2
 SHARDS = "part int, shard int, n_ids long, docs binary, tokens binary, ids binary"
 
 
+@ships_package
 def write_shards(
     docs: DataFrame,
     path: str,
@@ -98,6 +100,7 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = True) -> Dat
     id; ``ids`` are little-endian uint32, decoded from the grammar (left out
     without ``with_ids``). The shards' running count takes one row per shard.
     """
+    ship_package(spark)
     shards = spark.read.schema(SHARDS).parquet(path)
     columns = ["part", "shard", "doc_id", "place", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])]
 

@@ -154,6 +154,23 @@ def test_forward_backward_equals_enumeration():
     assert np.isclose(expected[1, 0], sum(weight(p) * sum(a == 1 and b == 0 for a, b in zip(p, p[1:])) for p in paths) / z)
 
 
+def test_long_texts_are_scored_in_blocks(monkeypatch):
+    rnd = random.Random(6)
+    prose = ["\n".join(rnd.choice(["Good line of words.", "x | y | z", "", "SHOUT !!", "a b c d e"]) for _ in range(rnd.randint(1, 90))) for _ in range(40)]
+    texts = [*prose, "", "\n", "\n\n\n", "end\n", "x" * 500]
+    field = quality.fit(prose, np.array([i % 2 for i in range(40)]), rounds=20)
+    together = field.score(texts)
+    monkeypatch.setattr(quality, "CHUNK_LINES", 28)
+    monkeypatch.setattr(quality, "CHUNK_CHARS", 300)
+    assert np.allclose(together, [field.score([t])[0] for t in texts])
+    for t in texts:
+        blocks = list(quality.blocks_of_lines(t))
+        assert [x for lines, skip, n in blocks for x in lines.split("\n")[skip:skip + n]] == t.split("\n")
+    order = sorted(range(len(texts)), key=lambda i: texts[i].count("\n"))
+    chunks = list(quality.chunks_of(texts, order))
+    assert sum(chunks, []) == order and all(len(c) == 1 or len(c) * (texts[c[-1]].count("\n") + 1) <= 28 for c in chunks)
+
+
 def test_gram_counts_and_out_of_place():
     codes, counts = lang_id.gram_counts("ab ab!")
     one = lambda c: ord(c)

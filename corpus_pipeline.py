@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylens.llm import lang_id, line_dedup, mixing, near_dup, packing
-from paylens.llm.common import read_table, ship_package, staged
+from paylens.llm.common import discard, read_table, ship_package, staged
 from paylens.llm.queries import MIX_BLOCK, MIX_WEIGHTS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -81,6 +81,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = read_table(spark, sf_dir, "documents")
+    made = []
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made.append(docs)
+    discard(*made[:-1])
     return docs

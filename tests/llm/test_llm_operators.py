@@ -145,6 +145,19 @@ def test_embedding_dedup_against_brute_force(spark):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_embedding_dedup_of_repeated_ids_and_extreme_sizes(spark, monkeypatch):
+    v = [[1.0, 0.1, 0.0], [0.0, 1.0, 0.1], [0.1, 0.0, 1.0]]
+    rows = [(3, v[0]), (5, v[0]), (5, v[1]), (9, [x * 2 for x in v[1]]), (5, None), (20, [x * 1e200 for x in v[2]]), (21, [x * 1e-200 for x in v[2]]),
+            (22, v[2]), (30, [1.0, 1.0, 1.0]), (30, [1.0, 1.0, 1.0]), (None, v[0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rep", F.lit("clash"))
+    for block, cells in ((embedding_dedup.BLOCK, 16), (2, 3)):
+        monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+        monkeypatch.setattr(embedding_dedup, "CELLS", cells)
+        got = sorted((tuple(r) for r in embedding_dedup.near_duplicate_vectors(df).collect()), key=str)
+        assert got == sorted([(3, 1, 3, True), (5, 1, 3, False), (5, 1, 3, False), (9, 1, 3, False), (5, 0, 3, False), (20, 2, 20, True), (21, 2, 20, False),
+                              (22, 2, 20, False), (30, 1, 30, True), (30, 1, 30, True), (None, 0, None, True)], key=str)
+
+
 def test_near_duplicates_against_brute_force(documents, monkeypatch):
     rnd = random.Random(9)
     texts = []

@@ -16,11 +16,13 @@ from __future__ import annotations
 import heapq
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylens.llm.common import ranked
 
+#: Repeats of a row that one task makes at a time.
+REPEATS = 1024
 #: Bound of the cycle (sum of all shares), and so of the table that holds it.
 MAX_SHARES = 100_000
 #: Hex digits of the shuffling digest that split a source into buckets: 16**3 per source.
@@ -44,6 +46,18 @@ def pfair_cycle(weights: Mapping[str, int]) -> list[str]:
     return slots
 
 
+def _repeated(rows: DataFrame, last_epoch: Column, often: list[str]) -> DataFrame:
+    """``rows`` once for each ``mix_epoch`` from 0 to ``last_epoch``; those of sources that repeat ``often`` are dealt over tasks first."""
+    zero = F.lit(0).cast("long")
+    if not often:
+        return rows.withColumn("mix_epoch", F.explode(F.sequence(zero, last_epoch)))
+    few = rows.filter(~F.col("mix_source").isin(often)).withColumn("mix_epoch", F.explode(F.sequence(zero, last_epoch)))
+    ranges = rows.filter(F.col("mix_source").isin(often)).withColumn("last_epoch", last_epoch)
+    ranges = ranges.withColumn("first", F.explode(F.sequence(zero, F.col("last_epoch"), F.lit(REPEATS).cast("long")))).repartition("digest", "first")
+    many = ranges.withColumn("mix_epoch", F.explode(F.sequence("first", F.least(F.col("last_epoch"), F.col("first") + (REPEATS - 1)))))
+    return few.union(many.drop("first", "last_epoch"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Mapping[str, int],
@@ -104,7 +118,7 @@ def mix_sources(
     rows = rows.join(per_source, F.col("mix_source") == F.col("p_source"))
     rows = rows.withColumn("mix_block", F.expr(f"rank div {block_rows}")).withColumn("in_block", F.expr(f"rank % {block_rows}"))
     last_epoch = F.expr(f"({cycles} * p_weight - 1 - mix_block) div p_blocks")
-    rows = rows.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), last_epoch)))
+    rows = _repeated(rows, last_epoch, [s for s, w in present.items() if cycles * w > REPEATS * blocks[s]])
     rows = rows.withColumn("dealt", F.expr("mix_epoch * p_blocks + mix_block"))
     rows = rows.join(slots, (F.col("mix_source") == F.col("c_source")) & (F.expr("dealt % p_weight") == F.col("c_turn")))
     rows = rows.withColumn("mix_slot", F.expr(f"(dealt div p_weight) * {total} + c_at"))

@@ -64,6 +64,17 @@ def test_mixing_keeps_all_and_follows_weights(spark, documents):
         mixing.mix_sources(docs, {"a": 0})
 
 
+def test_mixing_deals_many_repeats_over_tasks(spark, documents, monkeypatch):
+    docs = documents([(0, "rare", "en", "a")] + [(i, "x", "en", "b") for i in range(1, 4_000)])
+    mixed = mixing.mix_sources(docs, {"a": 5, "b": 1}, block_rows=2)
+    whole = sorted(map(tuple, mixed.collect()))
+    assert sum(r[0] == 0 for r in whole) == 10_000
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(digest" in plan and "first" in plan
+    monkeypatch.setattr(mixing, "REPEATS", 10**9)
+    assert sorted(map(tuple, mixing.mix_sources(docs, {"a": 5, "b": 1}, block_rows=2).collect())) == whole
+
+
 def test_line_dedup(documents):
     rnd = random.Random(0)
     rows = [(i, f"{prose(rnd, 9)}\n  cookie notice \t\n{prose(rnd, 8)}\n\nrare line {i % 4}", "en", f"s{i % 12}") for i in range(60)]

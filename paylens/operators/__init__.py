@@ -5,6 +5,7 @@ from paylens.operators.buckets import ordered_buckets
 from paylens.operators.clean import clean
 from paylens.operators.duplicates import near_in_time_duplicates, without_duplicates
 from paylens.operators.quality import quality_report, quality_report_dict
+from paylens.operators.robust import group_quantile, robust_anomalies, robust_statistics
 from paylens.operators.rollups import (
     aggregation_sets,
     aggregations,
@@ -34,4 +35,5 @@ __all__ = [
     "top_senders", "valid_only", "with_countries", "validate", "sender_sequence",
     "ordered_buckets", "near_in_time_duplicates", "without_duplicates", "asof_join", "interval_join", "sender_velocity",
     "apply_changes", "multiset_difference", "daily_states", "merge_states", "state_figures",
+    "group_quantile", "robust_anomalies", "robust_statistics",
 ]

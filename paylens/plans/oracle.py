@@ -363,3 +363,18 @@ FROM runs GROUP BY sender_bic, run
 UNION ALL
 SELECT CASE WHEN placed THEN 'late' ELSE 'unplaced' END, sender_bic, paid_at, paid_at, CAST(1 AS BIGINT), round(amount, 2) FROM judged WHERE late OR NOT placed"""),
 }
+
+_ROBUST = VALIDATED_CTES + """,
+statistics AS (
+  SELECT currency, CAST(count(*) AS BIGINT) AS n, median(amount) AS median_amount, mad(amount) AS mad_amount
+  FROM valid WHERE amount IS NOT NULL AND NOT isnan(amount) GROUP BY currency
+)"""
+
+ORACLE_SQL |= {
+    "robust_statistics": _with(_ROBUST, "SELECT * FROM statistics"),
+    "robust_anomalies": _with(_ROBUST, """
+SELECT sender_bic, "timestamp", v.currency, amount, median_amount, mad_amount,
+       CAST(0.6745::DOUBLE * (amount - median_amount) / mad_amount AS FLOAT) AS robust_score
+FROM valid v JOIN statistics s ON v.currency IS NOT DISTINCT FROM s.currency
+WHERE mad_amount > 0 AND amount IS NOT NULL AND NOT isnan(amount) AND abs(0.6745::DOUBLE * (amount - median_amount) / mad_amount) > 3.5"""),
+}

@@ -21,6 +21,7 @@ from paylens.operators.anomaly import detect_anomalies
 from paylens.operators.clean import clean
 from paylens.operators.duplicates import near_in_time_duplicates
 from paylens.operators.quality import quality_report
+from paylens.operators.robust import robust_anomalies, robust_statistics
 from paylens.operators.rollups import (
     aggregation_sets,
     by_currency,
@@ -211,6 +212,20 @@ def q_streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(found.withColumn("total_amount", F.round("total_amount", 2)))
 
 
+def q_robust_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_statistics(valid_amounts(spark, sf_dir))
+
+
+def q_robust_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid payments far from the median of their currency, in median absolute deviations."""
+    found = robust_anomalies(valid_amounts(spark, sf_dir)).drop("is_valid")
+    return wall_clock(found.withColumn("robust_score", F.col("robust_score").cast("float")))
+
+
+def valid_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return valid_written(spark, sf_dir).select("sender_bic", "timestamp", "currency", "amount", F.lit(True).alias("is_valid"))
+
+
 def positions(ordered: DataFrame, label: str) -> DataFrame:
     """``ordered`` plus ``position``: the place of each row in the order that it comes in, from 1.
 
@@ -335,6 +350,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_applied": q_snapshot_applied,
     "monthly_states": q_monthly_states,
     "streamed_sessions": q_streamed_sessions,
+    "robust_statistics": q_robust_statistics,
+    "robust_anomalies": q_robust_anomalies,
     "ordered_daily_volumes": ordered_query("ordered-daily", daily_volumes),
     "ordered_by_currency": ordered_query("ordered-currency", by_currency),
     "ordered_country_statistics": ordered_query("ordered-countries", country_statistics),

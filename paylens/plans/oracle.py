@@ -378,3 +378,19 @@ SELECT sender_bic, "timestamp", v.currency, amount, median_amount, mad_amount,
 FROM valid v JOIN statistics s ON v.currency IS NOT DISTINCT FROM s.currency
 WHERE mad_amount > 0 AND amount IS NOT NULL AND NOT isnan(amount) AND abs(0.6745::DOUBLE * (amount - median_amount) / mad_amount) > 3.5"""),
 }
+
+_MESSAGES = RAW_CTES + """,
+sent AS (SELECT *, CAST(abs(round(amount * 100)) AS BIGINT) % 50 AS kind FROM raw),
+judged AS (
+  SELECT *, CASE WHEN kind = 1 THEN 'not_json' WHEN kind = 3 THEN 'not_an_object'
+                 ELSE concat_ws(',', CASE WHEN "timestamp" IS NULL THEN 'missing:timestamp' END,
+                                CASE WHEN amount IS NULL THEN 'missing:amount' WHEN kind = 2 THEN 'type:amount' END) END AS reasons
+  FROM sent
+)"""
+
+ORACLE_SQL |= {
+    "messages_accepted": _with(_MESSAGES, """
+SELECT "timestamp", sender_bic, receiver_bic, amount, currency, msg_type FROM judged WHERE reasons = ''"""),
+    "messages_rejected": _with(_MESSAGES, """
+SELECT "timestamp" AS received, reasons, coalesce(kind <> 1, true) AS is_long FROM judged WHERE reasons <> ''"""),
+}

@@ -41,8 +41,9 @@ from paylens.operators.velocity import sender_velocity
 from paylens.plans.analysis import analysis_results, run_analysis
 from paylens.plans.ingest import run_ingest, write_validated
 from paylens.sinks.writers import scratch_path, write_csv, write_parquet, write_results
-from paylens.sources.fixture import FIXTURE_AS_OF, raw_payments, resent_payments, validated_payments, validity_periods
+from paylens.sources.fixture import FIXTURE_AS_OF, payment_messages, raw_payments, resent_payments, validated_payments, validity_periods
 from paylens.sources.generator import generate_payments
+from paylens.sources.messages import accepted, read_messages, rejected
 from paylens.sources.payments import read_payments_csv, read_processed
 from paylens.streaming.sessions import open_sessions, start_session_stream
 
@@ -222,6 +223,17 @@ def q_robust_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wall_clock(found.withColumn("robust_score", F.col("robust_score").cast("float")))
 
 
+def q_messages_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments read from nested JSON messages: those that can be used."""
+    return accepted(read_messages(payment_messages(spark, sf_dir))).drop("received", "message", "parsed")
+
+
+def q_messages_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other messages (by their length) with the reasons."""
+    found = rejected(read_messages(payment_messages(spark, sf_dir)))
+    return found.select("received", "reasons", (F.length("message") > 40).alias("is_long"))
+
+
 def valid_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_written(spark, sf_dir).select("sender_bic", "timestamp", "currency", "amount", F.lit(True).alias("is_valid"))
 
@@ -350,6 +362,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_applied": q_snapshot_applied,
     "monthly_states": q_monthly_states,
     "streamed_sessions": q_streamed_sessions,
+    "messages_accepted": q_messages_accepted,
+    "messages_rejected": q_messages_rejected,
     "robust_statistics": q_robust_statistics,
     "robust_anomalies": q_robust_anomalies,
     "ordered_daily_volumes": ordered_query("ordered-daily", daily_volumes),

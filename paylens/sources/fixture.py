@@ -153,3 +153,22 @@ def validity_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
         _bic_base(F.col("c_custkey"), F.col("c_nationkey")).alias("sender_bic"), key.alias("period_id"),
         start.alias("valid_from"), F.timestamp_add("DAY", days, start).alias("valid_to"),
     )
+
+
+def payment_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw payments as nested JSON messages beside the time they name; some are cut off or have a wrong type.
+
+    By the amount in cents: of every 50, one is cut in the middle, one has text
+    for its amount, one is a list.
+    """
+    cents = F.abs(F.round(F.col("amount") * 100)).cast("long") % 50
+    header = F.struct(F.col("msg_type").alias("type"), F.col("sender_bic").alias("sender"), F.col("receiver_bic").alias("receiver"))
+    good = F.to_json(F.struct(header.alias("header"), F.struct(F.col("timestamp").alias("time"), "amount", "currency").alias("payment")))
+    wrong = F.to_json(F.struct(header.alias("header"), F.struct(F.col("timestamp").alias("time"), F.lit("much").alias("amount"), "currency").alias("payment")))
+    message = (
+        F.when(cents == 1, F.substring(good, 1, 40))
+        .when(cents == 2, wrong)
+        .when(cents == 3, F.concat(F.lit("["), good, F.lit("]")))
+        .otherwise(good)
+    )
+    return raw_payments(spark, sf_dir).select(F.col("timestamp").alias("received"), message.alias("message"))

@@ -29,11 +29,13 @@ _HEAD = struct.Struct("<4sIIQQI")
 #: Bytes of a rule: its pair and its length.
 RULE_BYTES = 12
 #: Rules a round may add; what is left over waits for the next round.
-RULES_A_ROUND = 4096
+RULES_A_ROUND = 6000
+#: Pairs that a round looks at, at least (twice this).
+CANDIDATES = 4096
 #: Bits of the table in which a round counts pairs by hash.
 HASH_BITS = 20
 #: By how much the count asked for falls from round to round.
-STEP = 4
+STEP = 16
 #: Symbols below this are stored in 16 bits.
 NARROW = 1 << 16
 #: When narrow symbols run out, rules go on in 32 bits if at least this share of places still has a pair that pays: each
@@ -48,12 +50,14 @@ def _compatible(codes: list[int], shift: int, rules: int) -> list[bool]:
     lefts: set[int] = set()
     rights: set[int] = set()
     taken = []
+    taken_so_far = 0
     for code in codes:
         left, right = code >> shift, code & ((1 << shift) - 1)
-        fits = len(lefts) < rules and left not in rights and right not in lefts and not (left == right and (left in lefts or right in rights))
+        fits = taken_so_far < rules and left not in rights and right not in lefts and not (left == right and (left in lefts or right in rights))
         if fits:
             lefts.add(left)
             rights.add(right)
+            taken_so_far += 1
         taken.append(fits)
     return taken
 
@@ -78,10 +82,16 @@ def _frequent(codes: np.ndarray, bits: int, floor: int, pays: int, most: int, fa
     number = np.full(len(table), most, dtype=np.int32)
     number[bins] = np.arange(len(bins), dtype=np.int32)
     of_bin = number[hashed]
-    hit = np.flatnonzero(of_bin < most)[::-1]
-    values = np.zeros(len(bins), dtype=kind)
-    values[of_bin[hit]] = codes[hit]
-    return values, of_bin, floor
+    # any code of a bin stands for it; frequent ones turn up soon
+    values = np.full(most + 1, kind((1 << bits) - 1), dtype=kind)
+    left, at, size = len(bins), 0, 1 << 16
+    while left and at < len(codes):
+        values[of_bin[at:at + size]] = codes[at:at + size]
+        seen = np.zeros(most + 1, dtype=bool)
+        seen[of_bin[:at + size]] = True
+        left = len(bins) - int(seen[:len(bins)].sum())
+        at, size = at + size, 4 * size
+    return values[:len(bins)], of_bin, floor
 
 
 def _frequent_exactly(codes: np.ndarray, pays: int, most: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -113,9 +123,10 @@ def _occurrences(codes: np.ndarray, of_code: np.ndarray, pairs: np.ndarray, take
 
 
 def _paying_share(s: np.ndarray, pays: int) -> float:
-    """The share of places whose pair occurs ``pays`` times or more."""
-    counts = np.unique((s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:], return_counts=True)[1]
-    return counts[counts >= pays].sum() / max(1, len(s) - 1)
+    """The share of places whose pair may occur ``pays`` times or more, by hashed counts."""
+    codes = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
+    table = np.bincount(((codes * np.uint64(FACTORS[0])) >> np.uint64(64 - HASH_BITS - 2)).astype(np.int32), minlength=4 << HASH_BITS)
+    return table[table >= pays].sum() / max(1, len(codes))
 
 
 def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND, min_count: int | None = None) -> bytes:
@@ -147,12 +158,14 @@ def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND
         codes = s[:-1].astype(kind) << kind(shift)
         codes |= s[1:].astype(kind, copy=False)
         rounds += 1
+        # enough of them that the last numbers go in few rounds, though pairs exclude each other
+        most = 2 * max(room, min(rules_a_round, CANDIDATES))
         if exactly:
-            pairs, of_code, floor = _frequent_exactly(codes, pays, 2 * room)
+            pairs, of_code, floor = _frequent_exactly(codes, pays, most)
         else:
-            pairs, of_code, floor = _frequent(codes, 2 * shift, floor, pays, 2 * room, FACTORS[rounds % len(FACTORS)])
+            pairs, of_code, floor = _frequent(codes, 2 * shift, floor, pays, most, FACTORS[rounds % len(FACTORS)])
         taken = np.array(_compatible(pairs.tolist(), shift, room), dtype=bool)
-        at, number = _occurrences(codes, of_code, pairs, taken, 2 * room, shift)
+        at, number = _occurrences(codes, of_code, pairs, taken, most, shift)
         enough = np.bincount(number, minlength=len(pairs)) >= pays
         if not enough.any():
             if exactly:

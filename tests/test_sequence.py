@@ -35,7 +35,7 @@ def rows_of(df):
     return sorted((repr(tuple(r)) for r in df.collect()))
 
 
-@pytest.mark.parametrize("bucket", ["month", "day", "year"])
+@pytest.mark.parametrize("bucket", [None, "month", "day", "year"])
 def test_matches_plain_window(skewed, bucket):
     got = sender_sequence(skewed, bucket=bucket)
     assert got.columns == skewed.columns + ["row_num"]
@@ -46,7 +46,8 @@ def test_matches_plain_window(skewed, bucket):
 def test_bucket_of_other_types(spark):
     df = spark.range(500).selectExpr("'a' AS sender_bic", "id % 97 AS timestamp", "id AS x")
     with pytest.raises(ValueError):
-        sender_sequence(df)
+        sender_sequence(df, bucket="month")
+    assert rows_of(sender_sequence(df)) == rows_of(window_reference(df))
     assert rows_of(sender_sequence(df, bucket=F.expr("timestamp div 10"))) == rows_of(window_reference(df))
 
 

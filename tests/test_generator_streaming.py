@@ -1,3 +1,4 @@
+import hashlib
 import os
 
 import pytest
@@ -20,6 +21,16 @@ def test_generator_is_deterministic_and_sized(spark):
     assert a.exceptAll(b).count() == 0
 
 
+def test_every_number_has_a_digest_of_its_own(spark):
+    def u(i, salt):
+        return int(hashlib.md5(f"{i}:42:{salt}".encode()).hexdigest()[:13], 16) / 16**13
+
+    ids = spark.range(400)
+    got = generate_payments(spark, ids=ids.coalesce(1), as_of=AS_OF, with_kind=True).filter("anomaly_kind = 'normal'").select("amount", "currency", "msg_type").collect()
+    want = [(round(100 + u(i, 4) * 999_900, 2), ("USD", "EUR", "GBP", "JPY")[int(u(i, 5) * 4)], ("MT103", "MT202", "MT950")[int(u(i, 6) * 3)]) for i in range(400) if u(i, 7) >= 0.05]
+    assert sorted(want) == sorted(map(tuple, got))
+
+
 def test_generator_anomaly_mix_and_validity(spark):
     df = generate_payments(spark, 20000, seed=11, as_of=AS_OF, with_kind=True)
     kinds = {r.anomaly_kind: r["count"] for r in df.groupBy("anomaly_kind").count().collect()}

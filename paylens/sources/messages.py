@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Where the columns of a raw payment stand in a message, and their types.
@@ -39,16 +39,22 @@ def read_messages(
     """
     raw = raw.drop(*[c for c in (*fields, "parsed", "reasons") if c != text])
     message = F.col(text)
-    parsed = raw.withColumn("parsed", F.try_parse_json(message))
-    values = {name: F.try_variant_get("parsed", path, kind) for name, (path, kind) in fields.items()}
-    there = {name: F.try_variant_get("parsed", path, "variant") for name, (path, _) in fields.items()}
-    nested = {name: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)") for name, v in there.items()}
-    values = {name: F.when(~nested[name], v) for name, v in values.items()}
-    found = parsed.withColumns({**values, **{f"_there_{n}": v.isNotNull() & ~F.is_variant_null(v) for n, v in there.items()}})
+    # what is exploded is made once per row: no later filter or field repeats the parse or the look-ups
+    parsed = raw.select("*", F.explode(F.array(F.try_parse_json(message))).alias("parsed"))
+    there = F.struct(*[F.try_variant_get("parsed", path, "variant").alias(name) for name, (path, _) in fields.items()])
+    found = parsed.select("*", F.explode(F.array(there)).alias("_there"))
+
+    def value(name: str, kind: str) -> Column:
+        given = F.col("_there").getField(name)
+        shape = F.schema_of_variant(given)
+        return F.when(~(shape.startswith("OBJECT") | shape.startswith("ARRAY")), F.try_variant_get(given, "$", kind)).alias(name)
+
+    found = found.select("*", F.explode(F.array(F.struct(*[value(name, kind) for name, (_, kind) in fields.items()]))).alias("_values"))
     of_fields = []
     for name in fields:
-        missing = F.when(~F.coalesce(F.col(f"_there_{name}"), F.lit(False)), F.lit(f"missing:{name}") if name in required else F.lit(None).cast("string"))
-        of_fields.append(missing.otherwise(F.when(F.col(name).isNull(), F.lit(f"type:{name}"))))
+        given = F.col("_there").getField(name)
+        missing = F.when(given.isNull() | F.is_variant_null(given), F.lit(f"missing:{name}") if name in required else F.lit(None).cast("string"))
+        of_fields.append(missing.otherwise(F.when(F.col("_values").getField(name).isNull(), F.lit(f"type:{name}"))))
     is_object = F.schema_of_variant("parsed").startswith("OBJECT")
     reasons = (
         F.when(message.isNull() | (F.trim(message) == ""), F.array(F.lit("no_message")))
@@ -56,7 +62,8 @@ def read_messages(
         .when(~is_object, F.array(F.lit("not_an_object")))
         .otherwise(F.array_compact(F.array(*of_fields)))
     )
-    return found.withColumn("reasons", reasons).drop(*[f"_there_{n}" for n in fields])
+    judged = found.select("*", F.explode(F.array(reasons)).alias("reasons"))
+    return judged.select(*[c for c in raw.columns if c not in fields], "parsed", *[F.col("_values").getField(name).alias(name) for name in fields], "reasons")
 
 
 def accepted(messages: DataFrame) -> DataFrame:

@@ -45,3 +45,10 @@ def test_schema_may_grow(spark):
     wider = read_messages(raw, fields={**FIELDS, "note": ("$.payment.note", "string")})
     assert sorted(str(r.note) for r in accepted(wider).collect()) == ["None", "grown"]
     assert read_messages(raw.limit(0)).count() == 0
+
+
+def test_a_message_is_parsed_once(spark):
+    messages = read_messages(spark.createDataFrame([(1, message())], "id int, message string").withColumn("message", F.concat("message", F.lit(" "))))
+    for out in (accepted(messages), rejected(messages)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1 and plan.count("concat(") <= 1

@@ -1,9 +1,10 @@
 """Exact medians and median absolute deviations per group, and the anomalies that they show.
 
-A quantile is looked up in two passes: distinct values with their counts are
-cut into ordered buckets, the buckets' counts say in which of them the wanted
-rank lies, and only that bucket is sorted. A group of any size, and a value
-that a third of all rows share, are thereby spread over tasks.
+A quantile is looked up in two passes: a summary per group gives a narrow
+bracket around the wanted rank, counts below, in and above it say which of the
+three the rank lies in, and only the distinct values there are sorted. No
+group is shuffled or sorted as a whole, however large, and the result is exact
+even where a bracket misses.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylens.operators.buckets import MAX_ROWS, ordered_buckets
+from paylens.operators.buckets import ACCURACY, MAX_ROWS
 from paylens.operators.rollups import valid_only
 
 #: Scores beyond this are anomalies; SCALE makes the deviation of normal amounts comparable to a standard deviation.
@@ -28,23 +29,32 @@ def group_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float = 0.
     """
     if not 0 <= q <= 1:
         raise ValueError("q must be from 0 to 1")
-    counted = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).groupBy(*keys, F.col(value).cast("double").alias("q_value")).agg(F.count(F.lit(1)).alias("q_n"))
-    placed = ordered_buckets(counted, keys, ["q_value"], max_rows, name="q_bucket")
-    sizes = placed.groupBy(*keys, "q_bucket").agg(F.sum("q_n").alias("q_size"))
+    given = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, F.col(value).cast("double").alias("q_value"))
+    named = [f"q_{i}" for i in range(len(keys))]
+    same = F.lit(True)
+    for k, k_named in zip(keys, named):
+        same = same & F.col(k).eqNullSafe(F.col(k_named))
+    # twice the summary's error to both sides; groups of up to max_rows values stay whole
+    ends = [max(q - 2 / ACCURACY, 0.0), min(q + 2 / ACCURACY, 1.0)]
+    brackets = given.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named)]).agg(
+        F.count(F.lit(1)).alias("q_total"), F.percentile_approx("q_value", ends, ACCURACY).alias("q_ends"))
+    cut = F.col("q_total") > max_rows
+    brackets = brackets.select(
+        *named, "q_total", (F.lit(q) * (F.col("q_total") - 1)).alias("q_at"),
+        F.when(cut, F.col("q_ends")[0]).alias("q_from"), F.when(cut, F.col("q_ends")[1]).alias("q_to"))
+    side = F.coalesce((F.col("q_value") > F.col("q_from")).cast("int") + (F.col("q_value") > F.col("q_to")).cast("int"), F.lit(0))
+    placed = given.join(brackets, same).withColumn("q_bucket", side)
+    sizes = placed.groupBy(*keys, "q_bucket", "q_total", "q_at").agg(F.count(F.lit(1)).alias("q_size"))
     upto = Window.partitionBy(*keys).orderBy("q_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    position = F.lit(q) * (F.sum("q_size").over(Window.partitionBy(*keys)) - 1)
     sizes = sizes.select(
-        *[F.col(k).alias(f"q_{i}") for i, k in enumerate(keys)], F.col("q_bucket").alias("s_bucket"),
-        (F.sum("q_size").over(upto) - F.col("q_size")).alias("q_start"), F.sum("q_size").over(upto).alias("q_end"),
-        F.sum("q_size").over(Window.partitionBy(*keys)).alias("q_total"), position.alias("q_at"),
-    )
+        *[F.col(k).alias(n) for k, n in zip(keys, named)], F.col("q_bucket").alias("s_bucket"), "q_total", "q_at",
+        (F.sum("q_size").over(upto) - F.col("q_size")).alias("q_start"), F.sum("q_size").over(upto).alias("q_end"))
     low, high = F.floor("q_at"), F.ceil("q_at")
     wanted = sizes.filter((F.col("q_end") > low) & (F.col("q_start") <= high))
-    same = F.col("q_bucket") == F.col("s_bucket")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"q_{i}"))
+    placed = placed.drop(*named, "q_total", "q_at")
+    counted = placed.join(wanted, same & (F.col("q_bucket") == F.col("s_bucket"))).groupBy(*keys, "q_bucket", "q_start", "q_total", "q_at", "q_value").agg(F.count(F.lit(1)).alias("q_n"))
     inside = Window.partitionBy(*keys, "q_bucket").orderBy("q_value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.join(wanted, same).withColumn("q_upto", F.col("q_start") + F.sum("q_n").over(inside))
+    ranked = counted.withColumn("q_upto", F.col("q_start") + F.sum("q_n").over(inside))
 
     def value_at(rank):
         return F.max(F.when((F.col("q_upto") - F.col("q_n") <= rank) & (rank < F.col("q_upto")), F.col("q_value")))

@@ -47,6 +47,16 @@ def test_robust_anomalies(spark, max_rows):
     assert "NestedLoop" not in plan and "Python" not in plan
 
 
+def test_quantiles_of_a_hot_group_by_a_narrow_bracket(spark):
+    """One group of many distinct values and a heavy one: exact, with a fixed number of looks at the table."""
+    df = spark.range(60_000).selectExpr("'HOT' AS currency", "CASE WHEN id % 3 = 0 THEN 7.0D ELSE (id * 7919) % 60013 / 4.0D END AS amount")
+    got = group_quantile(df, ["currency"], "amount", 0.8, max_rows=1_000)
+    v = [7.0 if i % 3 == 0 else i * 7919 % 60013 / 4 for i in range(60_000)]
+    assert [(r.n, r.quantile) for r in got.collect()] == [(60_000, pytest.approx(float(np.quantile(v, 0.8)), rel=1e-12))]
+    for out, looks in ((got, 4), (robust_statistics(df.withColumn("is_valid", F.lit(True))), 20)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") <= looks
+
+
 def test_robust_anomalies_of_nothing(spark):
     assert robust_anomalies(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):

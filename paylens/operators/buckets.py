@@ -52,15 +52,17 @@ def ordered_buckets(
 ) -> DataFrame:
     """``df`` plus ``name``, a long that never falls as the row's (``order``) rises within its ``keys``.
 
-    Groups of up to ``max_rows`` rows have one bucket. Larger ones are cut at
-    their quantiles, and buckets still too large are cut again, ``levels``
-    times in all. A cut goes by the first ``order`` column that is not constant in
-    the bucket, so many rows of one time are told apart by the next column;
-    rows alike in all columns with a code (numbers, times, texts by their
-    first six bytes) stay together. Null keys are a group like any other.
+    Groups of up to ``max_rows`` rows have one bucket, 0. Larger ones are cut at
+    their quantiles into buckets from 1 on, as many as their size needs, and
+    buckets still too large are cut again, ``levels`` times in all. A cut goes
+    by the first ``order`` column that is not constant in the bucket, so many
+    rows of one time are told apart by the next column; rows alike in all
+    columns with a code (numbers, times, texts by their first six bytes) stay
+    together. Null keys are a group like any other.
 
-    Lazy. Only rows of hot groups are read for quantiles; their cuts are
-    joined by the group, a table of at most one row per ``max_rows`` rows.
+    Lazy. Only rows of hot groups are read for quantiles and counted again.
+    Their cuts are broadcast, so rows aren't shuffled for them: of N rows, at
+    most N / ``max_rows`` groups are hot, with twice as many cuts in all.
     """
     codes = []
     for c in order:
@@ -71,20 +73,21 @@ def ordered_buckets(
     if name in df.columns or not codes:
         raise ValueError(f"{name} is a column already, or no order column has a code")
     out = df.withColumn(name, F.lit(0).cast("long"))
-    for _ in range(levels):
-        out = _cut(out, [*keys, name], codes, max_rows, name)
+    for level in range(levels):
+        out = _cut(out, [*keys, name], codes, max_rows, name, level)
     return out
 
 
-def _cut(df: DataFrame, group: list[str], codes: list[Column], max_rows: int, name: str) -> DataFrame:
+def _cut(df: DataFrame, group: list[str], codes: list[Column], max_rows: int, name: str, level: int) -> DataFrame:
     picked = F.lit(None).cast("int")
     for i in reversed(range(len(codes))):
         picked = F.when(F.col(f"g_low{i}") < F.col(f"g_high{i}"), i).otherwise(picked)
-    sizes = df.groupBy(*group).agg(
+    # a group that the level before left whole needs no look
+    sizes = (df if level == 0 else df.filter(F.col(name) > 0)).groupBy(*group).agg(
         F.count(F.lit(1)).alias("g_rows"),
         *[f(codes[i]).alias(f"g_{end}{i}") for i in range(len(codes)) for end, f in (("low", F.min), ("high", F.max))],
     )
-    hot = sizes.filter(F.col("g_rows") > max_rows).select(*[F.col(k).alias(f"g_{i}") for i, k in enumerate(group)], picked.alias("g_code")).filter("g_code is not null")
+    hot = sizes.filter(F.col("g_rows") > max_rows).select(*[F.col(k).alias(f"g_{i}") for i, k in enumerate(group)], "g_rows", picked.alias("g_code")).filter("g_code is not null")
     same = F.lit(True)
     for i, k in enumerate(group):
         same = same & F.col(k).eqNullSafe(F.col(f"g_{i}"))
@@ -92,6 +95,14 @@ def _cut(df: DataFrame, group: list[str], codes: list[Column], max_rows: int, na
     for i, c in enumerate(codes):
         code = F.when(F.col("g_code") == i, c).otherwise(code)
     quantiles = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
-    cuts = df.join(hot, same).groupBy(*[f"g_{i}" for i in range(len(group))], "g_code").agg(F.percentile_approx(code, quantiles, ACCURACY).alias("g_cuts"))
-    place = F.when(F.col("g_code").isNull(), 0).otherwise(F.size(F.filter(F.array_distinct("g_cuts"), lambda x: x < code)))
-    return df.join(cuts, same, "left").withColumn(name, F.col(name) * (CUTS + 1) + place).select(*df.columns)
+    cuts = df.join(F.broadcast(hot), same).groupBy(*[f"g_{i}" for i in range(len(group))], "g_rows", "g_code").agg(F.percentile_approx(code, quantiles, ACCURACY).alias("g_all"))
+    # of the quantiles, those that make buckets of half of max_rows
+    parts = F.least(F.lit(CUTS + 1), F.ceil(F.col("g_rows") * 2 / max_rows)).cast("int")
+    some = F.transform(F.sequence(F.lit(1), parts - 1), lambda j: F.get("g_all", (F.floor(j * (CUTS + 1) / parts) - 1).cast("int")))
+    cuts = cuts.select(*[f"g_{i}" for i in range(len(group))], "g_code", F.array_distinct(some).alias("g_cuts"))
+    # how many cuts lie below the row: they ascend, so steps that halve find it
+    steps = F.array(*[F.lit((CUTS + 1) >> (i + 1)) for i in range((CUTS + 1).bit_length() - 1)])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("g_cuts", at + step - 1) < code, at + step).otherwise(at))
+    place = below + 1 if level == 0 else F.col(name) * (CUTS + 1) + below
+    placed = F.when(F.col("g_code").isNotNull(), place).otherwise(F.col(name) if level == 0 else F.col(name) * (CUTS + 1))
+    return df.join(F.broadcast(cuts), same, "left").withColumn(name, placed.cast("long")).select(*df.columns)

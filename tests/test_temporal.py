@@ -211,3 +211,19 @@ def test_hot_sender_windows_are_split(spark):
     events = df.filter("sender_bic = 'HOT' and timestamp is not null").select("sender_bic", "timestamp").distinct()
     sizes = ordered_buckets(events, ["sender_bic"], ["timestamp"], max_rows=100).groupBy("bucket").count().agg(F.max("count")).first()[0]
     assert sizes <= 100
+
+
+def test_cuts_follow_the_size_and_shuffle_no_rows(spark):
+    df = spark.range(0, 900, 1, 4).selectExpr("CASE WHEN id < 120 THEN 'HOT' ELSE concat('C', id % 50) END AS k", "id * 17 % 1000 AS v")
+    out = ordered_buckets(df, ["k"], ["v"], max_rows=100)
+    sizes = {(r.k, r.bucket): r["count"] for r in out.groupBy("k", "bucket").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "HOT"]
+    assert sum(hot) == 120 and 2 <= len(hot) <= 4 and max(hot) <= 100
+    assert {b for k, b in sizes if k != "HOT"} == {0} and all(b > 0 for k, b in sizes if k == "HOT")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

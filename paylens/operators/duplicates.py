@@ -25,16 +25,36 @@ def near_in_time_duplicates(
 
     A row with a null in ``same`` or ``time`` is no duplicate: it is a run of its
     own. NaN equals NaN, 0.0 equals -0.0. Identical rows are interchangeable.
-    An empty table gives an empty result. Many equal payments (a hot group)
-    are cut into buckets of about ``max_rows``; what a bucket needs from those
-    before is the last time, the start of the run and the position in it.
+    An empty table gives an empty result. More than ``max_rows`` equal payments
+    (a hot group) are cut into buckets; what a bucket needs from those before
+    is the last time, the start of the run and the position in it.
     """
     columns = list(df.columns)
     order = [time, *[c for c in columns if c != time and c not in same]]
     known = F.col(time).isNotNull()
     for c in same:
         known = known & F.col(c).isNotNull()
-    rows = ordered_buckets(df.filter(known), same, order, max_rows, name="d_bucket")
+    bucketed = ordered_buckets(df.filter(known), same, order, max_rows, name="d_bucket")
+    lone = df.filter(~known).select(*columns, F.col(time).alias("run_start"), F.lit(1).cast("long").alias("run_position"), F.lit(False).alias("is_duplicate"))
+    return _whole_groups(bucketed.filter("d_bucket = 0"), columns, order, gap_seconds, same, time).union(
+        _cut_groups(bucketed.filter("d_bucket > 0"), columns, order, gap_seconds, same, time)).union(lone)
+
+
+def _whole_groups(rows: DataFrame, columns: list[str], order: list[str], gap_seconds: int, same: Sequence[str], time: str) -> DataFrame:
+    """Groups in one bucket: one window over each."""
+    inside = Window.partitionBy(*same).orderBy(*[F.asc_nulls_first(c) for c in order])
+    previous = F.lag(time).over(inside)
+    starts = previous.isNull() | (F.unix_micros(time) - F.unix_micros(previous) > gap_seconds * 1_000_000)
+    marked = rows.withColumn("d_starts", starts).withColumn("d_number", F.row_number().over(inside))
+    first = F.when(F.col("d_starts"), F.struct(F.col(time).alias("at"), F.col("d_number").alias("number")))
+    marked = marked.withColumn("d_run", F.last(first, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.select(
+        *columns, F.col("d_run.at").alias("run_start"),
+        (F.col("d_number") - F.col("d_run.number") + 1).cast("long").alias("run_position"), (~F.col("d_starts")).alias("is_duplicate"))
+
+
+def _cut_groups(rows: DataFrame, columns: list[str], order: list[str], gap_seconds: int, same: Sequence[str], time: str) -> DataFrame:
+    """Hot groups: a window over each bucket, and what it needs from those before."""
     group = [*same, "d_bucket"]
     inside = Window.partitionBy(*group).orderBy(*[F.asc_nulls_first(c) for c in order])
     edges = rows.groupBy(*group).agg(F.max(time).alias("e_last"))
@@ -63,11 +83,9 @@ def near_in_time_duplicates(
         alike = alike & (F.col(c) == F.col(f"c_{i}"))
     own = F.when(F.col("d_first").isNotNull(), F.struct(F.col("d_first.at").alias("at"), (F.col("c_rows") + F.col("d_first.number")).alias("number")))
     whole = marked.join(carried, alike).withColumn("d_run", F.coalesce(own, F.col("c_open")))
-    found = whole.select(
+    return whole.select(
         *columns, F.col("d_run.at").alias("run_start"),
         (F.col("c_rows") + F.col("d_number") - F.col("d_run.number") + 1).cast("long").alias("run_position"), (~F.col("d_starts")).alias("is_duplicate"))
-    lone = df.filter(~known).select(*columns, F.col(time).alias("run_start"), F.lit(1).cast("long").alias("run_position"), F.lit(False).alias("is_duplicate"))
-    return found.union(lone)
 
 
 def without_duplicates(df: DataFrame, gap_seconds: int = 3600, same: Sequence[str] = SAME, time: str = "timestamp") -> DataFrame:

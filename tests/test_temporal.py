@@ -227,3 +227,20 @@ def test_cuts_follow_the_size_and_shuffle_no_rows(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("gap", [1, 120])
+def test_whole_and_cut_groups_have_the_same_runs(spark, gap):
+    df = spark.createDataFrame([(*r[:3], r[3] if r[3] is None or r[3] < 3 else float("nan"), r[4]) for r in payments(700, 7, seconds=9_000)], SCHEMA)
+    whole, cut = (list(map(key, collected(near_in_time_duplicates(df, gap, max_rows=n)))) for n in (100_000, 30))
+    assert whole == cut and len(whole) == df.count()
+    # the payments by plain windows
+    same = Window.partitionBy(*[F.col(c) for c in ("sender_bic", "receiver_bic", "amount", "currency")])
+    known = df.filter(" and ".join(f"{c} is not null" for c in df.columns))
+    at = same.orderBy("timestamp")
+    starts = F.coalesce(F.unix_micros("timestamp") - F.unix_micros(F.lag("timestamp").over(at)) > gap * 1_000_000, F.lit(True))
+    runs = known.withColumn("starts", starts).withColumn("number", F.row_number().over(at))
+    runs = runs.withColumn("first", F.max(F.when(F.col("starts"), F.struct(F.col("timestamp").alias("at"), "number"))).over(at.rowsBetween(Window.unboundedPreceding, 0)))
+    want = runs.select(*df.columns, F.col("first.at"), (F.col("number") - F.col("first.number") + 1).cast("long"), ~F.col("starts"))
+    lone = [(*r, r[2], 1, False) for r in collected(df) if None in r]
+    assert whole == sorted(map(key, [*map(tuple, want.collect()), *lone]))

@@ -32,6 +32,8 @@ RULE_BYTES = 12
 RULES_A_ROUND = 6000
 #: Pairs that a round looks at, at least (twice this).
 CANDIDATES = 4096
+#: Where narrow numbers run out, a round takes half of those left, or this many.
+LAST_NUMBERS = 512
 #: Bits of the table in which a round counts pairs by hash.
 HASH_BITS = 20
 #: By how much the count asked for falls from round to round.
@@ -45,25 +47,23 @@ WIDEN_SHARE = 0.75
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
-def _compatible(codes: list[int], shift: int, rules: int) -> list[bool]:
+def _compatible(codes: list[int], shift: int) -> list[bool]:
     """For pairs (left << shift | right) in order, whether each is taken: no symbol may end one taken pair and begin another."""
     lefts: set[int] = set()
     rights: set[int] = set()
     taken = []
-    taken_so_far = 0
     for code in codes:
         left, right = code >> shift, code & ((1 << shift) - 1)
-        fits = taken_so_far < rules and left not in rights and right not in lefts and not (left == right and (left in lefts or right in rights))
+        fits = left not in rights and right not in lefts and not (left == right and (left in lefts or right in rights))
         if fits:
             lefts.add(left)
             rights.add(right)
-            taken_so_far += 1
         taken.append(fits)
     return taken
 
 
-def _frequent(codes: np.ndarray, bits: int, floor: int, pays: int, most: int, factor: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Codes that may be frequent, most frequent first, each place's code number (``most`` for others), and the count asked for.
+def _frequent(codes: np.ndarray, bits: int, floor: int, pays: int, most: int, factor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Codes that may be frequent, most frequent first, the places that may have one, their codes' numbers, and the count asked for.
 
     Codes are counted by hash, and a bin stands for one code that falls into
     it. Asked for is ``floor``, at most a fraction of the fullest bin, at least
@@ -79,40 +79,41 @@ def _frequent(codes: np.ndarray, bits: int, floor: int, pays: int, most: int, fa
     if len(bins) > most:
         bins = bins[np.argpartition(table[bins], len(bins) - most)[-most:]]
     bins = bins[np.lexsort((bins, -table[bins]))]
-    number = np.full(len(table), most, dtype=np.int32)
+    wanted = np.zeros(len(table), dtype=bool)
+    wanted[bins] = True
+    places = np.flatnonzero(wanted[hashed])
+    number = np.zeros(len(table), dtype=np.int32)
     number[bins] = np.arange(len(bins), dtype=np.int32)
-    of_bin = number[hashed]
+    of_bin = number[hashed[places]]
     # any code of a bin stands for it; frequent ones turn up soon
-    values = np.full(most + 1, kind((1 << bits) - 1), dtype=kind)
-    left, at, size = len(bins), 0, 1 << 16
-    while left and at < len(codes):
-        values[of_bin[at:at + size]] = codes[at:at + size]
-        seen = np.zeros(most + 1, dtype=bool)
-        seen[of_bin[:at + size]] = True
-        left = len(bins) - int(seen[:len(bins)].sum())
+    nowhere = kind((1 << bits) - 1)
+    values = np.full(len(bins), nowhere, dtype=kind)
+    at, size = 0, 1 << 16
+    while (values == nowhere).any():
+        values[of_bin[at:at + size]] = codes[places[at:at + size]]
         at, size = at + size, 4 * size
-    return values[:len(bins)], of_bin, floor
+    return values, places, of_bin, floor
 
 
-def _frequent_exactly(codes: np.ndarray, pays: int, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+def _frequent_exactly(codes: np.ndarray, pays: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The same for all codes that occur ``pays`` times or more, counted one by one."""
     values, place, counts = np.unique(codes, return_inverse=True, return_counts=True)
     picked = np.flatnonzero(counts >= pays)
     picked = picked[np.lexsort((values[picked], -counts[picked]))[:most]]
-    number = np.full(len(values), most, dtype=np.int32)
+    number = np.full(len(values), -1, dtype=np.int32)
     number[picked] = np.arange(len(picked), dtype=np.int32)
-    return values[picked], number[place], pays
+    number = number[place]
+    places = np.flatnonzero(number >= 0)
+    return values[picked], places, number[places], pays
 
 
-def _occurrences(codes: np.ndarray, of_code: np.ndarray, pairs: np.ndarray, taken: np.ndarray, most: int, shift: int) -> tuple[np.ndarray, np.ndarray]:
+def _occurrences(codes: np.ndarray, places: np.ndarray, of_code: np.ndarray, pairs: np.ndarray, taken: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the occurrences of the ``taken`` pairs and each one's number; in a run of one symbol every other."""
     kind = codes.dtype.type
-    # at all other places, a code that no pair of symbols has
-    nowhere = kind((1 << 2 * shift) - 1)
-    wanted = np.full(most + 1, nowhere, dtype=codes.dtype)
-    wanted[:len(pairs)] = np.where(taken, pairs, nowhere)
-    at = np.flatnonzero(codes == wanted[of_code])
-    number = of_code[at]
+    # in place of the others, a code that no pair of symbols has
+    wanted = np.where(taken, pairs, kind((1 << 2 * shift) - 1))
+    hits = np.flatnonzero(codes[places] == wanted[of_code])
+    at, number = places[hits], of_code[hits]
     if (taken & (pairs >> kind(shift) == pairs & kind((1 << shift) - 1))).any():
         # no two hits of other pairs are neighbours
         after = np.flatnonzero(np.diff(at, prepend=-2) != 1)
@@ -123,9 +124,9 @@ def _occurrences(codes: np.ndarray, of_code: np.ndarray, pairs: np.ndarray, take
 
 
 def _paying_share(s: np.ndarray, pays: int) -> float:
-    """The share of places whose pair may occur ``pays`` times or more, by hashed counts."""
-    codes = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-    table = np.bincount(((codes * np.uint64(FACTORS[0])) >> np.uint64(64 - HASH_BITS - 2)).astype(np.int32), minlength=4 << HASH_BITS)
+    """The share of places whose pair of narrow symbols may occur ``pays`` times or more, by hashed counts."""
+    codes = (s[:-1] << np.uint32(16)) | s[1:]
+    table = np.bincount(((codes * np.uint32(FACTORS[0] >> 32 | 1)) >> np.uint32(32 - HASH_BITS - 2)).astype(np.int32), minlength=4 << HASH_BITS)
     return table[table >= pays].sum() / max(1, len(codes))
 
 
@@ -161,12 +162,14 @@ def compress(ids: np.ndarray, terminals: int, rules_a_round: int = RULES_A_ROUND
         # enough of them that the last numbers go in few rounds, though pairs exclude each other
         most = 2 * max(room, min(rules_a_round, CANDIDATES))
         if exactly:
-            pairs, of_code, floor = _frequent_exactly(codes, pays, most)
+            pairs, places, of_code, floor = _frequent_exactly(codes, pays, most)
         else:
-            pairs, of_code, floor = _frequent(codes, 2 * shift, floor, pays, most, FACTORS[rounds % len(FACTORS)])
-        taken = np.array(_compatible(pairs.tolist(), shift, room), dtype=bool)
-        at, number = _occurrences(codes, of_code, pairs, taken, most, shift)
+            pairs, places, of_code, floor = _frequent(codes, 2 * shift, floor, pays, most, FACTORS[rounds % len(FACTORS)])
+        taken = np.array(_compatible(pairs.tolist(), shift), dtype=bool)
+        at, number = _occurrences(codes, places, of_code, pairs, taken, shift)
         enough = np.bincount(number, minlength=len(pairs)) >= pays
+        # the limit holds for pairs that pay; of the last numbers some are kept for pairs of a later count
+        enough &= np.cumsum(enough) <= (room if room == rules_a_round else min(room, max(room // 2, LAST_NUMBERS)))
         if not enough.any():
             if exactly:
                 break  # no pair is left that pays
@@ -226,8 +229,10 @@ class Shard:
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         lengths = self.all_lengths[symbols]
         ends = np.cumsum(lengths)
-        places = np.repeat(self.starts[symbols] - (ends - lengths), lengths)
-        places += np.arange(len(places))
+        # half as wide where places fit
+        kind = np.int32 if max(len(self.flat), int(ends[-1])) < 1 << 31 else np.int64
+        places = np.repeat((self.starts[symbols] - (ends - lengths)).astype(kind), lengths)
+        places += np.arange(len(places), dtype=kind)
         return self.flat[places]
 
     def ids(self, first: int = 0, stop: int | None = None) -> np.ndarray:

@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 #: Pieces and parts of pieces per generation of a worker's caches, some 200 bytes each.
 #: Latin-1 texts need only the parts: words (of the word vocabulary lower-cased) without what stands next to them.
 CACHE_PIECES, CACHE_PARTS = 40_000, 200_000
+#: The same for pieces cut from a batch.
+CACHE_CUT = 400_000
 
 #: Fixed value: the byte-level vocabulary's split of a text before its merges.
 BYTE_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -27,6 +31,31 @@ WORD_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: What the classes of that split hold within Latin-1, so that the faster standard library can split such texts alike.
 LATIN_CLASSES = {r"\p{L}": "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": "0-9\xb2\xb3\xb9\xbc-\xbe", r"\s": " \t-\r\x85\xa0"}
 
+#: Pieces of a batch that are told apart and put together at a time.
+BLOCK_PIECES = 1 << 20
+
+
+def latin_cuts() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each Latin-1 character, and for two neighbours' kinds (``8 * left + right``) whether to cut between them.
+
+    A cut lies only where ``BYTE_SPLIT`` ends a word whatever stands around
+    the two: after a letter or number that none of its kind follows, before
+    white space that follows none, and between other characters and a letter
+    or number. An apostrophe stays with a letter after it, white space with all
+    that follows it.
+    """
+    letter, number, space, apostrophe, other = range(5)
+    kinds = np.full(256, other, dtype=np.uint8)
+    for kind, name in ((letter, r"\p{L}"), (number, r"\p{N}"), (space, r"\s")):
+        member = re.compile(f"[{LATIN_CLASSES[name]}]").fullmatch
+        kinds[[c for c in range(256) if member(chr(c))]] = kind
+    kinds[ord("'")] = apostrophe
+    cuts = np.zeros(64, dtype=bool)
+    for a in (letter, number, apostrophe, other):
+        for b in range(5):
+            cuts[8 * a + b] = a != b and not {a, b} <= {apostrophe, other} and (a, b) != (apostrophe, letter)
+    return kinds, cuts
+
 
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte in a byte-level vocabulary.
@@ -54,6 +83,14 @@ class _Cache(dict):
         self[key] = value = self.made(key) if value is None else value
         return value
 
+    def of(self, keys: Sequence) -> list:
+        """The values of ``keys``, without a call for those at hand."""
+        values = list(map(self.get, keys))
+        for at, value in enumerate(values):
+            if value is None:
+                values[at] = self[keys[at]]
+        return values
+
 
 class Encoder:
     """``ids(text)``: the ids of a whole text as little-endian uint32 bytes, no special tokens put around it.
@@ -90,6 +127,10 @@ class Encoder:
         for name, members in LATIN_CLASSES.items():
             classes = classes.replace(name, members)
         self.latin_words = re.compile(classes).findall
+        # cut from a batch, as Latin-1 bytes
+        self.latin_pieces = _Cache(self._latin_piece, CACHE_CUT)
+        kinds, self.cuts = latin_cuts()
+        self.kinds = kinds.tobytes()
         # the usual piece, cut as the vocabulary's split does
         self.usual = re.compile(r"(\n?)( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,]?)").fullmatch
 
@@ -129,6 +170,43 @@ class Encoder:
         first, *rest = text.replace("\n", " \n").split(" ")
         return b"".join([self._piece(first) if first else b"", *map(self.pieces.__getitem__, rest)])
 
+    def batch(self, texts: Sequence[str | None]) -> list[bytes]:
+        """``ids`` of every text; Latin-1 texts of a byte-level vocabulary are cut together."""
+        alike = [not self.words and bool(t) and not self.added(t) and bool(self.latin(t)) for t in texts]
+        cut = iter(self._latin_batch([t.encode("latin-1") for t, a in zip(texts, alike) if a]) if any(alike) else ())
+        return [next(cut) if a else self.ids(t) for t, a in zip(texts, alike)]
+
+    def _latin_piece(self, stored: bytes) -> bytes:
+        piece = stored.decode("latin-1")
+        # a word with or without a space is one part
+        if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha():
+            return self._part(piece)
+        return b"".join([self._part(p) for p in self.latin_words(piece)])
+
+    def _latin_batch(self, texts: list[bytes]) -> list[bytes]:
+        data = b"".join(texts)
+        ends = np.cumsum([len(t) for t in texts])
+        kinds = np.frombuffer(data.translate(self.kinds), np.uint8)
+        cut = np.ones(len(data) + 1, dtype=bool)
+        cut[1:-1] = self.cuts[8 * kinds[:-1] + kinds[1:]]
+        cut[ends] = True
+        bounds = np.flatnonzero(cut).astype(np.int64, copy=False)
+        ids, lengths = [], []
+        for at in range(0, len(bounds) - 1, BLOCK_PIECES):
+            some = bounds[at:at + BLOCK_PIECES + 1]
+            pieces = pa.Array.from_buffers(pa.large_binary(), len(some) - 1, [None, pa.py_buffer(some), pa.py_buffer(data)]).dictionary_encode()
+            made = self.latin_pieces.of(pieces.dictionary.to_numpy(zero_copy_only=False))
+            number = pieces.indices.to_numpy()
+            sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+            n = sizes[number]
+            # each piece's ids lie one after the other among those of the distinct pieces
+            places = np.repeat((np.cumsum(sizes) - sizes)[number] - (np.cumsum(n) - n), n)
+            places += np.arange(len(places))
+            ids.append(np.frombuffer(b"".join(made), "<u4")[places])
+            lengths.append(n.astype(np.int32))
+        upto = np.cumsum(np.concatenate(lengths), dtype=np.int64)[np.searchsorted(bounds, ends) - 1]
+        return [x.tobytes() for x in np.split(np.concatenate(ids), upto[:-1])]
+
 
 @lru_cache(maxsize=4)
 def encoder(path: str, words: bool) -> Encoder:

@@ -25,6 +25,8 @@ from paylens.llm.token_cache import encoder
 
 #: Ids a shard holds at least, but for the last of a partition; documents aren't split.
 SHARD_IDS = 1 << 22
+#: Characters that are encoded together, at least, but for the last of a partition: the more, the fewer words are looked up.
+WINDOW_CHARS = 12 << 20
 #: Id that ends every document.
 END_ID = 2
 
@@ -65,9 +67,9 @@ def write_shards(
             row = (part, made, len(ids), pack_ids(doc_ids), np.array([len(x) // 4 for x in held], "<u4").tobytes(), repair.compress(ids, terminals))
             return pd.DataFrame([row], columns=["part", "shard", "n_ids", "docs", "tokens", "ids"])
 
-        for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"]):
-                got = enc.ids(text) + end
+        for some_docs, texts in windows(batches):
+            for doc, got in zip(some_docs, enc.batch(texts)):
+                got += end
                 doc_ids.append(None if pd.isna(doc) else int(doc))
                 held.append(got)
                 size += len(got) // 4
@@ -82,6 +84,20 @@ def write_shards(
     rows.select("doc_id", "text").mapInPandas(shards, SHARDS).write.option("compression", "zstd").parquet(path)
 
 
+def windows(batches: Iterator[pd.DataFrame], chars: int = WINDOW_CHARS) -> Iterator[tuple[list, list[str | None]]]:
+    """Ids and texts of batches in a row that have ``chars`` characters together, the last ones fewer."""
+    docs, texts, size = [], [], 0
+    for batch in batches:
+        docs += batch["doc_id"].tolist()
+        texts += batch["text"].tolist()
+        size += int(batch["text"].str.len().sum())
+        if size >= chars:
+            yield docs, texts
+            docs, texts, size = [], [], 0
+    if docs:
+        yield docs, texts
+
+
 def pack_ids(doc_ids: list[int | None]) -> bytes:
     """Document ids as a byte per id that tells nulls, then int64 values."""
     known = np.array([x is not None for x in doc_ids], dtype=np.uint8)

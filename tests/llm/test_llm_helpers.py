@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from paylens.llm import embedding_dedup, lang_id, near_dup, packing, quality, repair, token_output
+from paylens.llm import embedding_dedup, lang_id, near_dup, packing, quality, repair, token_cache, token_output
 from paylens.llm.mixing import pfair_cycle
 from paylens.llm.token_cache import encoder
 
@@ -79,6 +79,14 @@ def test_grammar_goes_on_until_no_pair_pays():
     assert counts.max() <= 2 * (repair.RULE_BYTES // 2)
 
 
+def test_last_numbers_of_a_grammar_go_to_pairs_that_pay():
+    words = np.random.default_rng(4).zipf(1.2, 800_000).clip(max=60_000).astype(np.uint32)
+    stored = repair.compress(words, 64_000)
+    shard = repair.Shard(stored)
+    assert (shard.ids() == words).all() and shard.symbols.itemsize == 2 and len(shard.left) == repair.NARROW - 1 - 64_000
+    assert len(stored) < 1_180_000
+
+
 def test_stored_document_ids_keep_nulls():
     ids = [None, -3, 0, 2**62, None]
     assert token_output.unpack_ids(token_output.pack_ids(ids)) == ids
@@ -96,6 +104,32 @@ def test_cached_encoder_equals_the_library(name, words):
     assert all(enc.ids(t) == enc.whole(t) for t in texts)
 
 
+@pytest.mark.parametrize("block", [3, 1 << 20])
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_texts_encoded_together_equal_the_library(monkeypatch, name, words, block):
+    monkeypatch.setattr(token_cache, "BLOCK_PIECES", block)
+    monkeypatch.setattr(token_cache, "CACHE_CUT", 50)
+    enc = token_cache.Encoder(public_tokenizers.path(name), words)
+    rnd = random.Random(7)
+    latin = [chr(c) for c in range(256)] + ["a", "B", "'s", "'ll", "'", " ", "  ", "\n", "\r\n", "1", ","] * 20
+    for size in (1, 7, 300):
+        texts = ["".join(rnd.choices(latin, k=rnd.randint(0, 25))) for _ in range(size)]
+        texts += ["".join(rnd.choices("a1 '.\ns", k=rnd.randint(0, 12))) for _ in range(size)]
+        texts += [None, "", " ", "\n\nx", "<|endoftext|> x", "日本 語", "ab,'s 'tis don't\t \u00a0x"]
+        rnd.shuffle(texts)
+        assert enc.batch(texts) == [enc.whole(t) if t else b"" for t in texts]
+    assert enc.batch([]) == [] and enc.batch([None, ""]) == [b"", b""]
+
+
+def test_texts_encoded_together_look_words_up_once():
+    enc = token_cache.Encoder(public_tokenizers.path("byte_bpe_50k.json"), False)
+    asked, known = [], enc.latin_pieces.of
+    enc.latin_pieces.of = lambda keys: asked.extend(keys) or known(keys)
+    texts = ["the cat, the dog and the cat " * 50, "the dog " * 80]
+    assert enc.batch(texts) == [enc.whole(t) for t in texts]
+    assert len(asked) == len(set(asked)) < 12
+
+
 @pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
 def test_added_tokens_have_their_ids(name, words):
     from tokenizers import Tokenizer

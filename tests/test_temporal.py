@@ -175,6 +175,43 @@ def test_interval_join_equals_between(spark, keys):
         interval_join(a, b.withColumn("amount", F.lit(1)), keys, "timestamp", "valid_from", "valid_to")
 
 
+def test_interval_join_deals_by_columns_of_its_own(spark):
+    day = lambda n: START + span(n * 86_400)
+    points = spark.createDataFrame([("A", day(3), 1), ("A", day(40), 2), ("B", day(700), 3)], "sender string, at timestamp, bin int")
+    periods = spark.createDataFrame([("A", day(0), day(39), 10), ("A", day(-9_000), day(9_000), 11), ("B", day(0), day(699), 12)], "sender string, since timestamp, until timestamp, level int")
+    found = interval_join(points, periods, ["sender"], "at", "since", "until")
+    assert sorted((r.bin, r.level) for r in found.collect()) == [(1, 10), (1, 11), (2, 11)]
+    # bins are made in compiled code, as rows: no expression interpreted row by row
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "inline" not in plan
+
+
+def test_periods_query_casts_no_time_per_pair(spark, tmp_path):
+    from paylens.plans.queries import q_payments_in_periods
+
+    day = lambda x: dt.datetime.fromisoformat(x)
+    tables = {
+        "customer": ([(1, 2)], "c_custkey long, c_nationkey int"),
+        "supplier": ([(1, 3)], "s_suppkey long, s_nationkey int"),
+        "orders": ([(1, 1, day("2000-01-01")), (50, 1, day("2000-01-02"))], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        "lineitem": ([(1, 1, 1, 10.0, day("2000-01-02")), (50, 1, 1, 20.0, day("2000-03-01"))],
+                     "l_orderkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = q_payments_in_periods(spark, str(tmp_path))
+    first, second = day("2000-01-02 12:00:01"), day("2000-03-01 12:00:50")
+    assert sorted((r.timestamp, r.period_id, r.valid_from, r.valid_to) for r in found.collect()) == [
+        (first, 1, day("2000-01-01"), day("2000-01-03")),
+        (first, 50, day("2000-01-02"), day("2000-01-02") + span(7300 * 86_400)),
+        (second, 50, day("2000-01-02"), day("2000-01-02") + span(7300 * 86_400)),
+    ]
+    assert found.columns == ["sender_bic", "timestamp", "receiver_bic", "amount", "currency", "period_id", "valid_from", "valid_to"]
+    assert {found.schema[c].dataType.typeName() for c in ("timestamp", "valid_from", "valid_to")} == {"timestamp_ntz"}
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join ")[0]
+    assert "cast(" not in above
+
+
 @pytest.mark.parametrize("max_rows", [30, 100_000])
 @pytest.mark.parametrize("gap", [1, 120])
 def test_duplicates_equal_gaps_and_islands(spark, max_rows, gap):

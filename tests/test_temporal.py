@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from paylens.operators import temporal_joins
 from paylens.operators.buckets import ordered_buckets
 from paylens.operators.duplicates import near_in_time_duplicates, without_duplicates
 from paylens.operators.sequence import sender_sequence
@@ -175,6 +176,45 @@ def test_interval_join_equals_between(spark, keys):
         interval_join(a, b.withColumn("amount", F.lit(1)), keys, "timestamp", "valid_from", "valid_to")
 
 
+@pytest.mark.parametrize("steps", [2, 14])
+@pytest.mark.parametrize("keys", [["sender_bic"], []])
+def test_interval_join_in_chunks_equals_between(spark, monkeypatch, keys, steps):
+    monkeypatch.setattr(temporal_joins, "STEPS", steps)
+    points, rnd = payments(250, 8), random.Random(9)
+    points += [("TIES", "X", START, float(i), "EUR") for i in range(40)] + [("OLD", "X", dt.datetime(1901, 1, 1), 1.0, "EUR")] * 12
+    intervals = []
+    for i in range(150):
+        a = rnd.choice([START, dt.datetime(1900, 12, 31), START + span(rnd.randrange(-30_000, 20_000))])
+        intervals.append((rnd.choice(["HOT", "A", "TIES", "OLD", None]), a, rnd.choice([a, a + span(rnd.randrange(9_000)), a - span(9), a + span(4 * 10**9), None]), i))
+    want = sorted(((*p, *x[1:]) for p in points for x in intervals
+                   if p[2] and x[1] and x[2] and x[1] <= p[2] <= x[2] and (not keys or (p[0] is not None and p[0] == x[0]))), key=key)
+    a = spark.createDataFrame(points, SCHEMA)
+    b = spark.createDataFrame(intervals, "sender_bic string, valid_from timestamp, valid_to timestamp, note int")
+    got = interval_join(a, b if keys else b.drop("sender_bic"), keys, "timestamp", "valid_from", "valid_to", unit_seconds=60, chunk_rows=5)
+    assert collected(got) == want and len(want) > 100
+    cuts = temporal_joins._time_cuts(a.filter("timestamp is not null"), keys, "timestamp", 60_000_000, 5).collect()
+    assert max(len(r.j_cuts) for r in cuts) in ((3,) if steps == 2 else range(20, 200))
+    assert all(list(r.j_cuts) == sorted(set(r.j_cuts)) for r in cuts)
+
+
+def test_interval_join_deals_each_point_once_and_in_order_of_time(spark):
+    n, days = 3_000, 300
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7919 % n * (days * 86_400 // n))
+    points = spark.range(0, n, 1, 4).select(F.lit("A").alias("sender"), at.alias("at"), F.col("id").alias("point"))
+    since = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 86_400)
+    periods = spark.range(days).select(F.lit("A").alias("sender"), since.alias("since"), F.timestamp_add("DAY", F.col("id") % 100 + 20, since).alias("until"), F.col("id").alias("period"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = interval_join(points, periods, ["sender"], "at", "since", "until", chunk_rows=500)
+        times = [r[0] for r in found.select(F.unix_micros("at")).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    # copies are made of periods only, and the result's times fall back from chunk to chunk at most, so it packs well
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+    assert len(times) > 50_000 and sum(b < a for a, b in zip(times, times[1:])) < 6
+
+
 def test_interval_join_deals_by_columns_of_its_own(spark):
     day = lambda n: START + span(n * 86_400)
     points = spark.createDataFrame([("A", day(3), 1), ("A", day(40), 2), ("B", day(700), 3)], "sender string, at timestamp, bin int")
